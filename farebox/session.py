@@ -41,6 +41,7 @@ def get_spark(
         SparkSession.builder.master(master or f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("FAREBOX_DRIVER_MEMORY", "8g"))
