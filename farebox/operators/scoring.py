@@ -64,7 +64,10 @@ def keyed_revenue(df: DataFrame, time_col: str, zone_col: str, amount_col: str,
     the key/value reduce: HashAggregate does the partial combine."""
     rows = df.filter(F.col(time_col) >= F.lit(since).cast("timestamp")).groupBy(
         F.date_trunc("hour", F.col(time_col)).alias("hour"), F.col(zone_col).alias("zone")
-    ).agg(F.round(F.sum(amount_col), digits).alias("revenue"), F.count(F.lit(1)).alias("count"))
+    ).agg(
+        (F.round(F.sum(amount_col), digits) if digits is not None else F.sum(amount_col)).alias("revenue"),
+        F.count(F.lit(1)).alias("count"),
+    )
     return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in REVENUE_ROW_SCHEMA])
 
 
