@@ -64,6 +64,17 @@ def append_with_stamp(df: DataFrame, path: str, stamp: dt.datetime, column: str
     write_table(df.withColumn(column, F.lit(stamp).cast("timestamp")), path, mode="append", partition_by=partition_by)
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut the lineage by a reliable checkpoint into the cluster's
+    checkpoint folder (``spark.checkpoint.dir``); later stages re-read the
+    saved data instead of recomputing, and a lost executor does not force a
+    recomputation from the sources."""
+    from farebox.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def present_partitions(spark: SparkSession, path: str, cols: Sequence[str]) -> DataFrame | None:
     try:
         return spark.read.parquet(path).select(*cols).distinct()

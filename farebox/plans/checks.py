@@ -99,3 +99,26 @@ def filter_in_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.filter(F.col("event_type").isin("click", "purchase", "signup")).groupBy("event_type").agg(
         F.count(F.lit(1)).alias("n")
     )
+
+
+def range_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column subset of the questions in ``[1996-01-01, 2000-01-01)``
+    (the range is the operator; filter and projection reach the scan)."""
+    from farebox.sources import files
+
+    q = domain.questions(load(spark, sf_dir, "lineitem"))
+    return to_ntz(files.range_extract(q, ["part_id", "creation_date", "score", "view_count"], "creation_date",
+                                      "1996-01-01 00:00:00", "2000-01-01 00:00:00"))
+
+
+def formatted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """one readable line per ride, money with 2 decimals."""
+    ev = load(spark, sf_dir, "events")
+    rides = ev.select(
+        F.col("ts").alias("pickup_time"),
+        (F.col("user_id") % 25).alias("PULocationID"),
+        ((F.col("user_id") + F.col("event_id")) % 25).alias("DOLocationID"),
+        ((F.col("event_id") % 40).cast("double") * F.lit(0.25)).alias("trip_distance"),
+        F.col("value").alias("total_amount"),
+    )
+    return records.format_line(rides)

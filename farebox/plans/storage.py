@@ -141,3 +141,39 @@ def format_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     months = [dt.date(1996, m, 1) for m in range(1, 13)]
     out = files.read_month_fallback(spark, base, months, INGESTED_SCHEMA, prefer="csv")
     return to_ntz(out)
+
+
+def hourly_revenue_materialized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M15 as the notebooks stage it: each service's hourly report is
+    materialised (lineage cut by a checkpoint) and the outer join and zone
+    join run on the saved reports."""
+    from farebox.operators import revenue
+
+    green, yellow = trips.sources(spark, sf_dir)
+    g = sinks.materialize(revenue.hourly_revenue(green, "lpep_pickup_datetime", since=trips.REPORT_SINCE))
+    y = sinks.materialize(revenue.hourly_revenue(yellow, "tpep_pickup_datetime", since=trips.REPORT_SINCE))
+    return to_ntz(revenue.attach_zones(revenue.hourly_revenue_outer(g, y), trips.zones(spark, sf_dir)))
+
+
+def report_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3 + K4 + K14: the green report written as 20 balanced files
+    (repartition), the yellow one narrowed to 4 tasks without a shuffle
+    (coalesce) and sharded by record count; both read back and stacked."""
+    from farebox.operators import revenue
+
+    base = shared_dir(spark, "reports", "revenue")
+    green, yellow = trips.sources(spark, sf_dir)
+    sinks.write_table(revenue.hourly_revenue(green, "lpep_pickup_datetime", since=trips.REPORT_SINCE),
+                      f"{base}/green", files=20)
+    sinks.write_table(revenue.hourly_revenue(yellow, "tpep_pickup_datetime", since=trips.REPORT_SINCE),
+                      f"{base}/yellow", files=4, shuffle=False, max_records_per_file=1000)
+    g, y = spark.read.parquet(f"{base}/green"), spark.read.parquet(f"{base}/yellow")
+    return to_ntz(revenue.hourly_revenue_tagged(g, y))
+
+
+def monthly_revenue_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M14 + K8: the monthly service report through the connector-style
+    writer (format and options from the caller; Parquet here)."""
+    out = shared_dir(spark, "warehouse", "monthly_revenue")
+    sinks.warehouse_write(trips.monthly_revenue_service(spark, sf_dir), "parquet", {"path": out})
+    return spark.read.parquet(out)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from farebox.session import prepare, shared_dir
 from farebox.streaming import sinks, source
 from farebox.streaming import windows as sw
-from farebox.tables import table_path, to_ntz
+from farebox.tables import load, table_path, to_ntz
 
 
 def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,8 +57,19 @@ def stream_session_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run_append(spark, sw.session_by_zone(_green(spark, sf_dir), gap="60 minutes"), "session_keyed")
 
 
+def _zone_ids(spark: SparkSession, sf_dir: str, limit: int = 10_000) -> list[int]:
+    """Ids of the zone table (bounded: at most ``limit`` rows are taken, and
+    more than that is refused rather than truncated)."""
+    z = load(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("int").alias("z")).limit(limit + 1)
+    ids = [r.z for r in z.collect()]
+    if len(ids) > limit:
+        raise ValueError("zone table too large for per-zone session counters")
+    return sorted(ids)
+
+
 def stream_session_global(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _run_append(spark, sw.session_global(_green(spark, sf_dir)), "session_global")
+    trips = _green(spark, sf_dir)
+    return _run_append(spark, sw.session_global(trips, zones=_zone_ids(spark, sf_dir)), "session_global")
 
 
 def stream_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:

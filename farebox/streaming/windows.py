@@ -8,6 +8,8 @@ is keyed by (window, key) and spread over ``spark.sql.shuffle.partitions``.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,18 +62,28 @@ def session_by_zone(trips: DataFrame, gap: str = "5 minutes", delay: str = WATER
                       F.col("w.end").alias("session_end"), "num_trips")
 
 
-def session_global(trips: DataFrame, gap: str = "5 minutes", delay: str = WATERMARK) -> DataFrame:
+def session_global(trips: DataFrame, gap: str = "5 minutes", delay: str = WATERMARK,
+                   zones: Sequence[int] | None = None) -> DataFrame:
     """ST8: one session chain over the whole stream, then trips per zone in
     each session.  A streaming session window needs a grouping key, so a
-    real constant column is added; the chain is one key by definition, so its
-    state lives in one partition and holds the zone of every event of the
-    open session (a session closes after ``gap`` of silence)."""
-    agg = (
-        trips.withWatermark("event_time", delay)
-        .withColumn("_chain", F.lit(0))
-        .groupBy(F.session_window("event_time", gap).alias("w"), "_chain")
-        .agg(F.collect_list("PULocationID").alias("_zones"))
-    )
+    real constant column is added; the chain is one key by definition.
+
+    With ``zones`` (the ids of the bounded zone table) each open session keeps
+    one counter per zone, so its state has a fixed size whatever the number of
+    events.  Without it the session keeps the zone of every event until it
+    closes (``gap`` of silence)."""
+    base = trips.withWatermark("event_time", delay).withColumn("_chain", F.lit(0))
+    grouped = base.groupBy(F.session_window("event_time", gap).alias("w"), "_chain")
+    if zones is not None:
+        zones = [int(z) for z in zones]
+        agg = grouped.agg(*[F.count_if(F.col("PULocationID") == F.lit(z)).alias(f"_z{z}") for z in zones])
+        pairs = F.array(*[F.struct(F.lit(z).cast("int").alias("PULocationID"), F.col(f"_z{z}").alias("n"))
+                          for z in zones])
+        per_zone = agg.select(F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"),
+                              F.inline(pairs))
+        return per_zone.filter(F.col("n") > 0).select(
+            "session_start", "session_end", "PULocationID", F.col("n").cast("long").alias("num_trips"))
+    agg = grouped.agg(F.collect_list("PULocationID").alias("_zones"))
     per_zone = agg.select(
         F.col("w.start").alias("session_start"),
         F.col("w.end").alias("session_end"),
