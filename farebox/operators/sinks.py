@@ -26,13 +26,21 @@ def write_table(
     partition_by: Sequence[str] = (),
     max_records_per_file: int | None = None,
     fmt: str = "parquet",
+    files_per_partition: int | None = None,
 ) -> None:
     """K1–K5, K14, K22.  ``files`` with ``shuffle`` repartitions (balanced
     files, one exchange); without ``shuffle`` it coalesces (no exchange, but
-    the last stage runs with ``files`` tasks).  ``mode`` is Spark's:
-    overwrite, append, ignore or errorifexists."""
+    the last stage runs with ``files`` tasks).  ``files_per_partition`` (with
+    ``partition_by``) clusters rows by the partition values plus a
+    deterministic row-hash salt: each directory gets at most that many files
+    instead of one per writing task, and a large directory is still written
+    by several tasks.  ``mode`` is Spark's: overwrite, append, ignore or
+    errorifexists."""
     if files:
         df = df.repartition(files) if shuffle else df.coalesce(files)
+    elif partition_by and files_per_partition:
+        salt = F.pmod(F.hash(*[F.col(c) for c in df.columns]), F.lit(files_per_partition))
+        df = df.repartition(*[F.col(c) for c in partition_by], salt)
     w = df.write.mode(mode).format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -87,7 +95,7 @@ def write_missing_partitions(df: DataFrame, path: str, cols: Sequence[str]) -> N
     on the partition values), so a rerun adds nothing twice."""
     present = present_partitions(df.sparkSession, path, cols)
     todo = df if present is None else df.join(present, list(cols), "left_anti")
-    write_table(todo, path, mode="append", partition_by=cols)
+    write_table(todo, path, mode="append", partition_by=cols, files_per_partition=4)
 
 
 class VersionedTable:

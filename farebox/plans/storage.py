@@ -81,7 +81,7 @@ def csv_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = typed.withColumn("year", F.year("lpep_pickup_datetime")).withColumn(
         "month", F.month("lpep_pickup_datetime")
     )
-    sinks.write_table(landed, f"{base}/pq", partition_by=["year", "month"])
+    sinks.write_table(landed, f"{base}/pq", partition_by=["year", "month"], files_per_partition=4)
     return to_ntz(spark.read.parquet(f"{base}/pq"))
 
 
@@ -122,7 +122,7 @@ def month_interval_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S13 + S14: months from March 1996 to mid-August 1997 of a year/month
     landing, read through a partition filter."""
     base = shared_dir(spark, "landing", "months")
-    sinks.write_table(_ingested_by_month(spark, sf_dir), base, partition_by=["year", "month"])
+    sinks.write_table(_ingested_by_month(spark, sf_dir), base, partition_by=["year", "month"], files_per_partition=4)
     return to_ntz(files.read_month_range(spark, base, SCAN_START, SCAN_END, max_year=2100))
 
 

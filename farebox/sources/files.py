@@ -219,3 +219,11 @@ def range_extract(df: DataFrame, cols: Sequence[str], time_col: str, start, end)
     return df.select(*cols).filter(
         (F.col(time_col) >= F.lit(start).cast("timestamp")) & (F.col(time_col) < F.lit(end).cast("timestamp"))
     )
+
+
+def external_view(spark: SparkSession, name: str, glob: str, schema: T.StructType | None = None) -> DataFrame:
+    """A named view over a Parquet glob (schema from the file
+    footers unless given); later code refers to it by name."""
+    df = read_parquet(spark, glob, schema)
+    df.createOrReplaceTempView(name)
+    return spark.table(name)
