@@ -87,7 +87,9 @@ def assign_sessions(
     # The summary has keys × buckets rows; AQE turns this into a broadcast
     # join at run time when it is small, a shuffle join otherwise.  (A
     # driver-side size probe would evaluate the whole window plan twice.)
-    joined = ev.join(summary, [*keys, "_b"], "inner")
+    s = summary.select(*[F.col(c).alias(f"_s_{c}") for c in [*keys, "_b"]], "_offset", "_cont")
+    cond = [ev[c].eqNullSafe(s[f"_s_{c}"]) for c in [*keys, "_b"]]
+    joined = ev.join(s, cond, "inner").drop(*[f"_s_{c}" for c in [*keys, "_b"]])
     return joined.withColumn(
         "session_id", (F.col("_offset") + F.col("_local") - F.col("_cont")).cast("long")
     ).drop("_t", "_b", "_start", "_local", "_offset", "_cont")
@@ -106,12 +108,60 @@ def sessions(
 
     Keyed (ST7): ``keys=[zone]`` -> (zone, session_start, session_end, num_trips).
     Global (ST8): ``keys=[]``, ``count_by=[zone]`` -> one row per zone present
-    in each global session, with that session's bounds."""
+    in each global session, with that session's bounds.
+
+    The raw events are shuffled and sorted once (by key and time bucket); right
+    after the ordered window they are reduced to one row per local session
+    (and ``count_by`` group).  The bucket summary, the chaining and the final
+    session aggregate all run on that reduced frame."""
     keys, count_by = list(keys), list(count_by)
     gap_s = _seconds(gap)
-    s = assign_sessions(df, time_col, gap, keys, bucket_seconds)
-    per = s.groupBy(*keys, "session_id", *count_by).agg(
-        F.min(time_col).alias("_lo"), F.max(time_col).alias("_hi"), F.count(F.lit(1)).alias("num_trips")
+    gap_us = gap_s * 1_000_000
+    bucket_us = bucket_seconds * 1_000_000
+    ev = (
+        df.filter(F.col(time_col).isNotNull())
+        .select(*keys, *count_by, F.col(time_col).alias("_ts"))
+        .withColumn("_t", F.unix_micros("_ts"))
+        .withColumn("_b", F.floor(F.col("_t") / F.lit(bucket_us)))
+    )
+    w_local = Window.partitionBy(*keys, "_b").orderBy("_t")
+    prev = F.lag("_t").over(w_local)
+    ev = ev.withColumn("_start", (prev.isNull() | ((F.col("_t") - prev) > F.lit(gap_us))).cast("int"))
+    ev = ev.withColumn(
+        "_local", F.sum("_start").over(w_local.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    )
+    # One row per (key, bucket, local session, count_by group).
+    loc = ev.groupBy(*keys, "_b", "_local", *count_by).agg(
+        F.min("_ts").alias("_lo"), F.max("_ts").alias("_hi"), F.count(F.lit(1)).alias("_n")
+    )
+    summary = loc.groupBy(*keys, "_b").agg(
+        F.unix_micros(F.min("_lo")).alias("_first"),
+        F.unix_micros(F.max("_hi")).alias("_last"),
+        F.max("_local").alias("_starts"),
+    )
+    w_chain = Window.partitionBy(*keys).orderBy("_b")
+    prev_last = F.lag("_last").over(w_chain)
+    summary = summary.withColumn(
+        "_cont", (prev_last.isNotNull() & ((F.col("_first") - prev_last) <= F.lit(gap_us))).cast("int")
+    )
+    summary = summary.withColumn(
+        "_offset",
+        F.coalesce(
+            F.sum(F.col("_starts") - F.col("_cont")).over(w_chain.rowsBetween(Window.unboundedPreceding, -1)),
+            F.lit(0),
+        ),
+    ).select(*keys, "_b", "_offset", "_cont")
+    # keys × buckets rows: AQE broadcasts this at run time when it is small.
+    # Null-safe equality: a null key is a group of its own (as in groupBy),
+    # and no inferred not-null filter makes the two uses of ``loc`` differ,
+    # so the shuffle of the raw events is planned once and reused.
+    s = summary.select(*[F.col(c).alias(f"_s_{c}") for c in [*keys, "_b"]], "_offset", "_cont")
+    cond = [loc[c].eqNullSafe(s[f"_s_{c}"]) for c in [*keys, "_b"]]
+    sid = loc.join(s, cond, "inner").drop(*[f"_s_{c}" for c in [*keys, "_b"]]).withColumn(
+        "session_id", (F.col("_offset") + F.col("_local") - F.col("_cont")).cast("long")
+    )
+    per = sid.groupBy(*keys, "session_id", *count_by).agg(
+        F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"), F.sum("_n").alias("num_trips")
     )
     if count_by:
         w = Window.partitionBy(*keys, "session_id")
@@ -121,5 +171,5 @@ def sessions(
         F.col("_lo").alias("session_start"),
         F.timestamp_add("SECOND", F.lit(gap_s), F.col("_hi")).alias("session_end"),
         *count_by,
-        "num_trips",
+        F.col("num_trips").cast("long").alias("num_trips"),
     )

@@ -38,7 +38,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "NaN"
-        return repr(round(v, 9))
+        return repr(v) if os.environ.get("ORACLE_EXACT") else repr(round(v, 9))
     if isinstance(v, decimal.Decimal):
         return str(v.normalize()) if v == v else "NaN"
     if isinstance(v, dt.datetime):
