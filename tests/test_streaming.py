@@ -189,3 +189,29 @@ def test_rest_source_pages(spark):
     assert len(counts) == 8 and counts[("green", 1, 1)] == 10 and counts[("yellow", 2, 2)] == 5
     empty = spark.read.format("trip_pages").option("months", "").load()
     assert empty.count() == 0
+
+
+def test_interval_replace_timestamp_granularity(spark, tmp_dir):
+    t = sinks.VersionedTable(f"{tmp_dir}/ts")
+    at = [T0 - dt.timedelta(hours=1), T0, T0 + dt.timedelta(hours=1), T0 + dt.timedelta(hours=2)]
+    t.publish(spark.createDataFrame([(x, "old") for x in at], "pickup_datetime timestamp, v string"))
+    new = spark.createDataFrame([(T0 + dt.timedelta(minutes=30), "new")], "pickup_datetime timestamp, v string")
+    start, end = T0.isoformat(sep=" "), (T0 + dt.timedelta(hours=2)).isoformat(sep=" ")
+    for _ in range(2):  # rows exactly at start are replaced, rows exactly at end are kept
+        sinks.interval_replace(t, new, "pickup_datetime", start, end)
+    got = sorted((r.pickup_datetime, r.v) for r in t.read(spark).collect())
+    assert got == [(at[0], "old"), (T0 + dt.timedelta(minutes=30), "new"), (at[3], "old")]
+
+
+def test_clustered_layout_sorted_files(spark, tmp_dir):
+    df = spark.createDataFrame([(dt.date(2025, 1 + i % 2, 1), f"t{i % 7}", i) for i in range(200)],
+                               "month date, tag string, v int")
+    sinks.write_partitioned_clustered(df, f"{tmp_dir}/c", "month", "tag")
+    back = spark.read.parquet(f"{tmp_dir}/c")
+    assert back.count() == 200 and sorted(r.month for r in back.select("month").distinct().collect()) == [
+        dt.date(2025, 1, 1), dt.date(2025, 2, 1)]
+    per_file = back.select(F.input_file_name().alias("f"), "tag").collect()
+    by_file = {}
+    for r in per_file:
+        by_file.setdefault(r.f, []).append(r.tag)
+    assert all(tags == sorted(tags) for tags in by_file.values())
