@@ -68,6 +68,38 @@ def unique_check(df: DataFrame, cols: Sequence[str], table: str = "") -> DataFra
     )
 
 
+def checks_with_unique(df: DataFrame, rules: Mapping[str, Sequence[str]], unique_cols: Sequence[str],
+                       table: str = "") -> DataFrame:
+    """Column rules and one uniqueness rule in a single pass: rows are grouped
+    by the unique key (partial aggregation map-side) carrying per-rule
+    violation counts, and one more aggregate over the groups adds them up and
+    counts keys held by more than one row.  Same rows as
+    ``report(column_checks(...), unique_check(...))`` without a second scan."""
+    unique_cols = list(unique_cols)
+    names = [(col, check, f"{col}__{check}") for col, checks in rules.items() for check in checks]
+    grouped = df.groupBy(*unique_cols).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.count_if(_violation(check, F.col(col))).alias(alias) for col, check, alias in names],
+    )
+    key_present = F.lit(True)
+    for c in unique_cols:
+        key_present = key_present & F.col(c).isNotNull()
+    wide = grouped.agg(
+        *[F.sum(alias).alias(alias) for _c, _k, alias in names],
+        F.count_if(key_present & (F.col("_n") > 1)).alias("_dup_keys"),
+    )
+    parts = [f"'{c}', '{k}', `{a}`" for c, k, a in names]
+    parts.append(f"'{','.join(unique_cols)}', 'unique', `_dup_keys`")
+    long = wide.selectExpr(f"stack({len(parts)}, {', '.join(parts)}) AS (column_name, check_name, failures)")
+    return long.select(
+        F.lit(table).alias("table_name"),
+        "column_name",
+        "check_name",
+        F.coalesce(F.col("failures"), F.lit(0)).cast("long").alias("failures"),
+        (F.coalesce(F.col("failures"), F.lit(0)) == 0).alias("passed"),
+    )
+
+
 def report(*results: DataFrame) -> DataFrame:
     out = results[0]
     for r in results[1:]:

@@ -237,6 +237,15 @@ def test_quality_checks(spark):
     assert rep == {("id", "not_null"): 2, ("fare", "non_negative"): 1, ("fare", "positive"): 2, ("id", "unique"): 1}
 
 
+def test_single_pass_checks_equal_separate_checks(spark):
+    df = spark.createDataFrame([(None, 1.0), (1, -1.0), (1, 0.0), (None, 2.0), (2, None), (None, None)],
+                               "id int, fare double")
+    rules = {"id": ["not_null"], "fare": ["non_negative", "positive", "not_null"]}
+    one = quality.checks_with_unique(df, rules, ["id"]).collect()
+    two = quality.report(quality.column_checks(df, rules), quality.unique_check(df, ["id"])).collect()
+    assert sorted(map(tuple, one)) == sorted(map(tuple, two))
+
+
 def test_custom_check_and_exists(spark):
     empty = spark.createDataFrame([], "x int")
     r = quality.custom_check("has_rows", quality.exists_indicator(empty), 1).collect()[0]
