@@ -17,7 +17,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -72,10 +72,16 @@ class UpsertSink:
 
     # -- writing -----------------------------------------------------------
     def _last_per_key(self, batch: DataFrame) -> DataFrame:
+        """Last row per key by ``order_by`` (ties: the larger remaining
+        columns), as a map-side aggregate: a hot key is reduced in every
+        task before the shuffle."""
         if self.order_by is None:
             return batch.dropDuplicates(self.keys)
-        w = Window.partitionBy(*self.keys).orderBy(F.col(self.order_by).desc())
-        return batch.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+        rest = [c for c in batch.columns if c not in self.keys and c != self.order_by]
+        best = batch.groupBy(*self.keys).agg(F.max(F.struct(self.order_by, *rest)).alias("_last"))
+        return best.select(*self.keys, *[F.col(f"_last.{c}").alias(c) for c in [self.order_by, *rest]]).select(
+            *batch.columns
+        )
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession

@@ -121,6 +121,14 @@ def test_upsert_sink_replay(spark, tmp_dir):
     assert sorted(tuple(r) for r in sink.read(spark).collect()) == [(1, "c"), (2, "b")]
 
 
+def test_upsert_sink_last_wins_by_order(spark, tmp_dir):
+    sink = ssinks.UpsertSink(f"{tmp_dir}/o", ["k"], order_by="ts")
+    b0 = spark.createDataFrame([(1, 5, "late"), (1, 3, "early"), (2, 1, "x")], "k int, ts int, v string")
+    sink(b0, 0)
+    sink(spark.createDataFrame([(2, 9, "y")], "k int, ts int, v string"), 1)
+    assert sorted(tuple(r) for r in sink.read(spark).collect()) == [(1, 5, "late"), (2, 9, "y")]
+
+
 def test_interval_replace_rerun(spark, tmp_dir):
     t = sinks.VersionedTable(f"{tmp_dir}/r")
     old = spark.createDataFrame([(dt.date(2024, 1, d), "old") for d in (1, 2, 3, 4)], "d date, v string")
