@@ -151,10 +151,14 @@ def dim_vendors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M4: the zone table with typed columns, ordered by location id."""
+    """M4: the zone table with typed columns (location id as bigint, borough
+    from the region lookup), ordered by location id."""
     z = load(spark, sf_dir, "nation")
-    return z.select(
+    r = load(spark, sf_dir, "region")
+    named = lookup_join(z, r, z["n_regionkey"] == r["r_regionkey"], "left")
+    return named.select(
         F.col("n_nationkey").cast("long").alias("location_id"),
+        F.col("r_name").alias("borough"),
         F.col("n_name").alias("zone"),
         F.col("n_regionkey").cast("string").alias("service_zone"),
     ).orderBy("location_id")
