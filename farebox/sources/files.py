@@ -166,13 +166,17 @@ def read_month_range(
     return df.filter(ym.isin(*[m.year * 100 + m.month for m in months]))
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Metadata check through the Hadoop file system of the session."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    statuses = fs.globStatus(hpath)
-    return statuses is not None and len(statuses) > 0
+def try_read(reader) -> DataFrame | None:
+    """Run a reader; None when Spark finds no file at the path (the listing
+    happens when the DataFrame is created, no data is read)."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        return reader()
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return None
+        raise
 
 
 def read_month_fallback(
@@ -190,9 +194,11 @@ def read_month_fallback(
     for m in months:
         d = f"{base}/{m.year:04d}/{m.month:02d}"
         for fmt in order:
-            glob = f"{d}/*.csv.gz" if fmt == "csv" else f"{d}/*.parquet"
-            if path_exists(spark, glob):
-                df = read_csv(spark, glob, csv_schema) if fmt == "csv" else spark.read.schema(csv_schema).parquet(glob)
+            if fmt == "csv":
+                df = try_read(lambda: read_csv(spark, f"{d}/*.csv.gz", csv_schema))
+            else:
+                df = try_read(lambda: spark.read.schema(csv_schema).parquet(f"{d}/*.parquet"))
+            if df is not None:
                 frames.append(df)
                 break
     if not frames:

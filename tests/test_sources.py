@@ -72,3 +72,29 @@ def test_kafka_options():
 def test_jdbc_and_warehouse_options():
     o = sinks.jdbc_options("jdbc:postgresql://db/ny", "yellow_taxi_data", user="u", password="p")
     assert o["batchsize"] == "100000" and o["dbtable"] == "yellow_taxi_data" and o["user"] == "u"
+
+
+def test_month_fallback_prefers_and_skips(spark, tmp_dir):
+    import datetime as dt
+
+    from farebox.schemas import INGESTED_SCHEMA
+
+    rows = lambda tag: spark.createDataFrame(
+        [(None, None, None, None, 1, 2, 3.0, 1, tag)], INGESTED_SCHEMA)
+    rows("csv-1").write.mode("overwrite").option("compression", "gzip").option("header", "true").csv(
+        f"{tmp_dir}/2024/01")
+    rows("pq-2").write.parquet(f"{tmp_dir}/2024/02")
+    rows("csv-4").write.option("compression", "gzip").option("header", "true").csv(f"{tmp_dir}/2024/04")
+    rows("pq-4").write.parquet(f"{tmp_dir}/2024/04b")
+    import glob
+    import os
+
+    for f in glob.glob(f"{tmp_dir}/2024/04b/*.parquet"):
+        os.link(f, f"{tmp_dir}/2024/04/{os.path.basename(f)}")
+    months = [dt.date(2024, m, 1) for m in (1, 2, 3, 4)]
+    got = sorted(r.taxi_type for r in files.read_month_fallback(spark, tmp_dir, months, INGESTED_SCHEMA).collect())
+    assert got == ["csv-1", "csv-4", "pq-2"]  # March missing: skipped; April: CSV preferred
+    got_pq = sorted(r.taxi_type for r in files.read_month_fallback(
+        spark, tmp_dir, months, INGESTED_SCHEMA, prefer="parquet").collect())
+    assert got_pq == ["csv-1", "pq-2", "pq-4"]
+    assert files.read_month_fallback(spark, tmp_dir, [dt.date(2023, 1, 1)], INGESTED_SCHEMA) is None
