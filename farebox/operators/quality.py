@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from farebox.operators.joins import anti_join
+
 CHECKS = ("not_null", "non_negative", "positive")
 
 
@@ -155,7 +157,7 @@ def missing_periods(df: DataFrame, time_col: str, unit: str = "day") -> DataFram
     present = df.select(period.alias("period")).filter(F.col("period").isNotNull()).distinct()
     bounds = present.agg(F.min("period").alias("lo"), F.max("period").alias("hi"))
     grid = bounds.select(F.explode(F.sequence("lo", "hi", F.expr(f"INTERVAL {step}"))).alias("period"))
-    return grid.join(present, "period", "left_anti")
+    return anti_join(grid, present, ["period"])
 
 
 def file_layout(df: DataFrame) -> DataFrame:

@@ -16,6 +16,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from farebox.operators.joins import anti_join
+
 
 def write_table(
     df: DataFrame,
@@ -94,7 +96,7 @@ def write_missing_partitions(df: DataFrame, path: str, cols: Sequence[str]) -> N
     """Land only partitions the target does not have yet (anti join
     on the partition values), so a rerun adds nothing twice."""
     present = present_partitions(df.sparkSession, path, cols)
-    todo = df if present is None else df.join(present, list(cols), "left_anti")
+    todo = df if present is None else anti_join(df, present, cols)
     write_table(todo, path, mode="append", partition_by=cols, files_per_partition=4)
 
 

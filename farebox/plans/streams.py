@@ -18,12 +18,19 @@ from farebox.streaming import windows as sw
 from farebox.tables import load, table_path, to_ntz
 
 
+# Files per micro-batch: a back-fill over many files runs as a sequence of
+# bounded batches (availableNow honours the limit) instead of one batch.
+MAX_FILES_PER_BATCH = 1000
+
+
 def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
+    sinks.prepare_state_store(spark)
     path = table_path(sf_dir, "events")
     schema = spark.read.parquet(path).schema
     # A glob, not the file path: the file source lists a pattern.
-    return source.file_stream(spark, path.replace("events.parquet", "events*.parquet"), schema)
+    return source.file_stream(spark, path.replace("events.parquet", "events*.parquet"), schema,
+                              max_files=MAX_FILES_PER_BATCH)
 
 
 def _run_append(spark: SparkSession, df: DataFrame, name: str, mode: str = "append") -> DataFrame:

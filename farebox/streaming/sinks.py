@@ -22,6 +22,24 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
+STATE_STORE_CONF = {
+    # State on local disk in RocksDB instead of executor heap; changelog
+    # checkpointing uploads only the changes of each micro-batch.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+def prepare_state_store(spark) -> None:
+    """Use RocksDB for streaming state unless the session already chose a
+    provider (a query keeps the provider recorded in its checkpoint)."""
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", None):
+        return
+    for key, value in STATE_STORE_CONF.items():
+        spark.conf.set(key, value)
+
+
 def start_file_sink(
     df: DataFrame,
     path: str,
