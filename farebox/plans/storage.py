@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farebox.operators import sinks
+from farebox.operators import revenue, sinks
 from farebox.plans import domain, questions, trips
 from farebox.schemas import GREEN_SCHEMA, INGESTED_SCHEMA
 from farebox.session import shared_dir
@@ -37,7 +37,6 @@ def interval_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     table.publish(trips.daily_report(spark, sf_dir))
     staged_a = trips.staging_trips(trips.ingested(spark, sf_dir), domain.payment_lookup(spark),
                                    "1998-01-01 00:00:00", "1999-01-01 00:00:00", variant="A")
-    from farebox.operators import revenue
 
     new = revenue.daily_report(staged_a, "1998-01-01 00:00:00", "1999-01-01 00:00:00", null_payment_label=None)
     for _ in range(2):
@@ -147,7 +146,6 @@ def hourly_revenue_materialized(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M15 as the notebooks stage it: each service's hourly report is
     materialised (lineage cut by a checkpoint) and the outer join and zone
     join run on the saved reports."""
-    from farebox.operators import revenue
 
     green, yellow = trips.sources(spark, sf_dir)
     g = sinks.materialize(revenue.hourly_revenue(green, "lpep_pickup_datetime", since=trips.REPORT_SINCE))
@@ -159,7 +157,6 @@ def report_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3 + K4 + K14: the green report written as 20 balanced files
     (repartition), the yellow one narrowed to 4 tasks without a shuffle
     (coalesce) and sharded by record count; both read back and stacked."""
-    from farebox.operators import revenue
 
     base = shared_dir(spark, "reports", "revenue")
     green, yellow = trips.sources(spark, sf_dir)
