@@ -263,3 +263,31 @@ def test_schema_diff(spark):
     b = spark.createDataFrame([(1, 2)], "a long, c int")
     got = {r.column_name: (r.left_type, r.right_type, r.same) for r in quality.schema_diff(a, b).collect()}
     assert got == {"a": ("int", "bigint", False), "b": ("string", None, False), "c": (None, "int", False)}
+
+
+def test_defensive_projection_tolerates_text(spark):
+    """ANSI mode is on: text that does not parse becomes null instead of
+    failing the query (``try_cast`` in the defensive projection)."""
+    raw = spark.createDataFrame(
+        [("2024-01-01 00:00:00", "abc", "7", "1.5"), ("not a time", "3", "x", None)],
+        "tpep_pickup_datetime string, PULocationID string, passenger_count string, fare_amount string",
+    )
+    out = normalize.read_trip_frame(raw, "yellow", require_pickup=False).collect()
+    assert out[0].pickup_location_id is None and out[0].passenger_count == 7 and out[0].fare_amount == 1.5
+    assert out[1].pickup_datetime is None and out[1].pickup_location_id == 3 and out[1].tolls_amount is None
+
+
+def test_keep_one_property(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    row = st.tuples(st.sampled_from([1, 2, None]), st.integers(0, 3) | st.none(),
+                    st.sampled_from(["a", "b", "", None]))
+
+    @settings(max_examples=12, deadline=None)
+    @given(st.lists(row, min_size=1, max_size=12))
+    def check(rows_):
+        df = spark.createDataFrame(rows_, "k int, o int, v string")
+        assert rows(dedupe.keep_one(df, ["k"], ["o"])) == rows(dedupe.keep_one_window(df, ["k"], ["o"]))
+
+    check()
