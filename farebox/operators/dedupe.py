@@ -53,13 +53,29 @@ def duplicate_report(df: DataFrame, keys: Sequence[str], top: int = 50, min_coun
 
 
 def excess_rows(df: DataFrame, key_sets: Mapping[str, Sequence[str]]) -> DataFrame:
-    """``count(*) - count(distinct key)`` for each key set, one pass.
-    The key is a struct, so values holding the separator cannot collide and a
-    null part is a value of its own."""
-    total = F.count(F.lit(1))
-    return df.agg(
-        *[
-            (total - F.count_distinct(F.struct(*keys))).alias(name)
-            for name, keys in key_sets.items()
-        ]
+    """``count(*) - count(distinct key)`` for each key set.  Keys are
+    compared as tuples (no separator collisions; a null part is a value of
+    its own, as in GROUP BY).
+
+    When the key sets are nested (each contains the next, as a trip key with
+    and without the fare), the distinct counts come from a chain of
+    group-bys: rows are grouped by the widest key (partial aggregation
+    map-side), that result by the next key, and so on – no row expansion.
+    Otherwise one ``count(distinct struct)`` per key set."""
+    items = sorted(key_sets.items(), key=lambda kv: -len(kv[1]))
+    nested = all(set(items[i + 1][1]) <= set(items[i][1]) for i in range(len(items) - 1))
+    if not nested:
+        total = F.count(F.lit(1))
+        return df.agg(*[(total - F.count_distinct(F.struct(*keys))).alias(name) for name, keys in key_sets.items()])
+    # Each level carries the row count and, per earlier level, how many of
+    # its distinct keys fall in the group; one final aggregate adds them up.
+    level = df.groupBy(*items[0][1]).agg(F.count(F.lit(1)).alias("_n")).withColumn("_d0", F.lit(1))
+    for i, (_name, keys) in enumerate(items[1:], start=1):
+        level = level.groupBy(*keys).agg(
+            F.sum("_n").alias("_n"), *[F.sum(f"_d{j}").alias(f"_d{j}") for j in range(i)]
+        ).withColumn(f"_d{i}", F.lit(1))
+    totals = level.agg(F.sum("_n").alias("_rows"), *[F.sum(f"_d{j}").alias(f"_d{j}") for j in range(len(items))])
+    index = {name: j for j, (name, _keys) in enumerate(items)}
+    return totals.select(
+        *[(F.col("_rows") - F.col(f"_d{index[name]}")).cast("long").alias(name) for name in key_sets]
     )

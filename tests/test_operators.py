@@ -291,3 +291,14 @@ def test_keep_one_property(spark):
         assert rows(dedupe.keep_one(df, ["k"], ["o"])) == rows(dedupe.keep_one_window(df, ["k"], ["o"]))
 
     check()
+
+
+def test_excess_rows_nested_equals_distinct(spark):
+    df = spark.createDataFrame(
+        [(1, 1, 1.0), (1, 1, 1.0), (1, 1, 2.0), (1, None, 2.0), (1, None, 2.0), (2, 3, None)],
+        "a int, b int, c double",
+    )
+    nested = dedupe.excess_rows(df, {"wide": ["a", "b", "c"], "mid": ["a", "b"], "narrow": ["a"]}).collect()[0]
+    flat = dedupe.excess_rows(df, {"wide": ["a", "b", "c"], "other": ["c"]}).collect()[0]  # not nested
+    assert (nested.wide, nested.mid, nested.narrow) == (2, 3, 4)
+    assert (flat.wide, flat.other) == (2, 3)
