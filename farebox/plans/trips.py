@@ -291,3 +291,9 @@ def over_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
 def total_tips(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, yellow = sources(spark, sf_dir)
     return revenue.global_sum(yellow, "tip_amount", "total_tip_amount")
+
+
+def longest_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The longest trip in hours (dropoff - pickup) of the yellow trips."""
+    _, yellow = sources(spark, sf_dir)
+    return revenue.longest_trip_hours(yellow, "tpep_pickup_datetime", "tpep_dropoff_datetime")
