@@ -150,6 +150,8 @@ def coalesce_sources(df: DataFrame, alternatives: Mapping[str, Sequence[str]]) -
     out = []
     for name, alts in alternatives.items():
         have = [F.col(a) for a in alts if a in present]
+        if not have:
+            raise ValueError(f"none of {list(alts)} present for {name!r}; columns: {sorted(present)}")
         out.append((F.coalesce(*have) if len(have) > 1 else have[0]).alias(name))
     return df.select(*out)
 
