@@ -10,13 +10,14 @@ same interval gives the same content.
 from __future__ import annotations
 
 import datetime as dt
+import time
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farebox.operators.joins import anti_join
+from farebox.operators.joins import anti_join, lookup_join
 from farebox.session import ensure_checkpoint_dir
 
 
@@ -133,6 +134,112 @@ class VersionedTable:
         return v
 
 
+class PartitionVersionedTable:
+    """A Parquet table cut into time partitions (month or day of a key
+    column), where each partition is published by versions.
+
+    Layout: ``data/fb_part=<first day>/fb_version=<id>/`` files, plus a
+    commit log of ``(fb_part, fb_version)`` rows.  A run appends the new content of the
+    partitions it touches under a fresh version id and then appends one
+    commit file naming those partitions – a partition whose new content is
+    empty is committed with no files, which empties it.  Readers take the
+    newest committed version of every partition; the join on the partition
+    columns lets Spark skip the directories of older versions.  Work per run
+    is proportional to the touched partitions, not to the table."""
+
+    MAX_PRUNE_PARTS = 20_000
+
+    def __init__(self, path: str, key_col: str, unit: str = "month", files_per_part: int = 8):
+        self.path = path.rstrip("/")
+        self.files_per_part = files_per_part
+        self.key_col = key_col
+        self.unit = unit
+        self.data_path = f"{self.path}/data"
+        self.log_path = f"{self.path}/_commits"
+
+    def part_of(self, c) -> "F.Column":
+        d = F.to_date(c)
+        return F.trunc(d, "MM") if self.unit == "month" else d
+
+    def _log(self, spark: SparkSession) -> DataFrame | None:
+        try:
+            return spark.read.parquet(self.log_path)
+        except AnalysisException:
+            return None
+
+    def read(self, spark: SparkSession) -> DataFrame | None:
+        log = self._log(spark)
+        if log is None:
+            return None
+        latest = log.groupBy("fb_part").agg(F.max("fb_version").alias("fb_version"))
+        try:
+            data = spark.read.parquet(self.data_path)
+        except AnalysisException:  # only empty partitions committed so far
+            return None
+        # The commit summary has one row per time partition (bounded by the
+        # time span).  Up to a size limit it becomes a static partition
+        # filter, so only the current version directories are listed and
+        # read; beyond it, a join on the partition columns.
+        pairs = latest.limit(self.MAX_PRUNE_PARTS + 1).collect()
+        if len(pairs) <= self.MAX_PRUNE_PARTS:
+            current = F.struct("fb_part", "fb_version").isin(
+                *[F.struct(F.lit(r.fb_part).alias("fb_part"), F.lit(r.fb_version).alias("fb_version"))
+                  for r in pairs])
+            return data.filter(current).drop("fb_part", "fb_version")
+        return lookup_join(data, latest, ["fb_part", "fb_version"], "inner").drop("fb_part", "fb_version")
+
+    def publish_parts(self, content: DataFrame, parts: DataFrame) -> int:
+        """Replace the partitions listed in ``parts`` (column ``fb_part``) by
+        ``content`` (rows of those partitions only).  Rows are spread by
+        (partition, row-hash salt), so a large partition is written by
+        ``files_per_part`` tasks and a retry writes the same files."""
+        version = time.time_ns() // 1000  # unique per run; newest wins
+        salt = F.pmod(F.hash(*[F.col(c) for c in content.columns]), F.lit(self.files_per_part))
+        (
+            content.withColumn("fb_part", self.part_of(F.col(self.key_col)))
+            .withColumn("fb_version", F.lit(version))
+            .repartition(F.col("fb_part"), salt)
+            .write.mode("append")
+            .partitionBy("fb_part", "fb_version")
+            .parquet(self.data_path)
+        )
+        parts.select("fb_part").distinct().withColumn("fb_version", F.lit(version)).coalesce(1).write.mode(
+            "append"
+        ).parquet(self.log_path)
+        return version
+
+    def replace_interval(self, new_rows: DataFrame, start, end, granularity: str = "timestamp") -> int:
+        """K12 at partition granularity: rows whose key lies in the interval
+        are replaced by ``new_rows`` in the interval; rows of the touched
+        partitions outside the interval are kept."""
+        spark = new_rows.sparkSession
+        k = F.col(self.key_col)
+        if granularity == "date":
+            inside = k.between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+            first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
+        else:
+            inside = (k >= F.lit(start).cast("timestamp")) & (k < F.lit(end).cast("timestamp"))
+            first = F.to_date(F.lit(start).cast("timestamp"))
+            last = F.to_date(F.lit(end).cast("timestamp") - F.expr("INTERVAL 1 MICROSECOND"))
+        step = F.expr("INTERVAL 1 MONTH") if self.unit == "month" else F.expr("INTERVAL 1 DAY")
+        parts = spark.range(1).select(
+            F.explode(F.sequence(self.part_of(first), self.part_of(last), step)).alias("fb_part")
+        )
+        new_part = new_rows.filter(inside)
+        cur = self.read(spark)
+        if cur is None:
+            return self.publish_parts(new_part, parts)
+        touched = cur.withColumn("fb_p", self.part_of(k)).join(
+            parts.withColumnRenamed("fb_part", "fb_p"), "fb_p", "left_semi").drop("fb_p")
+        kept = touched.filter(~inside | k.isNull())
+        return self.publish_parts(kept.unionByName(new_part.select(*cur.columns)), parts)
+
+    def publish_all(self, df: DataFrame) -> int:
+        """Initial load: every partition present in ``df``."""
+        parts = df.select(self.part_of(F.col(self.key_col)).alias("fb_part")).distinct()
+        return self.publish_parts(df, parts)
+
+
 def interval_replace(
     table: VersionedTable,
     new_rows: DataFrame,

@@ -265,3 +265,22 @@ def test_stream_equals_batch_on_closed_windows(spark, sf_small):
               if r.window_end <= max_t.replace(tzinfo=None, microsecond=(max_t.microsecond // 1000) * 1000)
               - dt.timedelta(seconds=5)}
     assert stream == closed
+
+
+def test_partition_versioned_interval_replace(spark, tmp_dir):
+    t = sinks.PartitionVersionedTable(f"{tmp_dir}/pv", "ts", unit="day", files_per_part=2)
+    d = lambda day, h: dt.datetime(2024, 1, day, h)
+    old = [(d(1, 23), "old"), (d(2, 1), "old"), (d(2, 23), "old"), (d(3, 5), "old"), (d(4, 1), "old")]
+    t.publish_all(spark.createDataFrame(old, "ts timestamp, v string"))
+    # Interval [2024-01-02 12:00, 2024-01-04 00:00): day 2 keeps 01:00, loses 23:00;
+    # day 3 has no new row and is emptied; day 4 (at the end) is untouched.
+    new = spark.createDataFrame([(d(2, 13), "new"), (d(5, 0), "outside")], "ts timestamp, v string")
+    for _ in range(2):
+        t.replace_interval(new, "2024-01-02 12:00:00", "2024-01-04 00:00:00")
+    got = sorted((r.ts, r.v) for r in t.read(spark).collect())
+    assert got == [(d(1, 23), "old"), (d(2, 1), "old"), (d(2, 13), "new"), (d(4, 1), "old")]
+    # A date-granularity table keyed by a date column, by month.
+    m = sinks.PartitionVersionedTable(f"{tmp_dir}/pm", "day", unit="month")
+    m.publish_all(spark.createDataFrame([(dt.date(2024, 1, 31), 1), (dt.date(2024, 2, 1), 2)], "day date, v int"))
+    m.replace_interval(spark.createDataFrame([], "day date, v int"), "2024-02-01", "2024-02-29", granularity="date")
+    assert [tuple(r) for r in m.read(spark).collect()] == [(dt.date(2024, 1, 31), 1)]
