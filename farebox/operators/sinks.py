@@ -188,7 +188,11 @@ class PartitionVersionedTable:
             return data.filter(current).drop("fb_part", "fb_version")
         return lookup_join(data, latest, ["fb_part", "fb_version"], "inner").drop("fb_part", "fb_version")
 
-    def publish_parts(self, content: DataFrame, parts: DataFrame) -> int:
+    def committed(self, spark: SparkSession, batch_id: int) -> bool:
+        log = self._log(spark)
+        return log is not None and log.filter(F.col("batch_id") == F.lit(batch_id)).limit(1).count() > 0
+
+    def publish_parts(self, content: DataFrame, parts: DataFrame, batch_id: int | None = None) -> int:
         """Replace the partitions listed in ``parts`` (column ``fb_part``) by
         ``content`` (rows of those partitions only).  Rows are spread by
         (partition, row-hash salt), so a large partition is written by
@@ -203,9 +207,14 @@ class PartitionVersionedTable:
             .partitionBy("fb_part", "fb_version")
             .parquet(self.data_path)
         )
-        parts.select("fb_part").distinct().withColumn("fb_version", F.lit(version)).coalesce(1).write.mode(
-            "append"
-        ).parquet(self.log_path)
+        (
+            parts.select("fb_part").distinct()
+            .withColumn("fb_version", F.lit(version))
+            .withColumn("batch_id", F.lit(batch_id).cast("long"))
+            .coalesce(1)  # one commit file per run: the commit is a single file
+            .write.mode("append")
+            .parquet(self.log_path)
+        )
         return version
 
     def replace_interval(self, new_rows: DataFrame, start, end, granularity: str = "timestamp") -> int:

@@ -110,7 +110,8 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     (update mode: a window row is rewritten as it changes)."""
     out = shared_dir(spark, "streams", "upsert")
     agg = sw.tumble_zone_revenue(_rides(spark, sf_dir))
-    sink = sinks.UpsertSink(f"{out}/table", ["window_start", "PULocationID"])
+    sink = sinks.UpsertSink(f"{out}/table", ["window_start", "PULocationID"], time_key="window_start", unit="day",
+                            files_per_part=2)
     q = sinks.start_foreach_batch(agg, sink, f"{out}/checkpoint", mode="update")
     q.awaitTermination()
     return to_ntz(sink.read(spark))

@@ -121,6 +121,16 @@ def test_upsert_sink_replay(spark, tmp_dir):
     assert sorted(tuple(r) for r in sink.read(spark).collect()) == [(1, "c"), (2, "b")]
 
 
+def test_partitioned_upsert_sink_replay(spark, tmp_dir):
+    sink = ssinks.UpsertSink(f"{tmp_dir}/pt", ["w", "k"], time_key="w", unit="day")
+    d1, d2 = dt.datetime(2024, 1, 1, 1), dt.datetime(2024, 1, 2, 1)
+    b0 = spark.createDataFrame([(d1, 1, "a"), (d2, 1, "b")], "w timestamp, k int, v string")
+    b1 = spark.createDataFrame([(d2, 1, "c"), (d2, 2, "d")], "w timestamp, k int, v string")
+    for b, i in ((b0, 0), (b1, 1), (b0, 0), (b1, 1)):
+        sink(b, i)
+    assert sorted(tuple(r) for r in sink.read(spark).collect()) == [(d1, 1, "a"), (d2, 1, "c"), (d2, 2, "d")]
+
+
 def test_upsert_sink_last_wins_by_order(spark, tmp_dir):
     sink = ssinks.UpsertSink(f"{tmp_dir}/o", ["k"], order_by="ts")
     b0 = spark.createDataFrame([(1, 5, "late"), (1, 3, "early"), (2, 1, "x")], "k int, ts int, v string")
