@@ -35,7 +35,7 @@ def keep_one(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFra
 
 
 def keep_one_window(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The window form of ``keep_one`` (same survivor).  Kept as the reference
+    """The window form of ``keep_one`` (same survivor).  Kept as the row_number
     formulation for equivalence tests; prefer ``keep_one`` on skewed keys."""
     key = list(key)
     rest = [c for c in df.columns if c not in key]

@@ -4,8 +4,8 @@ rollup (A15, X4).
 Scoring runs through ``mapInPandas``: Spark hands the function Arrow batches
 of one partition, so a partition is never materialised whole and the model
 sees vectorised pandas frames.  The model is any ``pandas.DataFrame ->
-pandas.Series`` callable; the default is the duration rule of the source
-notebook (``trip_distance * 5``).
+pandas.Series`` callable; the default is the duration rule of the modelled
+workload (``trip_distance * 5``).
 """
 
 from __future__ import annotations

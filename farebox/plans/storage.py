@@ -145,7 +145,7 @@ def format_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hourly_revenue_materialized(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M15 as the notebooks stage it: each service's hourly report is
+    """M15 staged as in the modelled workload: each service's hourly report is
     materialised (lineage cut by a checkpoint) and the outer join and zone
     join run on the saved reports."""
 

@@ -46,7 +46,7 @@ def hourly_revenue_outer_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hourly_revenue_full_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M15 exactly as composed in the source notebooks: two aggregates, a full
+    """M15 exactly as composed in the modelled workload: two aggregates, a full
     outer join on (hour, zone), then the zone join."""
     green, yellow = sources(spark, sf_dir)
     g = revenue.hourly_revenue(green, "lpep_pickup_datetime", since=REPORT_SINCE)

@@ -19,7 +19,7 @@ T0 = dt.datetime(2025, 10, 1, 0, 0, 0)
 
 
 def _brute_sessions(events, gap_s, keyed):
-    """Reference: sort, start a session when the gap exceeds ``gap_s``."""
+    """Brute force: sort, start a session when the gap exceeds ``gap_s``."""
     out = {}
     groups = {}
     for k, t in events:
