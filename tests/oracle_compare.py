@@ -54,6 +54,19 @@ def _norm(v):
     return v
 
 
+_TYPE_MAP = {
+    "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+    "date": "DATE", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE",
+    "smallint": "SMALLINT", "tinyint": "TINYINT", "float": "FLOAT",
+}
+
+
+def _same_type(spark_type: str, duck_type: str) -> bool:
+    if spark_type.startswith("decimal"):
+        return duck_type.upper().replace(" ", "") == spark_type.upper().replace(" ", "")
+    return _TYPE_MAP.get(spark_type, spark_type.upper()) == duck_type.upper()
+
+
 def compare(spark, name: str, fn, sql: str, sf_dir: str, verbose: bool = True) -> dict:
     t0 = time.time()
     sdf = fn(spark, sf_dir)
@@ -63,6 +76,8 @@ def compare(spark, name: str, fn, sql: str, sf_dir: str, verbose: bool = True) -
     con = duck(sf_dir)
     rel = con.sql(sql)
     d_cols = rel.columns
+    d_types = dict(zip(d_cols, [str(t) for t in rel.types]))
+    s_types = dict(sdf.dtypes)
     d_rows = rel.fetchall()
     t2 = time.time()
     out = {"name": name, "spark_sec": round(t1 - t0, 2), "duck_sec": round(t2 - t1, 2)}
@@ -77,6 +92,10 @@ def compare(spark, name: str, fn, sql: str, sf_dir: str, verbose: bool = True) -
     s_set = Counter(tuple(_norm(r[i]) for i in order) for r in s_rows)
     d_set = Counter(tuple(_norm(r[d_index[s_cols[i]]]) for i in order) for r in d_rows)
     out["ok"] = s_set == d_set
+    out["type_mismatch"] = {
+        c: (s_types[c], d_types[c]) for c in s_cols
+        if c in d_types and not _same_type(s_types[c], d_types[c])
+    }
     if not out["ok"]:
         only_s = list((s_set - d_set).elements())[:3]
         only_d = list((d_set - s_set).elements())[:3]
@@ -110,6 +129,8 @@ def main(argv):
         bad += 0 if r["ok"] else 1
         print(f"[{status}] {name}: rows {r['rows_spark']}/{r['rows_duck']} "
               f"spark {r['spark_sec']}s duck {r['duck_sec']}s", flush=True)
+        if r.get("type_mismatch"):
+            print(f"  types differ: {r['type_mismatch']}", flush=True)
         if not r["ok"]:
             print("  " + r.get("detail", ""), flush=True)
     print(f"done, {bad} failing")
