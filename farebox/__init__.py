@@ -12,3 +12,12 @@ Sub-packages:
 """
 
 __version__ = "0.1.0"
+
+import sys as _sys
+
+from pyspark import cloudpickle as _cloudpickle
+
+# Functions of this package that run inside Python workers (pandas scoring,
+# data source readers) are shipped by value, so executors need no copy of
+# the package on their path.
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])

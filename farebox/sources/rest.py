@@ -21,6 +21,7 @@ SCHEMA = (
     "pickup_datetime string, dropoff_datetime string, PULocationID long, DOLocationID long, "
     "fare_amount double, tip_amount double, total_amount double, payment_type long"
 )
+DEFAULT_FETCH = "farebox.sources.rest:http_fetch"
 FIELDS = ["pickup_datetime", "dropoff_datetime", "PULocationID", "DOLocationID",
           "fare_amount", "tip_amount", "total_amount", "payment_type"]
 
@@ -50,7 +51,7 @@ class TripPagesReader(DataSourceReader):
     def __init__(self, options: dict):
         self.url = options.get("url", "")
         self.page_size = int(options.get("page_size", "1000"))
-        self.fetch_spec = options.get("fetch", "farebox.sources.rest:http_fetch")
+        self.fetch_spec = options.get("fetch", DEFAULT_FETCH)
         self.taxis = [t for t in options.get("taxi", "green").split(",") if t]
         self.months = [m for m in options.get("months", "").split(",") if m]
 
@@ -65,7 +66,9 @@ class TripPagesReader(DataSourceReader):
     def read(self, partition: MonthPartition):
         if partition is None:  # no month requested: zero partitions planned
             return
-        fetch = _resolve(self.fetch_spec)
+        # The default fetcher travels with the reader (shipped by value); a
+        # custom one is imported by name on the executor.
+        fetch = http_fetch if self.fetch_spec == DEFAULT_FETCH else _resolve(self.fetch_spec)
         page = 1
         while True:
             rows = fetch(self.url, partition.taxi, partition.year, partition.month, page, self.page_size)
