@@ -7,12 +7,19 @@ whole table – into one task:
    ordered window finds *local* session starts (gap to the previous event of
    the group > ``gap``).  A group is bounded by the bucket width, not by the
    size of the key.
-2. Each group is summarised to one row (first time, last time, local starts).
-   Only this summary – keys × buckets rows – is ordered per key to decide
-   whether a bucket's first event continues the previous bucket's last
-   session, and to give each bucket its session-number offset.
-3. The offsets are joined back (AQE broadcasts them when small) and every event gets
-   ``offset + local ordinal - continued``; sessions are then plain aggregates.
+2. Right after the window, events are reduced to one row per local session
+   (and per counted group).  Each (key, bucket) is summarised to one row
+   (first time, last time, local starts); only this summary – keys × buckets
+   rows – is ordered per key to decide whether a bucket's first session
+   continues the previous bucket's last one, and to give each bucket its
+   session-number offset.
+3. The offsets are joined back to the local sessions (null-safe keys, so the
+   event shuffle is planned once and reused; AQE broadcasts the summary when
+   small); a local session gets ``offset + local ordinal - continued`` and the
+   sessions are plain aggregates of the local ones.
+
+``assign_sessions`` gives the same numbering per event when every event needs
+its session id.
 
 An event exactly ``gap`` after the previous one continues the session (the
 streaming ``session_window`` does the same); the session ends at last event +
