@@ -294,3 +294,15 @@ def test_partition_versioned_interval_replace(spark, tmp_dir):
     m.publish_all(spark.createDataFrame([(dt.date(2024, 1, 31), 1), (dt.date(2024, 2, 1), 2)], "day date, v int"))
     m.replace_interval(spark.createDataFrame([], "day date, v int"), "2024-02-01", "2024-02-29", granularity="date")
     assert [tuple(r) for r in m.read(spark).collect()] == [(dt.date(2024, 1, 31), 1)]
+
+
+def test_assign_sessions_and_null_keys(spark):
+    ev = [(1, T0), (1, T0 + dt.timedelta(seconds=100)), (1, T0 + dt.timedelta(seconds=1000)),
+          (None, T0), (None, T0 + dt.timedelta(seconds=10))]
+    df = spark.createDataFrame(ev, "zone int, t timestamp")
+    ids = {(r.zone, r.t): r.session_id for r in sessions.assign_sessions(df, "t", "5 minutes", ["zone"], 600).collect()}
+    assert ids[(1, T0)] == ids[(1, T0 + dt.timedelta(seconds=100))] == 1
+    assert ids[(1, T0 + dt.timedelta(seconds=1000))] == 2 and ids[(None, T0)] == 1
+    got = sorted(((r.zone if r.zone is not None else -1), r.num_trips)
+                 for r in sessions.sessions(df, "t", "5 minutes", keys=["zone"], bucket_seconds=600).collect())
+    assert got == [(-1, 2), (1, 1), (1, 2)]  # a null key is a group of its own
