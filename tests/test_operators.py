@@ -302,3 +302,20 @@ def test_excess_rows_nested_equals_distinct(spark):
     flat = dedupe.excess_rows(df, {"wide": ["a", "b", "c"], "other": ["c"]}).collect()[0]  # not nested
     assert (nested.wide, nested.mid, nested.narrow) == (2, 3, 4)
     assert (flat.wide, flat.other) == (2, 3)
+
+
+def test_trip_id_large_double_text(spark):
+    """A distance of 1e7 is hashed as decimal text (10000000.00), not as the
+    engine's float text (1.0E7)."""
+    import hashlib
+
+    df = spark.createDataFrame([(1e7,)], "trip_distance double")
+    got = df.select(C.surrogate_key([F.col("trip_distance").cast("decimal(18,2)")]).alias("k")).collect()[0].k
+    assert got == hashlib.md5(b"10000000.00").hexdigest()
+
+
+def test_half_open_range_edges(spark):
+    start, end = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
+    df = spark.createDataFrame([(start,), (end,), (end - dt.timedelta(microseconds=1),), (None,)], "t timestamp")
+    got = sorted(r.t for r in revenue.between_filter(df, "t", start, end).collect())
+    assert got == [start, end - dt.timedelta(microseconds=1)]  # start kept, end excluded, null dropped

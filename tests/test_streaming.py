@@ -306,3 +306,12 @@ def test_assign_sessions_and_null_keys(spark):
     got = sorted(((r.zone if r.zone is not None else -1), r.num_trips)
                  for r in sessions.sessions(df, "t", "5 minutes", keys=["zone"], bucket_seconds=600).collect())
     assert got == [(-1, 2), (1, 1), (1, 2)]  # a null key is a group of its own
+
+
+def test_json_wrong_field_type(spark):
+    msgs = spark.createDataFrame(
+        [('{"PULocationID": "x", "lpep_pickup_datetime": "2025-10-01 00:10:01", "total_amount": 2.5}',)],
+        "value string")
+    rows_ = source.green_trips_from_messages(msgs).collect()
+    # The unreadable field does not invent a value: it is null, or the record is dropped.
+    assert all(r.PULocationID is None for r in rows_)
