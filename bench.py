@@ -45,7 +45,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = get_spark(master=f"local[{cpus}]", app="farebox-bench", shuffle_partitions=int(cpus) * 2)
+    spark = get_spark(master=f"local[{cpus}]", app="farebox-bench", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus)))
     # Warm-up, not timed: every headline query once on the smallest scale
     # (JIT, codegen caches, Python workers), so the timed pass measures the
     # queries and not the first use of the JVM.
