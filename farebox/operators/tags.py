@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farebox.functions.columns import month_start
+from farebox.operators.revenue import scaled_units
 
 # Fixed value: the tag list of the trend mart.
 TREND_TAGS = ("python", "java", "javascript", "sql", "pandas")
@@ -38,21 +39,22 @@ def tag_month(
 
     Questions are first reduced to one row per (question id, month) holding
     count and sums, and only then joined with their tags; averages are
-    recombined as sum/count.  The join input no longer grows with the rows of
+    recombined as exact sums over counts.  The join input no longer grows with the rows of
     a hot question (it is bounded by ids × months), and the result equals
     the plain join-then-aggregate."""
     pre = questions.groupBy(F.col(id_col).alias("question_id"), month_start(time_col).alias("month")).agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(F.col(score_col).cast(f"decimal(18,{scale})")).alias("s_score"),
-        F.sum(F.col(views_col).cast(f"decimal(18,{scale})")).alias("s_views"),
+        F.sum(scaled_units(score_col, scale)).alias("s_score"),
+        F.sum(scaled_units(views_col, scale)).alias("s_views"),
         F.count(F.col(score_col)).alias("n_score"),
         F.count(F.col(views_col)).alias("n_views"),
     )
     joined = pre.join(question_tags, "question_id")
-    # Exact decimal sums divided once in double: independent of the order in
-    # which partial sums are combined (see revenue.exact_avg).
-    avg_score = F.try_divide(F.sum("s_score").cast("double"), F.sum("n_score").cast("double"))
-    avg_views = F.try_divide(F.sum("s_views").cast("double"), F.sum("n_views").cast("double"))
+    # Exact integer-unit sums turned into doubles once: independent of the
+    # order in which partial sums are combined (see revenue.exact_avg).
+    unit = F.lit(float(10 ** scale))
+    avg_score = F.try_divide(F.sum("s_score").cast("double") / unit, F.sum("n_score").cast("double"))
+    avg_views = F.try_divide(F.sum("s_views").cast("double") / unit, F.sum("n_views").cast("double"))
     return joined.groupBy("month", "tag").agg(
         F.sum("n").alias("question_count"),
         avg_score.cast("double").alias("avg_score"),
