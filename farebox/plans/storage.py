@@ -128,19 +128,19 @@ def month_interval_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def format_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Even months landed as CSV, odd months as Parquet, in
-    ``yyyy/mm`` folders; 1996 read month by month, CSV preferred."""
+    """Every month of the raw ingest is landed – even months as gzip
+    CSV, odd months as Parquet, in ``year=/month=`` folders (two partitioned
+    writes, one scan each) – and read back month by month with CSV
+    preferred, Parquet as the fallback."""
     base = shared_dir(spark, "landing", "fallback")
-    t = _ingested_by_month(spark, sf_dir).filter("year = 1996")
-    for m in range(1, 13):
-        part = t.filter(F.col("month") == m).drop("year", "month")
-        d = f"{base}/1996/{m:02d}"
-        if m % 2 == 0:
-            files.write_csv(part, d)
-        else:
-            part.write.mode("overwrite").parquet(d)
-    months = [dt.date(1996, m, 1) for m in range(1, 13)]
-    out = files.read_month_fallback(spark, base, months, INGESTED_SCHEMA, prefer="csv")
+    t = _ingested_by_month(spark, sf_dir)
+    even = F.col("month") % 2 == 0
+    files.write_csv(t.filter(even), base, partition_by=["year", "month"])
+    sinks.write_table(t.filter(~even), base, mode="append", partition_by=["year", "month"])
+    span = t.agg(F.min("year").alias("y0"), F.max("year").alias("y1")).collect()[0]
+    months = files.month_starts(dt.date(span.y0, 1, 1), dt.date(span.y1, 12, 31), today=dt.date(9999, 1, 1))
+    out = files.read_month_fallback(spark, base, months, INGESTED_SCHEMA, prefer="csv",
+                                    month_dir="{base}/year={year}/month={month}")
     return to_ntz(out)
 
 

@@ -41,10 +41,12 @@ def read_csv(
 
 
 def write_csv(df: DataFrame, path: str, gzip: bool = True, mode: str = "overwrite",
-              timestamp_format: str = "yyyy-MM-dd HH:mm:ss.SSSSSS") -> None:
+              timestamp_format: str = "yyyy-MM-dd HH:mm:ss.SSSSSS", partition_by: Sequence[str] = ()) -> None:
     w = df.write.mode(mode).option("header", "true").option("timestampFormat", timestamp_format)
     if gzip:
         w = w.option("compression", "gzip")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
     w.csv(path)
 
 
@@ -185,14 +187,16 @@ def read_month_fallback(
     months: Sequence[dt.date],
     csv_schema: T.StructType,
     prefer: str = "csv",
+    month_dir: str = "{base}/{year:04d}/{month:02d}",
 ) -> DataFrame | None:
     """Per month, read the preferred format if its files exist, else the
     other, else skip the month; months are unioned by name.  Returns None
-    when no month has data."""
+    when no month has data.  ``month_dir`` locates a month's folder
+    (``{base}/year={year}/month={month}`` for a partitioned landing)."""
     order = ["csv", "parquet"] if prefer == "csv" else ["parquet", "csv"]
     frames = []
     for m in months:
-        d = f"{base}/{m.year:04d}/{m.month:02d}"
+        d = month_dir.format(base=base, year=m.year, month=m.month)
         for fmt in order:
             if fmt == "csv":
                 df = try_read(lambda: read_csv(spark, f"{d}/*.csv.gz", csv_schema))
