@@ -119,3 +119,19 @@ def formatted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value").alias("total_amount"),
     )
     return records.format_line(rides)
+
+
+SOURCE_RULES = {
+    "l_orderkey": ["not_null"],
+    "l_partkey": ["not_null"],
+    "l_shipdate": ["not_null"],
+    "l_quantity": ["non_negative", "positive"],
+    "l_extendedprice": ["non_negative"],
+}
+
+
+def source_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q12 + Q2: checks on a source scan (lineitem as landed), including the
+    uniqueness of its (order, line) key, in one pass."""
+    li = load(spark, sf_dir, "lineitem")
+    return quality.checks_with_unique(li, SOURCE_RULES, ["l_orderkey", "l_linenumber"], "lineitem")
