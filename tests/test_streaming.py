@@ -315,3 +315,25 @@ def test_json_wrong_field_type(spark):
     rows_ = source.green_trips_from_messages(msgs).collect()
     # The unreadable field does not invent a value: it is null, or the record is dropped.
     assert all(r.PULocationID is None for r in rows_)
+
+
+def test_stream_sessions_equal_batch_on_closed_sessions(spark, sf_small):
+    """ST7 / ST8: the streaming sessions equal the batch sessions (same event
+    times: whole seconds of the green-trip text) that closed before the final
+    watermark."""
+    from farebox.plans import streams
+
+    green = source.green_trips_from_messages(source.green_trip_messages(
+        spark.read.parquet(f"{sf_small}/events.parquet")))
+    wm = green.agg(F.max("event_time")).collect()[0][0] - dt.timedelta(seconds=5)
+
+    def closed(df, keyed):
+        return {((r.PULocationID if keyed else None), r.session_start, r.session_end, r.PULocationID, r.num_trips)
+                for r in df.collect() if r.session_end <= wm.replace(tzinfo=None)}
+
+    batch_keyed = sessions.sessions(green, "event_time", "60 minutes", keys=["PULocationID"])
+    stream_keyed = streams.stream_session_keyed(spark, sf_small)
+    assert closed(stream_keyed, True) == closed(batch_keyed, True)
+    batch_global = sessions.sessions(green, "event_time", "5 minutes", count_by=["PULocationID"])
+    stream_global = streams.stream_session_global(spark, sf_small)
+    assert closed(stream_global, False) == closed(batch_global, False)
