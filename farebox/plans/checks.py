@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farebox.functions import records
-from farebox.operators import dedupe, quality, scoring
+from farebox.operators import dedupe, quality, revenue, scoring
 from farebox.plans import domain, trips
 from farebox.sources import files
 from farebox.tables import load, to_ntz
@@ -40,8 +40,13 @@ def custom_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     dup = dedupe.excess_rows(staged, {"v": key})
     report = trips.daily_report(spark, sf_dir)
     in_range = report.filter(F.col("trip_date").between(F.lit("1998-01-01").cast("date"), F.lit("1998-12-31").cast("date")))
+    # Variant Z's check: its own dedupe key, bounded to the run interval.
+    staged_z = trips.staging_trips(trips.ingested(spark, sf_dir), domain.payment_lookup(spark), variant="Z")
+    z_run = revenue.between_filter(staged_z, "pickup_datetime", "1998-01-01 00:00:00", "1999-01-01 00:00:00")
+    dup_z = dedupe.excess_rows(z_run, {"v": trips.KEY_Z})
     return quality.report(
         quality.custom_check("no_duplicate_trips", dup, 0),
+        quality.custom_check("no_duplicate_trips_z", dup_z, 0),
         quality.custom_check("has_report_data", quality.exists_indicator(in_range), 1),
     )
 
