@@ -22,7 +22,13 @@ def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> boo
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                    known_rows: int | None = None) -> DataFrame:
+    """Broadcast hint when the frame has at most ``max_rows`` rows.
+    ``known_rows`` states a size fixed by construction (a literal seed in
+    code) and skips the counting job."""
+    if known_rows is not None:
+        return F.broadcast(df) if known_rows <= max_rows else df
     return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
@@ -32,10 +38,11 @@ def lookup_join(
     on: Column | str | Sequence[str],
     how: str = "left",
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    known_rows: int | None = None,
 ) -> DataFrame:
     """Fact ⟕ lookup (J1, J4).  ``how='left'`` keeps unmatched fact rows with
     null lookup columns; ``'inner'`` drops them."""
-    return fact.join(maybe_broadcast(lookup, max_broadcast_rows), on, how)
+    return fact.join(maybe_broadcast(lookup, max_broadcast_rows, known_rows), on, how)
 
 
 def left_join_then_require(

@@ -131,6 +131,9 @@ def zones(nation: DataFrame) -> DataFrame:
     )
 
 
+PAYMENT_LOOKUP_SIZE = len(PAYMENT_LOOKUP_ROWS)
+
+
 def payment_lookup(spark) -> DataFrame:
 
     return spark.createDataFrame(

@@ -38,7 +38,8 @@ def interval_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
                                           files_per_part=2)
     table.publish_all(trips.daily_report(spark, sf_dir))
     staged_a = trips.staging_trips(trips.ingested(spark, sf_dir), domain.payment_lookup(spark),
-                                   "1998-01-01 00:00:00", "1999-01-01 00:00:00", variant="A")
+                                   "1998-01-01 00:00:00", "1999-01-01 00:00:00", variant="A",
+                                   lookup_rows=domain.PAYMENT_LOOKUP_SIZE)
 
     new = revenue.daily_report(staged_a, "1998-01-01 00:00:00", "1999-01-01 00:00:00", null_payment_label=None)
     for _ in range(2):

@@ -194,7 +194,7 @@ STAGING_OUT = [
 
 
 def staging_trips(ingested: DataFrame, lookup: DataFrame, start=None, end=None,
-                  variant: str = "A") -> DataFrame:
+                  variant: str = "A", lookup_rows: int | None = None) -> DataFrame:
     """M6 (variant A) / M7 (variant Z): normalise, bound to ``[start, end)``,
     drop invalid rows, name the payment, keep one row per trip key.
 
@@ -202,7 +202,8 @@ def staging_trips(ingested: DataFrame, lookup: DataFrame, start=None, end=None,
     Z: key without the fare; locations must be present; the survivor is
        chosen first, then rows whose payment has no name are dropped.
     The survivor is the first row by pickup time, then the remaining output
-    columns (nulls first) – a total order, so reruns agree."""
+    columns (nulls first) – a total order, so reruns agree.  ``lookup_rows``
+    states the lookup's size when it is fixed by construction (the seed)."""
     t = normalize.coalesce_sources(ingested, STAGING_ALTERNATIVES)
     t = revenue.between_filter(t, "pickup_datetime", start, end)
     t = t.filter(
@@ -212,7 +213,8 @@ def staging_trips(ingested: DataFrame, lookup: DataFrame, start=None, end=None,
     )
     if variant == "Z":
         t = t.filter(F.col("pickup_location_id").isNotNull() & F.col("dropoff_location_id").isNotNull())
-    named = lookup_join(t, lookup, t["payment_type"] == lookup["payment_type_id"], "left").select(
+    named = lookup_join(t, lookup, t["payment_type"] == lookup["payment_type_id"], "left",
+                        known_rows=lookup_rows).select(
         *[c for c in STAGING_OUT]
     )
     key = KEY_A if variant == "A" else KEY_Z
@@ -228,11 +230,13 @@ def ingested(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedupe_keep_one_a(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return to_ntz(staging_trips(ingested(spark, sf_dir), domain.payment_lookup(spark), variant="A"))
+    return to_ntz(staging_trips(ingested(spark, sf_dir), domain.payment_lookup(spark), variant="A",
+                               lookup_rows=domain.PAYMENT_LOOKUP_SIZE))
 
 
 def dedupe_keep_one_z(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return to_ntz(staging_trips(ingested(spark, sf_dir), domain.payment_lookup(spark), variant="Z"))
+    return to_ntz(staging_trips(ingested(spark, sf_dir), domain.payment_lookup(spark), variant="Z",
+                               lookup_rows=domain.PAYMENT_LOOKUP_SIZE))
 
 
 REPORT_START, REPORT_END = "1997-01-01 00:00:00", "2000-01-01 00:00:00"
@@ -240,7 +244,8 @@ REPORT_START, REPORT_END = "1997-01-01 00:00:00", "2000-01-01 00:00:00"
 
 def daily_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M8 variant Z over the whole staged table."""
-    staged = staging_trips(ingested(spark, sf_dir), domain.payment_lookup(spark), variant="Z")
+    staged = staging_trips(ingested(spark, sf_dir), domain.payment_lookup(spark), variant="Z",
+                               lookup_rows=domain.PAYMENT_LOOKUP_SIZE)
     return revenue.daily_report(staged)
 
 
@@ -248,7 +253,7 @@ def daily_report_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M8 variant A on one run interval (``[start, end)`` is the feature):
     the null payment name of unmatched codes is kept."""
     staged = staging_trips(ingested(spark, sf_dir), domain.payment_lookup(spark),
-                           REPORT_START, REPORT_END, variant="A")
+                           REPORT_START, REPORT_END, variant="A", lookup_rows=domain.PAYMENT_LOOKUP_SIZE)
     return revenue.daily_report(staged, REPORT_START, REPORT_END, null_payment_label=None)
 
 
