@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farebox.llm import simhash
+from farebox.llm import simhash, substring
 from farebox.llm.common import ready
 from farebox.tables import load
 
@@ -29,3 +29,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_simhash(spark, sf_dir):
     g = simhash.simhash_groups(table(spark, sf_dir, "documents"), "doc_id", "text", shingle=3, max_bits=2)
     return g.select(F.col("id").alias("doc_id"), "fingerprint", "component_id")
+
+
+@register("op3_substring_dedup")
+def op3_substring_dedup(spark, sf_dir):
+    out = substring.substring_dedup(table(spark, sf_dir, "documents"), "doc_id", "text", window=13)
+    return out.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")

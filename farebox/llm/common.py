@@ -43,7 +43,7 @@ def row_key(id_col: str, text_col: str) -> list[Column]:
     """(``_id`` long, ``_th`` int): identity of a document row."""
     return [
         F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NULL_ID)).alias("_id"),
-        F.xxhash64(F.col(f"`{text_col}`").cast("binary")).cast("int").alias("_th"),
+        F.shiftright(F.xxhash64(F.col(f"`{text_col}`").cast("binary")), 32).cast("int").alias("_th"),
     ]
 
 
