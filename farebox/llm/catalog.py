@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farebox.llm import simhash, substring
+from farebox.llm import simhash, substring, suffix
 from farebox.llm.common import ready
 from farebox.tables import load
 
@@ -35,3 +35,9 @@ def op1_simhash(spark, sf_dir):
 def op3_substring_dedup(spark, sf_dir):
     out = substring.substring_dedup(table(spark, sf_dir, "documents"), "doc_id", "text", window=13)
     return out.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
+@register("op2_suffix_dedup")
+def op2_suffix_dedup(spark, sf_dir):
+    out = suffix.suffix_dedup(table(spark, sf_dir, "documents"), "doc_id", "text", window=100)
+    return out.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")

@@ -50,7 +50,7 @@ def sample(seed, n=150):
 @pytest.mark.parametrize("m", [1, 4])
 def test_matches_brute_force(spark, m):
     rows = sample(m)
-    rows += [(900, None), (None, rows[0][1]), (901, ""), (902, rows[5][1]), (902, rows[6][1]), (rows[7][0], rows[7][1]), (903, "a b " * 4000), (904, "a b " * 20)]
+    rows += [(900, None), (None, rows[0][1]), (901, ""), (902, rows[5][1]), (902, rows[6][1]), *rows[7:12], (903, "a b " * 4000), (904, "a b " * 20)]
     assert run(spark, rows, minimiser_words=m) == slow(rows, 13)
 
 
