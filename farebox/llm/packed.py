@@ -6,19 +6,22 @@ from __future__ import annotations
 import struct
 
 import numpy as np
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from farebox.llm.common import NULL_ID, flat, mix
 
-def dump(*arrays: np.ndarray) -> bytes:
+
+def dump(*arrays: np.ndarray, level: int = 1) -> bytes:
     """Arrays (any 1-d dtype) as one compressed blob."""
     head, body = [struct.pack("<i", len(arrays))], []
     for a in arrays:
         raw = np.ascontiguousarray(a).tobytes()
         head.append(struct.pack("<2sq", a.dtype.str[1:].encode(), len(raw)))
         body.append(raw)
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(head + body))
+    return zstandard.ZstdCompressor(level=level).compress(b"".join(head + body))
 
 
 def load(blob: bytes) -> list[np.ndarray]:
@@ -54,18 +57,97 @@ def spread(blobs: DataFrame, buckets: int) -> DataFrame:
     return blobs.repartition(min(buckets, 4 * int(blobs.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "bucket")
 
 
-def join_spans(texts: DataFrame, spans: DataFrame) -> DataFrame:
-    """``_id, _th, _text`` with the ``_spans`` (array of start, len) of the
-    same row; null where there is none."""
-    per_row = spans.groupBy("_id", "_th").agg(F.collect_list(F.struct("start", "len")).alias("_spans"))
-    return texts.join(per_row, ["_id", "_th"], "left")
+def split_by(bucket: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """(bucket, positions) of every bucket that occurs."""
+    order = np.argsort(bucket, kind="stable")
+    if not len(order):
+        return []
+    return [(int(bucket[g[0]]), g) for g in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1)]
+
+
+def row_bucket(doc: np.ndarray, th: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of a document row by its identity."""
+    key = mix(doc.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + th.astype(np.int64).view(np.uint64))
+    return (key % np.uint64(buckets)).astype(np.int32)
+
+
+#: Columns of a packed exchange.
+BLOBS = "bucket int, blob binary"
+
+
+def batch(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([b for b, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())], names=["bucket", "blob"])
+
+
+def blob_table(rows: list[tuple[int, bytes]]) -> pa.Table:
+    return pa.Table.from_batches([batch(rows)])
+
+
+def concat(blobs: list[bytes]) -> list[np.ndarray]:
+    got = [load(b) for b in blobs]
+    return [np.concatenate([g[i] for g in got]) for i in range(len(got[0]))]
+
+
+def pack_documents(source: DataFrame, buckets: int, flush_bytes: int) -> DataFrame:
+    """``_id, _th, _text`` rows as blobs (ids, hashes, lengths, bytes) by the
+    bucket of the row, compressed together."""
+
+    def flush(held):
+        ids, ths, lens = (np.concatenate([h[i] for h in held]) for i in range(3))
+        data = np.concatenate([h[3] for h in held])
+        at = offsets_of(lens)
+        return batch([(bucket, dump(ids[g], ths[g], lens[g], slices(data, at[g], at[g + 1]), level=3)) for bucket, g in split_by(row_bucket(ids, ths, buckets))])
+
+    def pack(batches):
+        held, size = [], 0
+        for b in batches:
+            ids, ths = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            data, offsets = flat(b.column(2))
+            held.append((ids, ths, np.diff(offsets), np.array(data)))
+            size += len(data)
+            if size >= flush_bytes:
+                yield flush(held)
+                held, size = [], 0
+        if held:
+            yield flush(held)
+
+    return spread(source.mapInArrow(pack, BLOBS), buckets)
+
+
+def cut_documents(docs: DataFrame, spans: DataFrame, buckets: int, cut, schema: str) -> DataFrame:
+    """Rows ``cut(id, text, spans)`` of every packed document with the (start,
+    len) spans that were sent to its bucket (blobs of doc, th, start, len)."""
+    names = [f.split()[0] for f in schema.split(", ")]
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        kinds = pa.schema([(f.split()[0], {"long": pa.int64(), "binary": pa.binary(), "string": pa.string()}[f.split()[1]]) for f in schema.split(", ")])
+        blobs = left.column("blob").to_pylist()
+        if not blobs:
+            return kinds.empty_table()
+        mine: dict[tuple, list] = {}
+        found = right.column("blob").to_pylist()
+        if found:
+            doc, th, pos, n = (x.tolist() for x in concat(found))
+            for i, t, p, m in zip(doc, th, pos, n):
+                mine.setdefault((i, t), []).append((p, m))
+        tables = []
+        for blob in blobs:
+            ids, ths, lens, text = load(blob)
+            at, view = offsets_of(lens), memoryview(text)
+            rows = [cut(i, bytes(view[at[j] : at[j + 1]]), mine.get((i, t))) for j, (i, t) in enumerate(zip(ids.tolist(), ths.tolist()))]
+            tables.append(pa.table([pa.array(list(c), k) for c, k in zip(zip(*rows), kinds.types)], names=names))
+        return pa.concat_tables(tables)
+
+    out = docs.groupBy("bucket").cogroup(spread(spans, buckets).groupBy("bucket")).applyInArrow(run, schema)
+    return out.withColumn("id", F.when(F.col("id") != NULL_ID, F.col("id")))
 
 
 def merge_spans(spans: list | None, length: int) -> list[tuple[int, int]]:
     """Maximal runs [a, b) of the union of (start, len) spans."""
     if not spans:
         return []
-    cells = np.array([(s["start"], s["start"] + s["len"]) for s in spans], dtype=np.int64)
+    cells = np.array(spans, dtype=np.int64)
+    cells[:, 1] += cells[:, 0]
     cells = cells[np.argsort(cells[:, 0], kind="stable")]
     top = np.maximum.accumulate(cells[:, 1])
     new = np.concatenate(([True], cells[1:, 0] > top[:-1]))

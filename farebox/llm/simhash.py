@@ -209,6 +209,7 @@ def pigeonhole_links(fps: DataFrame, tau: int, parts: int | None = None, bucket_
     m = parts or part_count(n, tau)
     groups = group_bits(n, ones, both, m)
     p = ones / max(n, 1)
+    link_rows = len(ball(BITS, tau - tau // 2))
 
     def index(batches):
         for b in batches:
@@ -229,6 +230,8 @@ def pigeonhole_links(fps: DataFrame, tau: int, parts: int | None = None, bucket_
             fp = b.column(0).to_numpy(zero_copy_only=False)
             un = fp.view(np.uint64)
             counts = np.stack([b.column(1 + i).to_numpy(zero_copy_only=False) for i in range(m)], axis=1)
+            # A crowded value costs its fixed number of linking rows instead.
+            counts = np.where(counts > bucket_cap, link_rows, counts)
             t = allocate(estimated_costs(un, counts, groups, p, tau), tau)
             for i, bits in enumerate(groups):
                 val = project(un, bits)

@@ -19,7 +19,6 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from farebox.llm import packed
 from farebox.llm.common import Roller, first_by, flat, keyed_texts, mix, ready, row_chunks, text_bytes, window_anchors, words
@@ -62,8 +61,8 @@ def super_kmers(data, offsets, window: int, m: int, roller: Roller):
 class _Sender:
     """Collects the super-k-mers of a task and flushes them by bucket."""
 
-    def __init__(self, window: int, m: int, buckets: int, flush_bytes: int):
-        self.window, self.m, self.buckets, self.flush_bytes = window, m, buckets, flush_bytes
+    def __init__(self, window: int, m: int, buckets: int):
+        self.window, self.m, self.buckets = window, m, buckets
         self.roller = Roller()
         self.parts, self.size = [], 0
 
@@ -98,17 +97,15 @@ class _Sender:
                     later[k] = False
         gone = np.zeros(len(doc), dtype=bool)
         gone[order[later]] = True
-        by_bucket = np.argsort(bucket, kind="stable")
-        cuts = np.flatnonzero(np.diff(bucket[by_bucket])) + 1
         out = []
-        for group in np.split(by_bucket, cuts):
+        for b, group in packed.split_by(bucket):
             keep, drop = group[~gone[group]], group[gone[group]]
             blob = packed.dump(
                 doc[keep], th[keep], first[keep], count[keep], size[keep], packed.slices(text, at[keep], at[keep + 1]),
-                doc[drop], th[drop], first[drop], count[drop],
-            )
-            out.append((int(bucket[group[0]]), blob))
-        yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in out], pa.int32()), pa.array([x for _, x in out], pa.binary())], names=["bucket", "blob"])
+                doc[drop], th[drop], first[drop], count[drop], level=3,
+            )
+            out.append((b, blob))
+        yield packed.batch(out)
 
 
 def _decide(blobs: list[bytes], window: int):
@@ -164,76 +161,52 @@ def _decide(blobs: list[bytes], window: int):
     return doc, th, first, count + (window - 1)
 
 
-def repeated_spans(texts: DataFrame, window: int = 13, minimiser_words: int = 4, bucket_bytes: int = 8 << 20, flush_bytes: int = 48 << 20) -> DataFrame:
-    """``_id, _th, start, len`` (in words): runs covered by windows that also
-    start in a document with a smaller id."""
+def substring_dedup(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13, minimiser_words: int = 3, bucket_bytes: int = 8 << 20, flush_bytes: int = 16 << 20
+) -> DataFrame:
+    """One row per input row: ``id, n_words, n_removed, kept`` (binary: the
+    untouched text unless something was removed, else the kept runs of words
+    joined by one space) and ``kept_sha256`` (of the kept words, so joined).
+
+    Every word covered by a ``window``-word string that also starts in a
+    document with a smaller id goes.  Null text reads as empty; null ids count
+    as larger than all others; rows that share an id never remove each other's
+    words.  Texts shorter than a window stay whole.  Other columns are ignored;
+    an empty table gives no rows."""
+    ready(df.sparkSession)
+    texts = keyed_texts(df, id_col, text_col)
     buckets = packed.bucket_count(text_bytes(texts, "_text"), bucket_bytes)
 
     def send(batches):
-        sender = _Sender(window, minimiser_words, buckets, flush_bytes)
+        sender = _Sender(window, minimiser_words, buckets)
         for b in batches:
-            ids = b.column(0).to_numpy(zero_copy_only=False)
-            ths = b.column(1).to_numpy(zero_copy_only=False)
+            ids, ths = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             data, offsets = flat(b.column(2))
             for lo, hi in row_chunks(offsets):
                 sender.add(ids[lo:hi], ths[lo:hi], data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
-                if sender.size >= sender.flush_bytes:
+                if sender.size >= flush_bytes:
                     yield from sender.flush()
         yield from sender.flush()
 
     def decide(tab: pa.Table) -> pa.Table:
         doc, th, first, n = _decide(tab.column("blob").to_pylist(), window)
-        return pa.table({"_id": pa.array(doc, pa.int64()), "_th": pa.array(th, pa.int32()), "start": pa.array(first, pa.int32()), "len": pa.array(n, pa.int32())})
-
-    blobs = packed.spread(texts.mapInArrow(send, "bucket int, blob binary"), buckets)
-    return blobs.groupBy("bucket").applyInArrow(decide, "_id long, _th int, start int, len int")
-
-
-def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13, minimiser_words: int = 4) -> DataFrame:
-    """One row per input row: ``id, n_words, n_removed, kept`` (string: the
-    words that stay; untouched text unless something was removed, else the
-    kept runs joined by one space) and ``kept_sha256``.
-
-    Every word covered by a window whose words also start in a document with a
-    smaller id goes.  Null text has no words and keeps null; null ids count as
-    larger than all others; rows that share an id never remove each other's
-    words.  Texts shorter than a window stay whole.  Other columns are ignored;
-    an empty table gives no rows."""
-    ready(df.sparkSession)
-    texts = keyed_texts(df, id_col, text_col)
-    rows = df.select(*_columns(df, id_col, text_col))
-    joined = packed.join_spans(rows, repeated_spans(texts, window, minimiser_words))
-
-    def cut(batches):
-        for b in batches:
-            out = []
-            for text, spans in zip(b.column("_text").to_pylist(), b.column("_spans").to_pylist()):
-                raw = text or b""
-                if not spans:
-                    w = raw.split()
-                    out.append((len(w), 0, text, hashlib.sha256(b" ".join(w)).hexdigest()))
-                    continue
-                flat_text = np.frombuffer(raw, np.uint8)
-                start, end, _ = words(flat_text, np.array([0, len(raw)]))
-                gone = packed.merge_spans(spans, len(start))
-                kept, at = [], 0
-                for a, z in [*gone, (len(start), len(start))]:
-                    if a > at:
-                        kept.append(raw[start[at] : end[a - 1]])
-                    at = z
-                text = b" ".join(kept)
-                out.append((len(start), sum(z - a for a, z in gone), text, hashlib.sha256(b" ".join(text.split())).hexdigest()))
-            n, r, t, s = (list(x) for x in zip(*out)) if out else ([], [], [], [])
-            yield pa.RecordBatch.from_arrays(
-                [b.column("id"), pa.array(n, pa.int64()), pa.array(r, pa.int64()), pa.array(t, pa.binary()), pa.array(s, pa.string())],
-                names=["id", "n_words", "n_removed", "kept", "kept_sha256"],
-            )
-
-    out = joined.select("id", "_text", "_spans").mapInArrow(cut, "id long, n_words long, n_removed long, kept binary, kept_sha256 string")
-    return out.withColumn("kept", F.col("kept").cast("string"))
-
-
-def _columns(df: DataFrame, id_col: str, text_col: str):
-    from farebox.llm.common import row_key
-
-    return [F.col(f"`{id_col}`").cast("long").alias("id"), *row_key(id_col, text_col), F.col(f"`{text_col}`").cast("binary").alias("_text")]
+        return packed.blob_table([(b, packed.dump(doc[g], th[g], first[g], n[g])) for b, g in packed.split_by(packed.row_bucket(doc, th, buckets))])
+
+    docs = packed.pack_documents(texts, buckets, flush_bytes)
+    spans = packed.spread(texts.mapInArrow(send, packed.BLOBS), buckets).groupBy("bucket").applyInArrow(decide, packed.BLOBS)
+    return packed.cut_documents(docs, spans, buckets, _cut, "id long, n_words long, n_removed long, kept binary, kept_sha256 string")
+
+
+def _cut(doc: int, text: bytes, spans: list | None) -> tuple:
+    if not spans:
+        w = text.split()
+        return doc, len(w), 0, text, hashlib.sha256(b" ".join(w)).hexdigest()
+    start, end, _ = words(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+    gone = packed.merge_spans(spans, len(start))
+    kept, at = [], 0
+    for a, z in [*gone, (len(start), len(start))]:
+        if a > at:
+            kept.append(text[start[at] : end[a - 1]])
+        at = z
+    out = b" ".join(kept)
+    return doc, len(start), sum(z - a for a, z in gone), out, hashlib.sha256(b" ".join(out.split())).hexdigest()

@@ -27,10 +27,9 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from farebox.llm import packed
-from farebox.llm.common import NULL_ID, Roller, first_by, flat, mix, ready, row_chunks, row_key, text_bytes, window_anchors
+from farebox.llm.common import Roller, flat, keyed_texts, mix, ready, row_chunks, text_bytes, window_anchors
 
 
 # --------------------------------------------------------------- suffix array
@@ -211,29 +210,6 @@ def _confirm(data, start, end):
     return lambda i, j: view[start[i] : end[i]] == view[start[j] : end[j]]
 
 
-def _split_by(bucket: np.ndarray):
-    order = np.argsort(bucket, kind="stable")
-    if not len(order):
-        return []
-    return [(int(bucket[g[0]]), g) for g in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1)]
-
-
-def _row_bucket(doc: np.ndarray, th: np.ndarray, buckets: int) -> np.ndarray:
-    key = mix(doc.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + th.astype(np.int64).view(np.uint64))
-    return (key % np.uint64(buckets)).astype(np.int32)
-
-
-_BLOBS = "bucket int, blob binary"
-
-
-def _batch(rows):
-    return pa.RecordBatch.from_arrays([pa.array([b for b, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())], names=["bucket", "blob"])
-
-
-def _blob_table(rows):
-    return pa.Table.from_batches([_batch(rows)])
-
-
 class _Anchors:
     """Pass one, map side."""
 
@@ -258,28 +234,23 @@ class _Anchors:
         gone = decide_equal(content, doc, th, pos, _confirm(data, a, b))
         pos = pos.astype(np.int32)
         rows = []
-        for bucket, g in _split_by((h % np.uint64(self.buckets)).astype(np.int32)):
+        for bucket, g in packed.split_by((h % np.uint64(self.buckets)).astype(np.int32)):
             keep, drop = g[~gone[g]], g[gone[g]]
             rows.append((bucket, packed.dump(doc[keep], th[keep], pos[keep], count[keep], aoff[keep], h[keep], doc[drop], th[drop], pos[drop], count[drop])))
         if rows:
-            yield _batch(rows)
-
-
-def _concat(blobs: list[bytes]) -> list[np.ndarray]:
-    got = [packed.load(b) for b in blobs]
-    return [np.concatenate([g[i] for g in got]) for i in range(len(got[0]))]
+            yield packed.batch(rows)
 
 
 def _repeated(blobs, buckets: int, hot: int):
     """Pass one, bucket side: records whose anchor occurs again, by the bucket
     of their document, with the spans that were already decided."""
-    doc, th, pos, count, aoff, h, *gone = _concat(blobs)
+    doc, th, pos, count, aoff, h, *gone = packed.concat(blobs)
     _, which, often = np.unique(h, return_inverse=True, return_counts=True)
     many = often[which] if len(h) else np.zeros(0, np.int64)
     keep = np.flatnonzero(many > 1)
     flag = (many > hot).astype(np.uint8)
-    live = dict(_split_by(_row_bucket(doc[keep], th[keep], buckets)))
-    done = dict(_split_by(_row_bucket(gone[0], gone[1], buckets)))
+    live = dict(packed.split_by(packed.row_bucket(doc[keep], th[keep], buckets)))
+    done = dict(packed.split_by(packed.row_bucket(gone[0], gone[1], buckets)))
     empty = np.zeros(0, np.int64)
     rows = []
     for bucket in sorted(live.keys() | done.keys()):
@@ -292,8 +263,8 @@ def _fetch(docs, blobs, window: int, k: int, buckets: int):
     """Pass two, document side: fragments with their text, by anchor."""
     if not blobs:
         return []
-    doc, th, pos, count, aoff, flag, *gone = _concat(blobs)
-    d_doc, d_th, d_len, text = _concat(docs)
+    doc, th, pos, count, aoff, flag, *gone = packed.concat(blobs)
+    d_doc, d_th, d_len, text = packed.concat(docs)
     base = packed.offsets_of(d_len)
     place = {(i, t): b for i, t, b in zip(d_doc.tolist(), d_th.tolist(), base[:-1].tolist())}
     a = np.array([place[x] for x in zip(doc.tolist(), th.tolist())], dtype=np.int64) + pos
@@ -315,9 +286,9 @@ def _fetch(docs, blobs, window: int, k: int, buckets: int):
     w_gone = decide_equal(h1, doc[each], th[each], w_pos, _confirm(text, w_at, w_at + window))
     spans = [np.concatenate((x, y[w_gone])) for x, y in zip(spans, (doc[each], th[each], w_pos, np.ones(len(each), count.dtype)))]
     stay = np.flatnonzero(~w_gone)
-    by_anchor = {b_: warm[g] for b_, g in _split_by((anchor[warm] % np.uint64(buckets)).astype(np.int32))}
-    by_window = {b_: stay[g] for b_, g in _split_by((h1[stay] % np.uint64(buckets)).astype(np.int32))}
-    by_span = {b_: g for b_, g in _split_by(_row_bucket(spans[0], spans[1], buckets))}
+    by_anchor = {b_: warm[g] for b_, g in packed.split_by((anchor[warm] % np.uint64(buckets)).astype(np.int32))}
+    by_window = {b_: stay[g] for b_, g in packed.split_by((h1[stay] % np.uint64(buckets)).astype(np.int32))}
+    by_span = {b_: g for b_, g in packed.split_by(packed.row_bucket(spans[0], spans[1], buckets))}
     none = np.zeros(0, np.int64)
     rows = []
     for bucket in sorted(by_anchor.keys() | by_window.keys() | by_span.keys()):
@@ -330,25 +301,45 @@ def _fetch(docs, blobs, window: int, k: int, buckets: int):
     return rows
 
 
-def shard_repeats(doc, th, pos, count, aoff, text, window: int, k: int):
-    """Windows (doc, th, position) of one shard's fragments that repeat an
-    earlier one, by the suffix array over the fragments sharing an anchor."""
-    size = count.astype(np.int64) + (window - 1)
-    at = packed.offsets_of(size)
+def shard_repeats(doc, th, pos, count, aoff, text, window: int, k: int, longer: tuple[int, ...] = (30, 15)):
+    """Windows (doc, th, position, windows) of one shard's fragments that repeat
+    an earlier one, by the suffix array over the fragments sharing an anchor.
+
+    Fragments are first cut where their anchor can be extended: windows with
+    at least ``more`` bytes before the anchor take those into it, the others
+    take as many after it.  Equal windows stay together, and fragments that
+    agree on the short anchor only part."""
     roller = Roller()
     prefix = roller.prefix(text)
-    content = roller.ranges(prefix, at[:-1], at[1:])
-    gone = decide_equal(content, doc, th, pos, _confirm(text, at[:-1], at[1:]))
-    out = [tuple(x[gone] for x in (doc, th, pos, count))]
-    live = np.flatnonzero(~gone)
-    # Different fragments: records of equal content share one entry.
-    _, first, entry = np.unique(content[live], return_index=True, return_inverse=True)
-    kinds = live[first]
-    anchor = roller.ranges(prefix, at[kinds] + aoff[kinds], at[kinds] + aoff[kinds] + k)
-    _, name, often = np.unique(anchor, return_inverse=True, return_counts=True)
-    pick = np.flatnonzero(often[name] > 1) if len(kinds) else np.zeros(0, np.int64)
-    if not len(pick):
-        return out
+    at = packed.offsets_of(count.astype(np.int64) + (window - 1))[:-1]
+    pos, count, aoff = pos.astype(np.int64), count.astype(np.int64), aoff.astype(np.int64)
+    out = []
+    for more in (*longer, 0):
+        end = at + count + (window - 1)
+        content = roller.ranges(prefix, at, end)
+        gone = decide_equal(content, doc, th, pos, _confirm(text, at, end))
+        out.append(tuple(x[gone] for x in (doc, th, pos, count)))
+        live = np.flatnonzero(~gone)
+        # Different fragments: records of equal content share one entry.
+        _, first, entry = np.unique(content[live], return_index=True, return_inverse=True)
+        kinds = live[first]
+        anchor = roller.ranges(prefix, at[kinds] + aoff[kinds], at[kinds] + aoff[kinds] + k)
+        _, name, often = np.unique(anchor, return_inverse=True, return_counts=True)
+        if not len(kinds) or often.max() < 2:
+            return out
+        if more:
+            keep = live[(often[name] > 1)[entry]]
+            d, t, p, c, o, x = (v[keep] for v in (doc, th, pos, count, aoff, at))
+            before = np.clip(o - more + 1, 0, c)  # leading windows with enough before the anchor
+            skip = np.minimum(before, c)
+            doc, th = np.concatenate((d, d)), np.concatenate((t, t))
+            pos, at = np.concatenate((p, p + skip)), np.concatenate((x, x + skip))
+            count, aoff = np.concatenate((before, c - skip)), np.concatenate((o - more, o - skip))
+            some = count > 0
+            doc, th, pos, at, count, aoff = (v[some] for v in (doc, th, pos, at, count, aoff))
+            k += more
+    pick = np.flatnonzero(often[name] > 1)
+    size = count + (window - 1)
     # One string of symbols: bytes, and for each anchor a symbol of its own.
     pick = pick[np.argsort(name[pick], kind="stable")]
     frag = kinds[pick]
@@ -357,13 +348,13 @@ def shard_repeats(doc, th, pos, count, aoff, text, window: int, k: int):
     symbols = np.empty(s_at[-1] + 1, dtype=np.int64)
     symbols[-1] = 0
     inside = np.arange(s_at[-1]) - np.repeat(s_at[:-1], short)
-    mid = np.repeat(aoff[frag].astype(np.int64), short)
+    mid = np.repeat(aoff[frag], short)
     src = np.repeat(at[frag], short) + inside + np.where(inside > mid, k - 1, 0)
     symbols[:-1] = np.where(inside == mid, 257 + np.repeat(name[pick], short), text[src].astype(np.int64) + 1)
     width = window - k + 1
-    order = np.array(suffix_array(symbols.tolist()), dtype=np.int64)
+    order = np.array(suffix_array(np.unique(symbols, return_inverse=True)[1].tolist()), dtype=np.int64)
     owner = np.full(len(symbols), -1, dtype=np.int64)
-    owner[:-1] = np.where(inside < np.repeat(count[frag].astype(np.int64), short), np.repeat(np.arange(len(frag)), short), -1)
+    owner[:-1] = np.where(inside < np.repeat(count[frag], short), np.repeat(np.arange(len(frag)), short), -1)
     order = order[owner[order] >= 0]  # suffixes that begin a window
     new = np.ones(len(order), dtype=bool)
     for lo in range(1, len(order), 1 << 16):
@@ -379,7 +370,7 @@ def shard_repeats(doc, th, pos, count, aoff, text, window: int, k: int):
     kind = pick[owner[order]]
     n = cut[kind + 1] - cut[kind]
     rec = live[by_entry[np.repeat(cut[kind], n) + np.arange(n.sum()) - np.repeat(packed.offsets_of(n)[:-1], n)]] if len(n) else live[:0]
-    w_pos = pos[rec] + np.repeat(order - s_at[owner[order]], n).astype(np.int32)
+    w_pos = pos[rec] + np.repeat(order - s_at[owner[order]], n)
     lab = np.repeat(label, n)
     again = decide_equal(lab, doc[rec], th[rec], w_pos, lambda i, j: True)
     out.append((doc[rec][again], th[rec][again], w_pos[again], np.ones(int(again.sum()), count.dtype)))
@@ -387,7 +378,7 @@ def shard_repeats(doc, th, pos, count, aoff, text, window: int, k: int):
 
 
 def _shard(blobs, window: int, k: int, buckets: int):
-    doc, th, pos, count, aoff, text, w_doc, w_th, w_pos, h1, h2, *gone = _concat(blobs)
+    doc, th, pos, count, aoff, text, w_doc, w_th, w_pos, h1, h2, *gone = packed.concat(blobs)
     spans = [tuple(gone)]
     if len(doc):
         spans += shard_repeats(doc, th, pos, count, aoff, text, window, k)
@@ -407,7 +398,7 @@ def _shard(blobs, window: int, k: int, buckets: int):
         b = np.maximum.reduceat(b, lead)
         doc, th, a = doc[lead], th[lead], a[lead]
     n = (b - a + window - 1).astype(np.int32)
-    return [(bucket, packed.dump(doc[g], th[g], a[g].astype(np.int32), n[g])) for bucket, g in _split_by(_row_bucket(doc, th, buckets))]
+    return [(bucket, packed.dump(doc[g], th[g], a[g].astype(np.int32), n[g])) for bucket, g in packed.split_by(packed.row_bucket(doc, th, buckets))]
 
 
 def suffix_dedup(
@@ -422,8 +413,8 @@ def suffix_dedup(
     and different texts do not remove from each other, true repeats of a row
     are one document and get the same result.  Shorter texts stay whole; an
     empty table gives no rows; other columns are ignored."""
-    spark = ready(df.sparkSession)
-    source = df.select(*row_key(id_col, text_col), F.coalesce(F.col(f"`{text_col}`").cast("binary"), F.lit(b"")).alias("_text"))
+    ready(df.sparkSession)
+    source = keyed_texts(df, id_col, text_col)
     buckets = packed.bucket_count(text_bytes(source, "_text"), bucket_bytes)
 
     def anchors(batches):
@@ -437,74 +428,31 @@ def suffix_dedup(
                     yield from out.flush()
         yield from out.flush()
 
-    def pack(batches):
-        """Documents by the bucket of their row, compressed together."""
-        held, size = [], 0
-
-        def flush():
-            ids, ths, lens = (np.concatenate([h[i] for h in held]) for i in range(3))
-            data = np.concatenate([h[3] for h in held])
-            at = packed.offsets_of(lens)
-            return _batch([(bucket, packed.dump(ids[g], ths[g], lens[g], packed.slices(data, at[g], at[g + 1]))) for bucket, g in _split_by(_row_bucket(ids, ths, buckets))])
-
-        for b in batches:
-            ids, ths = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            data, offsets = flat(b.column(2))
-            held.append((ids, ths, np.diff(offsets), np.array(data)))
-            size += len(data)
-            if size >= flush_bytes:
-                yield flush()
-                held, size = [], 0
-        if held:
-            yield flush()
-
     def blobs_of(tab):
         return tab.column("blob").to_pylist()
 
     def repeated(tab: pa.Table) -> pa.Table:
-        return _blob_table(_repeated(blobs_of(tab), buckets, hot))
+        return packed.blob_table(_repeated(blobs_of(tab), buckets, hot))
 
     def fetch(docs: pa.Table, found: pa.Table) -> pa.Table:
-        return _blob_table(_fetch(blobs_of(docs), blobs_of(found), window, k, buckets))
+        return packed.blob_table(_fetch(blobs_of(docs), blobs_of(found), window, k, buckets))
 
     def shard(tab: pa.Table) -> pa.Table:
-        return _blob_table(_shard(blobs_of(tab), window, k, buckets))
-
-    def cut(docs: pa.Table, found: pa.Table) -> pa.Table:
-        return _cut(blobs_of(docs), blobs_of(found))
+        return packed.blob_table(_shard(blobs_of(tab), window, k, buckets))
 
-    docs = packed.spread(source.mapInArrow(pack, _BLOBS), buckets)
-    found = packed.spread(source.mapInArrow(anchors, _BLOBS), buckets).groupBy("bucket").applyInArrow(repeated, _BLOBS)
+    docs = packed.pack_documents(source, buckets, flush_bytes)
+    found = packed.spread(source.mapInArrow(anchors, packed.BLOBS), buckets).groupBy("bucket").applyInArrow(repeated, packed.BLOBS)
     found = packed.spread(found, buckets)
-    pieces = docs.groupBy("bucket").cogroup(found.groupBy("bucket")).applyInArrow(fetch, _BLOBS)
-    spans = packed.spread(pieces, buckets).groupBy("bucket").applyInArrow(shard, _BLOBS)
-    out = docs.groupBy("bucket").cogroup(packed.spread(spans, buckets).groupBy("bucket")).applyInArrow(
-        cut, "id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string"
-    )
-    return out.withColumn("id", F.when(F.col("id") != NULL_ID, F.col("id")))
-
-
-def _cut(docs, blobs) -> pa.Table:
-    names = ["id", "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256"]
-    types = [pa.int64()] * 4 + [pa.binary(), pa.string()]
-    if not docs:
-        return pa.table([pa.array([], t) for t in types], names=names)
-    ids, ths, lens, text = _concat(docs)
-    at = packed.offsets_of(lens)
-    mine: dict[tuple, list] = {}
-    if blobs:
-        doc, th, pos, n = (x.tolist() for x in _concat(blobs))
-        for i, t, p, m in zip(doc, th, pos, n):
-            mine.setdefault((i, t), []).append({"start": p, "len": m})
-    rows, view = [], memoryview(text)
-    for j, (i, t) in enumerate(zip(ids.tolist(), ths.tolist())):
-        raw = view[at[j] : at[j + 1]]
-        runs = packed.merge_spans(mine.get((i, t)), len(raw))
-        parts, p = [], 0
-        for a, b in runs:
-            parts.append(raw[p:a])
-            p = b
-        parts.append(raw[p:])
-        kept = b"".join(parts)
-        rows.append((i, len(raw), len(raw) - len(kept), len(runs), kept, hashlib.sha256(kept).hexdigest()))
-    return pa.table([pa.array(list(c), t) for c, t in zip(zip(*rows), types)], names=names)
+    pieces = docs.groupBy("bucket").cogroup(found.groupBy("bucket")).applyInArrow(fetch, packed.BLOBS)
+    spans = packed.spread(pieces, buckets).groupBy("bucket").applyInArrow(shard, packed.BLOBS)
+    return packed.cut_documents(docs, spans, buckets, _cut, "id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
+
+
+def _cut(doc: int, text: bytes, spans: list | None) -> tuple:
+    runs = packed.merge_spans(spans, len(text))
+    parts, at = [], 0
+    for a, b in runs:
+        parts.append(text[at:a])
+        at = b
+    kept = b"".join([*parts, text[at:]])
+    return doc, len(text), len(text) - len(kept), len(runs), kept, hashlib.sha256(kept).hexdigest()

@@ -62,4 +62,4 @@ def test_kept_text_keeps_its_own_white_space(spark):
     p = " ".join(f"p{i}" for i in range(13))
     df = spark.createDataFrame([(1, p), (2, f"x\ny {p} z\n\nq"), (3, "a\n b")], "doc_id long, text string")
     got = {r.id: r.kept for r in substring.substring_dedup(df).collect()}
-    assert got == {1: p, 2: "x\ny z\n\nq", 3: "a\n b"}
+    assert got == {1: p.encode(), 2: b"x\ny z\n\nq", 3: b"a\n b"}
