@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farebox.llm import simhash, substring, suffix
+from farebox.llm import langid, neighbours, simhash, substring, suffix
 from farebox.llm.common import ready
 from farebox.tables import load
 
@@ -41,3 +41,19 @@ def op3_substring_dedup(spark, sf_dir):
 def op2_suffix_dedup(spark, sf_dir):
     out = suffix.suffix_dedup(table(spark, sf_dir, "documents"), "doc_id", "text", window=100)
     return out.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@register("op4_language")
+def op4_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    out = langid.held_out("doc_id", 4, 2)
+    pred = langid.identify(docs, docs.where(~out), "doc_id", "text", "lang")
+    return pred.withColumnRenamed("id", "doc_id").select("doc_id", out.alias("held_out"), "lang_pred", "score")
+
+
+@register("op6_quality")
+def op6_quality(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    out = langid.held_out("doc_id", 5, 0)
+    pred = neighbours.quality(docs, labels.where(~out), "doc_id", "text", "quality").withColumnRenamed("id", "doc_id")
+    return pred.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
