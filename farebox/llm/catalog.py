@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farebox.llm import chat, langid, neighbours, packing, simhash, substring, suffix
+from farebox.llm import chat, langid, mixing, neighbours, packing, rules, simhash, substring, suffix
 from farebox.llm.common import ready
 from farebox.tables import load
 
@@ -90,3 +90,63 @@ def op10_chat(spark, sf_dir):
     extra = spark.createDataFrame([(-7, 0, "user", planted), (-7, 1, "assistant", planted)], talks.schema)
     out = chat.digests(chat.format_chat(talks.unionAll(extra)))
     return out.select("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
+
+
+@register("op8_quality_rules")
+def op8_quality_rules(spark, sf_dir):
+    out = rules.quality_rules(table(spark, sf_dir, "documents"), "doc_id", "text", "lang", "source")
+    return out.withColumnRenamed("id", "doc_id").select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "d2"
+    )
+
+
+#: The tree of the mixing query: domain (from the source's number), language, source.
+MIX_WEIGHTS = {"domain": {"d0": 4, "d1": 3, "d2": 2, "d3": 1}, "lang": {"en": 4, "de": 2, "fr": 2, "es": 2}}
+MIX_SHARE, MIX_EPOCHS, MIX_SEED = 0.5, 2, 17
+
+
+def mix_levels():
+    number = F.try_to_number(F.regexp_extract(F.coalesce(F.col("source"), F.lit("")), r"(\d+)", 1), F.lit("999999999")).cast("long")
+    domain = F.concat(F.lit("d"), F.coalesce(number % 4, F.lit(0)).cast("string"))
+    return {"domain": domain, "lang": F.col("lang"), "source": F.col("source")}
+
+
+def _share_sql(name: str, nodes: str, parents: str, level: str) -> str:
+    by = f"PARTITION BY {parents}" if parents else ""
+    order = f"ORDER BY cap / w, {level}"
+    keys = ", ".join(x for x in (parents, level) if x)
+    return f"""{name}_a AS (SELECT *, coalesce(sum(cap) OVER ({by} {order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+    sum(w) OVER ({by} {order} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open_w FROM ({nodes})),
+  {name}_b AS (SELECT *, cap * open_w <= w * (budget - before) AS is_full FROM {name}_a),
+  {name}_c AS (SELECT *, coalesce(sum(cap) FILTER (WHERE is_full) OVER ({by}), 0) AS taken, sum(w) FILTER (WHERE NOT is_full) OVER ({by}) AS rest_w FROM {name}_b),
+  {name} AS (SELECT {keys}, CAST(CASE WHEN is_full THEN cap ELSE ((budget - taken) * w) // rest_w END AS BIGINT) AS budget FROM {name}_c)"""
+
+
+def _weight_sql(level: str) -> str:
+    cases = " ".join(f"WHEN '{k}' THEN {v}" for k, v in MIX_WEIGHTS.get(level, {}).items())
+    return f"CASE {level} {cases} ELSE 1 END" if cases else "1"
+
+
+MIX_SQL = f"""
+WITH docs AS (SELECT coalesce(doc_id, 9223372036854775807) AS doc_id,
+    'd' || CAST(coalesce(TRY_CAST(regexp_extract(coalesce(source, ''), '(\\d+)', 1) AS BIGINT) % 4, 0) AS VARCHAR) AS domain,
+    coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS n_tokens FROM documents),
+  leaves AS (SELECT domain, lang, source, CAST(sum(n_tokens) AS BIGINT) AS tokens FROM docs GROUP BY ALL),
+  total AS (SELECT CAST(floor(sum(tokens) * {MIX_SHARE}) AS BIGINT) AS budget FROM leaves),
+  {_share_sql('b1', f"SELECT domain, CAST(sum(tokens) * {MIX_EPOCHS} AS BIGINT) AS cap, {_weight_sql('domain')} AS w, (SELECT budget FROM total) AS budget FROM leaves GROUP BY domain HAVING cap > 0", '', 'domain')},
+  {_share_sql('b2', f"SELECT domain, lang, CAST(sum(tokens) * {MIX_EPOCHS} AS BIGINT) AS cap, {_weight_sql('lang')} AS w, any_value(b1.budget) AS budget FROM leaves JOIN b1 USING (domain) GROUP BY domain, lang HAVING cap > 0", 'domain', 'lang')},
+  {_share_sql('b3', f"SELECT domain, lang, source, CAST(sum(tokens) * {MIX_EPOCHS} AS BIGINT) AS cap, 1 AS w, any_value(b2.budget) AS budget FROM leaves JOIN b2 USING (domain, lang) GROUP BY domain, lang, source HAVING cap > 0", 'domain, lang', 'source')},
+  plan AS (SELECT *, budget // tokens AS whole, budget - (budget // tokens) * tokens AS rest FROM leaves JOIN b3 USING (domain, lang, source)),
+  keyed AS (SELECT *, md5('{MIX_SEED}:' || whole || ':' || doc_id) AS key FROM docs JOIN plan USING (domain, lang, source)),
+  part AS (SELECT *, coalesce(sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY key, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM keyed)
+SELECT doc_id, domain, lang, source, n_tokens, epoch, tokens AS leaf_tokens, budget AS leaf_budget
+FROM (SELECT *, unnest(range(whole)) AS epoch FROM keyed)
+UNION ALL SELECT doc_id, domain, lang, source, n_tokens, whole AS epoch, tokens, budget FROM part WHERE before < rest
+"""
+
+
+@register("op5_mixing", MIX_SQL)
+def op5_mixing(spark, sf_dir):
+    out = mixing.mix(table(spark, sf_dir, "documents"), mix_levels(), MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS, MIX_SEED)
+    return out.select(F.col("_id").alias("doc_id"), "domain", "lang", "source", "n_tokens", "epoch", "leaf_tokens", "leaf_budget")
