@@ -47,10 +47,12 @@ def row_key(id_col: str, text_col: str) -> list[Column]:
     ]
 
 
-def keyed_texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``_id, _th, _text`` (binary; null text reads as empty)."""
+def keyed_texts(df: DataFrame, id_col: str, text_col: str, carry: list[str] = ()) -> DataFrame:
+    """``_id, _th, _text`` (binary; null text reads as empty) and the carried
+    columns as binary."""
     text = F.coalesce(F.col(f"`{text_col}`").cast("binary"), F.lit(b""))
-    return df.select(*row_key(id_col, text_col), text.alias("_text"))
+    more = [F.col(f"`{c}`").cast("string").cast("binary").alias(f"_carry{i}") for i, c in enumerate(carry)]
+    return df.select(*row_key(id_col, text_col), text.alias("_text"), *more)
 
 
 def text_bytes(df: DataFrame, text_col: str) -> int:

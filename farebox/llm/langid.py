@@ -186,9 +186,10 @@ def training_windows(df: DataFrame, id_col: str, text_col: str, lang_col: str, d
 
 def identify(
     df: DataFrame, train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-    documents: int = 4000, per_document: int = 3, length: int = 256,
+    documents: int = 4000, per_document: int = 3, length: int = 256, carry: list[str] | None = None,
 ) -> DataFrame:
-    """``id, lang_pred, score`` for every row of ``df``, from a network trained
+    """``id, lang_pred, score`` for every row of ``df`` (then its ``carry``
+    columns, as they are), from a network trained
     on at most ``documents`` labelled rows of ``train`` (a bounded, hashed
     sample; more rows do not change its size).  The whole text is read.
 
@@ -198,9 +199,9 @@ def identify(
     ready(df.sparkSession)
     names, x, n, y = training_windows(train, id_col, text_col, lang_col, documents, per_document, length)
     text = F.col(f"`{text_col}`")
-    rows = df.select(F.col(f"`{id_col}`").alias("id"), F.when(text.rlike(r"\p{L}"), text.cast("binary")).alias("t"))
+    rows = df.select(F.col(f"`{id_col}`").alias("id"), F.when(text.rlike(r"\p{L}"), text.cast("binary")).alias("t"), *[F.col(f"`{c}`") for c in carry or []])
     if not names:
-        return rows.select("id", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+        return rows.select("id", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), *(carry or []))
     model = ByteCNN(len(names), length=length).fit(x, n, y)
 
     def run(batches):
@@ -213,6 +214,8 @@ def identify(
             best = prob.argmax(axis=1) if len(prob) else np.zeros(0, int)
             pred = [names[k] if ok else UNKNOWN for k, ok in zip(best, known)]
             score = np.where(known, prob[np.arange(len(best)), best], 0.0).clip(0, 1)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(pred, pa.string()), pa.array(score, pa.float64())], names=["id", "lang_pred", "score"])
+            rest = [b.column(i) for i in range(2, b.num_columns)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(pred, pa.string()), pa.array(score, pa.float64()), *rest], names=["id", "lang_pred", "score", *(carry or [])])
 
-    return rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, lang_pred string, score double")
+    kinds = "".join(f", `{c}` {t}" for c, t in rows.dtypes[2:])
+    return rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, lang_pred string, score double{kinds}")

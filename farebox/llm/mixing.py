@@ -106,8 +106,9 @@ def mix(
 
 def mixed_rows(df: DataFrame, chosen: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df`` as often as they were chosen."""
-    keyed = df.select("*", *row_key(id_col, text_col))
-    # A row repeated in df was chosen per repeat: keep that many in all.
+    keyed = df.select(F.struct(*df.columns).alias("_row"), *row_key(id_col, text_col))
+    # A row repeated in df was chosen per repeat: one of them stands for all.
     repeats = chosen.groupBy("_id", "_th").agg(F.count("*").alias("copies"))
-    one = keyed.dropDuplicates(["_id", "_th"]).join(repeats, ["_id", "_th"])
-    return one.withColumn("_copy", F.explode(F.expr("sequence(1L, copies)"))).select(*df.columns)
+    nth = F.row_number().over(Window.partitionBy("_id", "_th").orderBy("_id"))
+    one = keyed.join(repeats, ["_id", "_th"]).withColumn("nth", nth).where("nth = 1")
+    return one.withColumn("copy", F.explode(F.expr("sequence(1L, copies)"))).select("_row.*")

@@ -90,20 +90,29 @@ def concat(blobs: list[bytes]) -> list[np.ndarray]:
 
 def pack_documents(source: DataFrame, buckets: int, flush_bytes: int) -> DataFrame:
     """``_id, _th, _text`` rows as blobs (ids, hashes, lengths, bytes) by the
-    bucket of the row, compressed together."""
+    bucket of the row, compressed together.  Further columns (binary) ride
+    along, each as null flags, lengths and bytes."""
 
     def flush(held):
-        ids, ths, lens = (np.concatenate([h[i] for h in held]) for i in range(3))
-        data = np.concatenate([h[3] for h in held])
+        ids, ths, lens, data, *more = (np.concatenate(x) for x in zip(*held))
         at = offsets_of(lens)
-        return batch([(bucket, dump(ids[g], ths[g], lens[g], slices(data, at[g], at[g + 1]), level=3)) for bucket, g in split_by(row_bucket(ids, ths, buckets))])
+        ats = [offsets_of(x) for x in more[1::3]]
+        out = []
+        for bucket, g in split_by(row_bucket(ids, ths, buckets)):
+            rest = [x for k, a in enumerate(ats) for x in (more[3 * k][g], more[3 * k + 1][g], slices(more[3 * k + 2], a[g], a[g + 1]))]
+            out.append((bucket, dump(ids[g], ths[g], lens[g], slices(data, at[g], at[g + 1]), *rest, level=3)))
+        return batch(out)
 
     def pack(batches):
         held, size = [], 0
         for b in batches:
             ids, ths = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             data, offsets = flat(b.column(2))
-            held.append((ids, ths, np.diff(offsets), np.array(data)))
+            row = [ids, ths, np.diff(offsets), np.array(data)]
+            for column in b.columns[3:]:
+                text, at = flat(column.fill_null(b""))
+                row += [column.is_null().to_numpy(zero_copy_only=False), np.diff(at), np.array(text)]
+            held.append(row)
             size += len(data)
             if size >= flush_bytes:
                 yield flush(held)
@@ -114,13 +123,15 @@ def pack_documents(source: DataFrame, buckets: int, flush_bytes: int) -> DataFra
     return spread(source.mapInArrow(pack, BLOBS), buckets)
 
 
-def cut_documents(docs: DataFrame, spans: DataFrame, buckets: int, cut, schema: str) -> DataFrame:
+def cut_documents(docs: DataFrame, spans: DataFrame, buckets: int, cut, schema: str, carry: list[str]) -> DataFrame:
     """Rows ``cut(id, text, spans)`` of every packed document with the (start,
-    len) spans that were sent to its bucket (blobs of doc, th, start, len)."""
-    names = [f.split()[0] for f in schema.split(", ")]
+    len) spans that were sent to its bucket (blobs of doc, th, start, len),
+    and the carried columns as strings."""
+    fields = [tuple(f.split()) for f in schema.split(", ")] + [(c, "string") for c in carry]
+    names = [f for f, _ in fields]
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        kinds = pa.schema([(f.split()[0], {"long": pa.int64(), "binary": pa.binary(), "string": pa.string()}[f.split()[1]]) for f in schema.split(", ")])
+        kinds = pa.schema([(f, {"long": pa.int64(), "binary": pa.binary(), "string": pa.string()}[t]) for f, t in fields])
         blobs = left.column("blob").to_pylist()
         if not blobs:
             return kinds.empty_table()
@@ -132,13 +143,18 @@ def cut_documents(docs: DataFrame, spans: DataFrame, buckets: int, cut, schema:
                 mine.setdefault((i, t), []).append((p, m))
         tables = []
         for blob in blobs:
-            ids, ths, lens, text = load(blob)
+            ids, ths, lens, text, *more = load(blob)
             at, view = offsets_of(lens), memoryview(text)
             rows = [cut(i, bytes(view[at[j] : at[j + 1]]), mine.get((i, t))) for j, (i, t) in enumerate(zip(ids.tolist(), ths.tolist()))]
-            tables.append(pa.table([pa.array(list(c), k) for c, k in zip(zip(*rows), kinds.types)], names=names))
+            cols = [list(c) for c in zip(*rows)]
+            for k in range(len(carry)):
+                null, size, text = more[3 * k : 3 * k + 3]
+                a = offsets_of(size)
+                cols.append([None if x else bytes(text[a[j] : a[j + 1]]).decode() for j, x in enumerate(null)])
+            tables.append(pa.table([pa.array(c, k) for c, k in zip(cols, kinds.types)], names=names))
         return pa.concat_tables(tables)
 
-    out = docs.groupBy("bucket").cogroup(spread(spans, buckets).groupBy("bucket")).applyInArrow(run, schema)
+    out = docs.groupBy("bucket").cogroup(spread(spans, buckets).groupBy("bucket")).applyInArrow(run, ", ".join(f"`{f}` {t}" for f, t in fields))
     return out.withColumn("id", F.when(F.col("id") != NULL_ID, F.col("id")))
 
 

@@ -156,7 +156,7 @@ def robust_distance(stats: DataFrame, keys: list[str], coverage: float = 0.75, s
 
 def quality_rules(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
-    coverage: float = 0.75, cutoff: float = 60.0, min_words: int = 50,
+    coverage: float = 0.75, cutoff: float = 100.0, min_words: int = 50,
 ) -> DataFrame:
     """One row per input row: ``id, n_words, word_chars, n_symbols,
     n_dup_lines, n_repeat_words, base_failed, d2, kept``.

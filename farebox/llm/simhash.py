@@ -284,7 +284,7 @@ def simhash_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     the smallest id stays (one of them, if rows repeat that id); rows with a
     null id stay as they are."""
     g = simhash_groups(df, id_col, text_col, shingle, max_bits)
-    keep = g.where("id = component_id").select(F.col("id").alias("_keep")).distinct()
+    keep = g.where("id = component_id").select(F.col("id").alias("_farebox_keep")).distinct()
     key = F.col(f"`{id_col}`")
-    kept = df.join(keep, key == F.col("_keep"), "left_semi").dropDuplicates([id_col])
+    kept = df.join(keep, key == F.col("_farebox_keep"), "left_semi").dropDuplicates([id_col])
     return kept.unionAll(df.where(key.isNull()))

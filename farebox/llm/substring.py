@@ -162,11 +162,13 @@ def _decide(blobs: list[bytes], window: int):
 
 
 def substring_dedup(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13, minimiser_words: int = 3, bucket_bytes: int = 8 << 20, flush_bytes: int = 16 << 20
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13, minimiser_words: int = 3, bucket_bytes: int = 8 << 20, flush_bytes: int = 16 << 20,
+    carry: list[str] | None = None,
 ) -> DataFrame:
     """One row per input row: ``id, n_words, n_removed, kept`` (binary: the
     untouched text unless something was removed, else the kept runs of words
-    joined by one space) and ``kept_sha256`` (of the kept words, so joined).
+    joined by one space), ``kept_sha256`` (of the kept words, so joined) and
+    the ``carry`` columns as strings.
 
     Every word covered by a ``window``-word string that also starts in a
     document with a smaller id goes.  Null text reads as empty; null ids count
@@ -192,9 +194,10 @@ def substring_dedup(
         doc, th, first, n = _decide(tab.column("blob").to_pylist(), window)
         return packed.blob_table([(b, packed.dump(doc[g], th[g], first[g], n[g])) for b, g in packed.split_by(packed.row_bucket(doc, th, buckets))])
 
-    docs = packed.pack_documents(texts, buckets, flush_bytes)
+    carry = carry or []
+    docs = packed.pack_documents(keyed_texts(df, id_col, text_col, carry), buckets, flush_bytes)
     spans = packed.spread(texts.mapInArrow(send, packed.BLOBS), buckets).groupBy("bucket").applyInArrow(decide, packed.BLOBS)
-    return packed.cut_documents(docs, spans, buckets, _cut, "id long, n_words long, n_removed long, kept binary, kept_sha256 string")
+    return packed.cut_documents(docs, spans, buckets, _cut, "id long, n_words long, n_removed long, kept binary, kept_sha256 string", carry)
 
 
 def _cut(doc: int, text: bytes, spans: list | None) -> tuple:

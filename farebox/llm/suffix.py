@@ -445,7 +445,7 @@ def suffix_dedup(
     found = packed.spread(found, buckets)
     pieces = docs.groupBy("bucket").cogroup(found.groupBy("bucket")).applyInArrow(fetch, packed.BLOBS)
     spans = packed.spread(pieces, buckets).groupBy("bucket").applyInArrow(shard, packed.BLOBS)
-    return packed.cut_documents(docs, spans, buckets, _cut, "id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
+    return packed.cut_documents(docs, spans, buckets, _cut, "id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string", [])
 
 
 def _cut(doc: int, text: bytes, spans: list | None) -> tuple:
