@@ -58,6 +58,17 @@ def super_kmers(data, offsets, window: int, m: int, roller: Roller):
     return row[first], first - first_word[row[first]], count, start[first], end[first + count + window - 2], small[anchor[first]]
 
 
+def hashed_words(data, offsets, roller: Roller):
+    """(start, end, row, hash) of all words, a few megabytes at a time."""
+    parts = []
+    for lo, hi in row_chunks(offsets):
+        base = offsets[lo]
+        piece = data[base : offsets[hi]]
+        start, end, row = words(piece, offsets[lo : hi + 1] - base)
+        parts.append((start + base, end + base, row + lo, roller.ranges(roller.prefix(piece), start, end)))
+    return [np.concatenate(x) for x in zip(*parts)]
+
+
 class _Sender:
     """Collects the super-k-mers of a task and flushes them by bucket."""
 
@@ -116,9 +127,7 @@ def _decide(blobs: list[bytes], window: int):
     if len(doc):
         data = np.concatenate([g[5] for g in got])
         offsets = packed.offsets_of(size)
-        start, end, row = words(data, offsets)
-        roller = Roller()
-        hashes = roller.ranges(roller.prefix(data), start, end)
+        start, end, row, hashes = hashed_words(data, offsets, Roller())
         win = run_hash(hashes, window)
         at = np.flatnonzero(row[: len(row) - window + 1] == row[window - 1 :])
         owner = row[at]
@@ -162,7 +171,7 @@ def _decide(blobs: list[bytes], window: int):
 
 
 def substring_dedup(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13, minimiser_words: int = 3, bucket_bytes: int = 8 << 20, flush_bytes: int = 16 << 20,
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13, minimiser_words: int = 3, bucket_bytes: int = 4 << 20, flush_bytes: int = 16 << 20,
     carry: list[str] | None = None,
 ) -> DataFrame:
     """One row per input row: ``id, n_words, n_removed, kept`` (binary: the
