@@ -17,6 +17,7 @@ counts over the partitions; tokens never move to a packer.
 from __future__ import annotations
 
 import bisect
+import re
 import zlib
 from dataclasses import dataclass
 
@@ -29,32 +30,55 @@ from farebox.llm.common import ready, worker_cache
 
 
 # ---------------------------------------------------------------- token layer
+#: Letters and other characters of words that may be taken apart: ASCII and
+#: Latin letters with their accents (no apostrophe: contractions stay whole).
+_RUNS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+|[^A-Za-zÀ-ÖØ-öø-ÿ]+")
+_PLAIN = re.compile("[!-&(-~À-ÖØ-öø-ÿ]+")
+
+
+def byte_alphabet() -> dict[int, str]:
+    """The printable stand-ins of bytes in byte-level vocabularies: visible
+    Latin-1 characters stand for themselves, the others follow from 256 on."""
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in visible]
+    return {**{b: chr(b) for b in visible}, **{b: chr(256 + i) for i, b in enumerate(hidden)}}
+
+
 class WordIds(dict):
     """Token ids (packed little-endian) by white-space separated word.  Words
     are tokenised alone, which equals tokenising the text because the
-    tokenizer drops white space and never looks across it.  A word that
-    ends in punctuation is a word and a punctuation mark."""
+    tokenizer drops white space and never looks across it.  Plain words are
+    cut further into runs of letters and of other characters, lower-cased, and a
+    run of letters goes straight to the merge model, if a probe shows that
+    the tokenizer works that way."""
 
-    LIMIT = 400_000
+    LIMIT = 1_000_000
+    PROBE = ("Straße", "ÉTÉ,", "the", "THE!!", "a|b", "x%%%y", "Ñandú.", "zz9", "[A]b_c")
 
     def __init__(self, tokenizer, kind: str):
         super().__init__()
-        self.tokenizer, self.kind = tokenizer, kind
+        self.tokenizer, self.kind, self.plain = tokenizer, kind, True
+        self.alphabet = byte_alphabet()
+        self.plain = all(self[w.encode()] == self._whole(w) for w in self.PROBE)
+        self.clear()
 
-    def _ids(self, text: str) -> bytes:
+    def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.kind).tobytes()
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) > self.LIMIT:
             self.clear()
         text = word.decode("utf-8")
-        low = text.lower()
-        if len(text) > 1 and text[:-1].isalpha() and text[-1] in ".,!?;:|" and text.isascii():
-            out = self[low[:-1].encode()] + self[word[-1:]]
-        elif text != low and text.isalpha() and all(c < "Ā" for c in text):
-            out = self[low.encode()]
+        if not self.plain or not _PLAIN.fullmatch(text) or "<|" in text:
+            out = self._whole(text)
         else:
-            out = self._ids(text)
+            runs = _RUNS.findall(text.lower())
+            if runs != [text]:
+                out = b"".join([self[r.encode()] for r in runs])
+            elif text.isalpha():
+                out = np.array([t.id for t in self.tokenizer.model.tokenize("".join(map(self.alphabet.__getitem__, word)))], dtype=self.kind).tobytes()
+            else:
+                out = self._whole(text)
         self[word] = out
         return out
 
