@@ -9,6 +9,8 @@ planner (sort-merge, or AQE's runtime broadcast when the real size is small).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -59,5 +61,17 @@ def full_outer_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -
 
 
 def anti_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``left`` whose key is absent from ``right``."""
-    return left.join(right.select(*keys).distinct(), on=list(keys), how="left_anti")
+    """Rows of ``left`` whose key is absent from ``right``.  Null key parts
+    match null key parts (still an equi-join for the planner)."""
+    return _null_safe(left, right, keys, "left_anti")
+
+
+def semi_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``left`` whose key occurs in ``right``, nulls matching nulls."""
+    return _null_safe(left, right, keys, "left_semi")
+
+
+def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    seen = right.select(*[F.col(k).alias(f"_seen_{k}") for k in keys]).distinct()
+    same = [F.col(k).eqNullSafe(F.col(f"_seen_{k}")) for k in keys]
+    return left.join(seen, reduce(and_, same), how)

@@ -69,23 +69,3 @@ def keyed_revenue(df: DataFrame, time_col: str, zone_col: str, amount_col: str,
         F.count(F.lit(1)).alias("count"),
     )
     return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in REVENUE_ROW_SCHEMA])
-
-
-def keyed_revenue_rdd(df: DataFrame, time_col: str, zone_col: str, amount_col: str, since):
-    """The key/value formulation on the RDD API (reduceByKey also combines
-    map-side).  Kept as the equivalence twin of ``keyed_revenue`` for tests;
-    it pickles rows through Python and is not used by any registered query."""
-    import datetime as dt
-
-    start = dt.datetime.fromisoformat(str(since))
-    rdd = df.select(time_col, zone_col, amount_col).rdd
-
-    def keyed(row):
-        hour = row[0].replace(minute=0, second=0, microsecond=0)
-        return (hour, row[1]), (row[2], 1)
-
-    def combine(a, b):
-        return a[0] + b[0], a[1] + b[1]
-
-    pairs = rdd.filter(lambda r: r[0] is not None and r[0].replace(tzinfo=None) >= start).map(keyed)
-    return pairs.reduceByKey(combine).map(lambda kv: (kv[0][0], kv[0][1], kv[1][0], kv[1][1]))

@@ -13,12 +13,12 @@ import datetime as dt
 import time
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farebox.operators.joins import anti_join, lookup_join
+from farebox.operators.joins import anti_join, semi_join
 from farebox.session import ensure_checkpoint_dir
+from farebox.sources.files import try_read
 
 
 def write_table(
@@ -87,10 +87,8 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def present_partitions(spark: SparkSession, path: str, cols: Sequence[str]) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path).select(*cols).distinct()
-    except AnalysisException:
-        return None
+    landed = try_read(lambda: spark.read.parquet(path))
+    return None if landed is None else landed.select(*cols).distinct()
 
 
 def write_missing_partitions(df: DataFrame, path: str, cols: Sequence[str]) -> None:
@@ -109,10 +107,7 @@ class VersionedTable:
         self.log_path = f"{self.path}/_commits"
 
     def _log(self, spark: SparkSession) -> DataFrame | None:
-        try:
-            return spark.read.parquet(self.log_path)
-        except AnalysisException:
-            return None
+        return try_read(lambda: spark.read.parquet(self.log_path))
 
     def current_version(self, spark: SparkSession) -> int:
         log = self._log(spark)
@@ -162,19 +157,15 @@ class PartitionVersionedTable:
         return F.trunc(d, "MM") if self.unit == "month" else d
 
     def _log(self, spark: SparkSession) -> DataFrame | None:
-        try:
-            return spark.read.parquet(self.log_path)
-        except AnalysisException:
-            return None
+        return try_read(lambda: spark.read.parquet(self.log_path))
 
     def read(self, spark: SparkSession) -> DataFrame | None:
         log = self._log(spark)
         if log is None:
             return None
         latest = log.groupBy("fb_part").agg(F.max("fb_version").alias("fb_version"))
-        try:
-            data = spark.read.parquet(self.data_path)
-        except AnalysisException:  # only empty partitions committed so far
+        data = try_read(lambda: spark.read.parquet(self.data_path))
+        if data is None:  # only empty partitions committed so far
             return None
         # The commit summary has one row per time partition (bounded by the
         # time span).  Up to a size limit it becomes a static partition
@@ -186,7 +177,7 @@ class PartitionVersionedTable:
                 *[F.struct(F.lit(r.fb_part).alias("fb_part"), F.lit(r.fb_version).alias("fb_version"))
                   for r in pairs])
             return data.filter(current).drop("fb_part", "fb_version")
-        return lookup_join(data, latest, ["fb_part", "fb_version"], "inner").drop("fb_part", "fb_version")
+        return semi_join(data, latest, ["fb_part", "fb_version"]).drop("fb_part", "fb_version")
 
     def committed(self, spark: SparkSession, batch_id: int) -> bool:
         log = self._log(spark)

@@ -18,19 +18,15 @@ from farebox.streaming import windows as sw
 from farebox.tables import load, table_path, to_ntz
 
 
-# Files per micro-batch: a back-fill over many files runs as a sequence of
-# bounded batches (availableNow honours the limit) instead of one batch.
-MAX_FILES_PER_BATCH = 1000
-
-
+# No limit on the files of a micro-batch: cut by file order, a back-fill would
+# move the watermark past rows of files that come later, and lose them.
 def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     sinks.prepare_state_store(spark)
     path = table_path(sf_dir, "events")
     schema = spark.read.parquet(path).schema
     # A glob, not the file path: the file source lists a pattern.
-    return source.file_stream(spark, path.replace("events.parquet", "events*.parquet"), schema,
-                              max_files=MAX_FILES_PER_BATCH)
+    return source.file_stream(spark, path.replace("events.parquet", "events*.parquet"), schema)
 
 
 def _run_append(spark: SparkSession, df: DataFrame, name: str, mode: str = "append") -> DataFrame:
@@ -64,14 +60,13 @@ def stream_session_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run_append(spark, sw.session_by_zone(_green(spark, sf_dir), gap="60 minutes"), "session_keyed")
 
 
-def _zone_ids(spark: SparkSession, sf_dir: str, limit: int = 10_000) -> list[int]:
-    """Ids of the zone table (bounded: at most ``limit`` rows are taken, and
-    more than that is refused rather than truncated)."""
-    z = load(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("int").alias("z")).limit(limit + 1)
-    ids = [r.z for r in z.collect()]
-    if len(ids) > limit:
-        raise ValueError("zone table too large for per-zone session counters")
-    return sorted(ids)
+#: Zones with a counter each in the open session; any other zone is listed.
+COUNTED_ZONES = 1_000
+
+
+def _zone_ids(spark: SparkSession, sf_dir: str) -> list[int]:
+    z = load(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("int").alias("z"))
+    return [r.z for r in z.where("z is not null").distinct().orderBy("z").limit(COUNTED_ZONES).collect()]
 
 
 def stream_session_global(spark: SparkSession, sf_dir: str) -> DataFrame:

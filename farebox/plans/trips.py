@@ -73,8 +73,8 @@ def trips_union_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P7 + U3: defensive projections (absent -> typed null) unioned with
     missing columns allowed."""
     green, yellow = sources(spark, sf_dir)
-    g = normalize.read_trip_frame(green, "green")
-    y = normalize.read_trip_frame(yellow.drop("tolls_amount"), "yellow").drop("tolls_amount")
+    g = normalize.minimal_trips(green, "green")
+    y = normalize.minimal_trips(yellow.drop("tolls_amount"), "yellow").drop("tolls_amount")
     return to_ntz(unions.union_by_name(g, y, allow_missing=True))
 
 
@@ -103,8 +103,8 @@ def monthly_revenue_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def monthly_revenue_service(spark: SparkSession, sf_dir: str) -> DataFrame:
     green, yellow = sources(spark, sf_dir)
-    g = normalize.read_trip_frame(green, "green")
-    y = normalize.read_trip_frame(yellow, "yellow")
+    g = normalize.minimal_trips(green, "green")
+    y = normalize.minimal_trips(yellow, "yellow")
     return revenue.monthly_revenue_service(unions.union_by_name(g, y, allow_missing=True))
 
 

@@ -53,6 +53,13 @@ def get_spark(
     return prepare(spark)
 
 
+def _local_folder(spark: SparkSession) -> str:
+    """A temporary folder, for a session whose tasks all run on this machine."""
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    return tempfile.mkdtemp(prefix="farebox-ckpt-")
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh directory under the cluster's shared checkpoint folder.
 
@@ -64,7 +71,7 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
-        base = tempfile.mkdtemp(prefix="farebox-ckpt-")
+        base = _local_folder(spark)
         spark.sparkContext.setCheckpointDir(base)
     return "/".join([base.rstrip("/"), "farebox", *parts, uuid.uuid4().hex])
 
@@ -73,7 +80,5 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint()`` usable: keep the cluster's setting."""
     if spark.sparkContext.getCheckpointDir():
         return
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(
-        prefix="farebox-ckpt-"
-    )
+    base = spark.conf.get("spark.checkpoint.dir", None) or _local_folder(spark)
     spark.sparkContext.setCheckpointDir(base)

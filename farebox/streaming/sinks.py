@@ -16,12 +16,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from farebox.operators.joins import anti_join, semi_join
 from farebox.operators.sinks import PartitionVersionedTable
+from farebox.sources.files import try_read
 
 
 STATE_STORE_CONF = {
@@ -82,10 +83,7 @@ class UpsertSink:
 
     # -- reading -----------------------------------------------------------
     def _log(self, spark: SparkSession) -> DataFrame | None:
-        try:
-            return spark.read.parquet(self.log_path)
-        except AnalysisException:
-            return None
+        return try_read(lambda: spark.read.parquet(self.log_path))
 
     def current_path(self, spark: SparkSession) -> str | None:
         log = self._log(spark)
@@ -122,9 +120,8 @@ class UpsertSink:
         parts = new.select(table.part_of(F.col(table.key_col)).alias("fb_part")).distinct()
         cur = table.read(spark)
         if cur is not None:
-            touched = cur.withColumn("fb_p", table.part_of(F.col(table.key_col))).join(
-                parts.withColumnRenamed("fb_part", "fb_p"), "fb_p", "left_semi").drop("fb_p")
-            new = new.unionByName(touched.join(new.select(*self.keys), self.keys, "left_anti"))
+            touched = semi_join(cur.withColumn("fb_part", table.part_of(F.col(table.key_col))), parts, ["fb_part"])
+            new = new.unionByName(anti_join(touched.drop("fb_part"), new, self.keys))
         table.publish_parts(new, parts, batch_id)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
@@ -139,8 +136,7 @@ class UpsertSink:
         new = self._last_per_key(batch)
         cur = self.read(spark)
         if cur is not None:
-            kept = cur.join(new.select(*self.keys), self.keys, "left_anti")
-            new = new.unionByName(kept)
+            new = new.unionByName(anti_join(cur, new, self.keys))
         out = f"{self.path}/v={batch_id:020d}"
         new.write.mode("overwrite").parquet(out)
         spark.createDataFrame([(int(batch_id), out)], "batch_id long, path string").write.mode("append").parquet(

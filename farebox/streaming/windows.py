@@ -68,35 +68,27 @@ def session_global(trips: DataFrame, gap: str = "5 minutes", delay: str = WATERM
     each session.  A streaming session window needs a grouping key, so a
     real constant column is added; the chain is one key by definition.
 
-    With ``zones`` (the ids of the bounded zone table) each open session keeps
-    one counter per zone, so its state has a fixed size whatever the number of
-    events.  Without it the session keeps the zone of every event until it
-    closes (``gap`` of silence)."""
+    Each open session keeps one counter per zone of ``zones``, one for the null
+    zone, and the zone of every event elsewhere: no zone is lost, and the state
+    has a fixed size as long as the events lie in the named zones."""
+    zones = sorted({int(z) for z in zones or []})
+    zone = F.col("PULocationID")
+    named = zone.isin(*zones) if zones else F.lit(False)
     base = trips.withWatermark("event_time", delay).withColumn("_chain", F.lit(0))
-    grouped = base.groupBy(F.session_window("event_time", gap).alias("w"), "_chain")
-    if zones is not None:
-        zones = [int(z) for z in zones]
-        agg = grouped.agg(*[F.count_if(F.col("PULocationID") == F.lit(z)).alias(f"_z{z}") for z in zones])
-        pairs = F.array(*[F.struct(F.lit(z).cast("int").alias("PULocationID"), F.col(f"_z{z}").alias("n"))
-                          for z in zones])
-        per_zone = agg.select(F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"),
-                              F.inline(pairs))
-        return per_zone.filter(F.col("n") > 0).select(
-            "session_start", "session_end", "PULocationID", F.col("n").cast("long").alias("num_trips"))
-    agg = grouped.agg(F.collect_list("PULocationID").alias("_zones"))
-    per_zone = agg.select(
-        F.col("w.start").alias("session_start"),
-        F.col("w.end").alias("session_end"),
-        "_zones",
-        F.explode(F.array_distinct("_zones")).alias("PULocationID"),
-    )
-    return per_zone.select(
-        "session_start",
-        "session_end",
-        "PULocationID",
-        F.size(F.filter("_zones", lambda z: z == F.col("PULocationID"))).cast("long").alias("num_trips"),
+    agg = base.groupBy(F.session_window("event_time", gap).alias("w"), "_chain").agg(
+        F.count_if(zone.isNull()).alias("_null"),
+        F.collect_list(F.when(~named, zone)).alias("_other"),
+        *[F.count_if(zone == F.lit(z)).alias(f"_z{z}") for z in zones],
     )
 
+    def pair(z, n):
+        return F.struct(z.cast("int").alias("PULocationID"), n.cast("long").alias("num_trips"))
+
+    counted = F.array(pair(F.lit(None), F.col("_null")), *[pair(F.lit(z), F.col(f"_z{z}")) for z in zones])
+    listed = F.transform(F.array_distinct("_other"), lambda z: pair(z, F.size(F.filter("_other", lambda x: x == z))))
+    rows = agg.select(F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), F.inline(F.concat(counted, listed)))
+    return rows.filter("num_trips > 0")
+
 
 def running_counters(trips: DataFrame, col: str = "trip_distance", threshold: float = 5.0) -> DataFrame:
     """ST14: running total and count over a threshold (complete mode)."""

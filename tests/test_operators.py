@@ -272,7 +272,7 @@ def test_defensive_projection_tolerates_text(spark):
         [("2024-01-01 00:00:00", "abc", "7", "1.5"), ("not a time", "3", "x", None)],
         "tpep_pickup_datetime string, PULocationID string, passenger_count string, fare_amount string",
     )
-    out = normalize.read_trip_frame(raw, "yellow", require_pickup=False).collect()
+    out = normalize.project_present(raw, normalize.MINIMAL_TRIP, t="tpep").collect()
     assert out[0].pickup_location_id is None and out[0].passenger_count == 7 and out[0].fare_amount == 1.5
     assert out[1].pickup_datetime is None and out[1].pickup_location_id == 3 and out[1].tolls_amount is None
 

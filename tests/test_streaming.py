@@ -181,10 +181,11 @@ def test_score_partitions_and_twin(spark, sf_small):
     scored = scoring.score_partitions(green).limit(50).toPandas()
     pd.testing.assert_series_equal(scored["predicted_duration"], scored["trip_distance"] * 5, check_names=False)
     df = scoring.keyed_revenue(green, "lpep_pickup_datetime", "PULocationID", "total_amount", "2020-01-01", digits=None)
-    twin = scoring.keyed_revenue_rdd(green, "lpep_pickup_datetime", "PULocationID", "total_amount", "2020-01-01")
-    a = {(r.hour.replace(tzinfo=None), r.zone): (round(r.revenue, 6), r["count"]) for r in df.collect()}
-    b = {(h.replace(tzinfo=None), z): (round(s, 6), n) for h, z, s, n in twin.collect()}
-    assert a == b
+    got = {(r.hour.replace(tzinfo=None), r.zone): (round(r.revenue, 6), r["count"]) for r in df.collect()}
+    rows = green.where("lpep_pickup_datetime >= '2020-01-01'").select("lpep_pickup_datetime", "PULocationID", "total_amount").toPandas()
+    rows["hour"] = rows.lpep_pickup_datetime.dt.floor("h")
+    want = rows.groupby(["hour", "PULocationID"], dropna=False).total_amount.agg(["sum", "size"])
+    assert got == {(h.to_pydatetime(), z): (round(s, 6), n) for (h, z), s, n in zip(want.index, want["sum"], want["size"])}
 
 
 def fake_pages(url, taxi, year, month, page, page_size):
