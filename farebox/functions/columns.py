@@ -71,9 +71,8 @@ def col_or_null(columns: Sequence[str], name: str, dtype) -> Column:
 
 
 def null_safe_text(c) -> Column:
-    """``coalesce(cast(c as string), '')``.  Floating columns are first made
-    ``decimal(18,2)`` so the text does not depend on the engine's float
-    printing (1.0E7 vs 10000000.0)."""
+    """``coalesce(cast(c as string), '')``: Spark's plain text of the value
+    (doubles of 1e7 and more print with an exponent)."""
     return F.coalesce(_col(c).cast(T.StringType()), F.lit(""))
 
 

@@ -1,22 +1,19 @@
 """Batch tumbling windows and gap sessions (the batch twins of ST4–ST8).
 
 Sessions are computed without putting a key – or, for the global chain, the
-whole table – into one task:
-
-1. Events are cut into (key, time bucket) groups.  Inside each group an
-   ordered window finds *local* session starts (gap to the previous event of
-   the group > ``gap``).  A group is bounded by the bucket width, not by the
-   size of the key.
-2. Right after the window, events are reduced to one row per local session
-   (and per counted group).  Each (key, bucket) is summarised to one row
-   (first time, last time, local starts); only this summary – keys × buckets
-   rows – is ordered per key to decide whether a bucket's first session
-   continues the previous bucket's last one, and to give each bucket its
-   session-number offset.
-3. The offsets are joined back to the local sessions (null-safe keys, so the
-   event shuffle is planned once and reused; AQE broadcasts the summary when
-   small); a local session gets ``offset + local ordinal - continued`` and the
-   sessions are plain aggregates of the local ones.
+whole table – into one task, and without ordering raw events:
+
+1. Events are reduced to cells: one row per (key, span of one gap length) with
+   first time, last time and count.  Two events of a cell are always in one
+   session, so this is a hash aggregate with a map-side step.
+2. Cells are ordered inside (key, time bucket) groups to find *local* session
+   starts (gap to the previous cell > ``gap``); a group holds at most
+   bucket / gap cells.  Each group is summarised to one row; only this summary
+   is ordered per key to decide whether a bucket's first session continues the
+   previous bucket's last one, and to give each bucket its offset.
+3. The offsets are joined back to the cells (null-safe keys); a cell's session
+   is ``offset + local ordinal - continued``, and sessions are plain
+   aggregates of cells.
 
 ``assign_sessions`` gives the same numbering per event when every event needs
 its session id.
@@ -29,6 +26,8 @@ gap.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -117,66 +116,57 @@ def sessions(
     Global (ST8): ``keys=[]``, ``count_by=[zone]`` -> one row per zone present
     in each global session, with that session's bounds.
 
-    The raw events are shuffled and sorted once (by key and time bucket); right
-    after the ordered window they are reduced to one row per local session
-    (and ``count_by`` group).  The bucket summary, the chaining and the final
-    session aggregate all run on that reduced frame."""
+    Counts per ``count_by`` group take their session from the cell they lie
+    in, by a join on (key, cell)."""
     keys, count_by = list(keys), list(count_by)
     gap_s = _seconds(gap)
     gap_us = gap_s * 1_000_000
-    bucket_us = bucket_seconds * 1_000_000
-    ev = (
-        df.filter(F.col(time_col).isNotNull())
-        .select(*keys, *count_by, F.col(time_col).alias("_ts"))
-        .withColumn("_t", F.unix_micros("_ts"))
-        .withColumn("_b", F.floor(F.col("_t") / F.lit(bucket_us)))
-    )
-    w_local = Window.partitionBy(*keys, "_b").orderBy("_t")
-    prev = F.lag("_t").over(w_local)
-    ev = ev.withColumn("_start", (prev.isNull() | ((F.col("_t") - prev) > F.lit(gap_us))).cast("int"))
-    ev = ev.withColumn(
-        "_local", F.sum("_start").over(w_local.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    )
-    # One row per (key, bucket, local session, count_by group).
-    loc = ev.groupBy(*keys, "_b", "_local", *count_by).agg(
-        F.min("_ts").alias("_lo"), F.max("_ts").alias("_hi"), F.count(F.lit(1)).alias("_n")
-    )
-    summary = loc.groupBy(*keys, "_b").agg(
-        F.unix_micros(F.min("_lo")).alias("_first"),
-        F.unix_micros(F.max("_hi")).alias("_last"),
-        F.max("_local").alias("_starts"),
+    bucket_us = gap_us * max(1, bucket_seconds // gap_s)
+
+    def floor_to(c: str, width: int):
+        return F.col(c) - F.pmod(F.col(c), F.lit(width))
+
+    ev = df.filter(F.col(time_col).isNotNull()).select(*keys, *count_by, F.unix_micros(time_col).alias("_t"))
+    parts = ev.groupBy(*keys, *count_by, floor_to("_t", gap_us).alias("_g")).agg(
+        F.min("_t").alias("_lo"), F.max("_t").alias("_hi"), F.count(F.lit(1)).alias("_n")
     )
+    cells = parts
+    if count_by:
+        cells = parts.groupBy(*keys, "_g").agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"), F.sum("_n").alias("_n"))
+    cells = cells.withColumn("_b", floor_to("_g", bucket_us))
+    w_local = Window.partitionBy(*keys, "_b").orderBy("_g")
+    before = F.lag("_hi").over(w_local)
+    cells = cells.withColumn("_start", (before.isNull() | (F.col("_lo") - before > gap_us)).cast("int"))
+    cells = cells.withColumn("_local", F.sum("_start").over(w_local.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+
     w_chain = Window.partitionBy(*keys).orderBy("_b")
-    prev_last = F.lag("_last").over(w_chain)
-    summary = summary.withColumn(
-        "_cont", (prev_last.isNotNull() & ((F.col("_first") - prev_last) <= F.lit(gap_us))).cast("int")
-    )
-    summary = summary.withColumn(
-        "_offset",
-        F.coalesce(
-            F.sum(F.col("_starts") - F.col("_cont")).over(w_chain.rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0),
-        ),
-    ).select(*keys, "_b", "_offset", "_cont")
-    # keys × buckets rows: AQE broadcasts this at run time when it is small.
-    # Null-safe equality: a null key is a group of its own (as in groupBy),
-    # and no inferred not-null filter makes the two uses of ``loc`` differ,
-    # so the shuffle of the raw events is planned once and reused.
-    s = summary.select(*[F.col(c).alias(f"_s_{c}") for c in [*keys, "_b"]], "_offset", "_cont")
-    cond = [loc[c].eqNullSafe(s[f"_s_{c}"]) for c in [*keys, "_b"]]
-    sid = loc.join(s, cond, "inner").drop(*[f"_s_{c}" for c in [*keys, "_b"]]).withColumn(
-        "session_id", (F.col("_offset") + F.col("_local") - F.col("_cont")).cast("long")
+    last = F.lag("_last").over(w_chain)
+    offsets = cells.groupBy(*keys, "_b").agg(
+        F.min("_lo").alias("_first"), F.max("_hi").alias("_last"), F.sum("_start").alias("_starts")
     )
-    per = sid.groupBy(*keys, "session_id", *count_by).agg(
+    offsets = offsets.withColumn("_cont", (last.isNotNull() & (F.col("_first") - last <= gap_us)).cast("int"))
+    done = F.sum(F.col("_starts") - F.col("_cont")).over(w_chain.rowsBetween(Window.unboundedPreceding, -1))
+    offsets = offsets.select(*keys, "_b", (F.coalesce(done, F.lit(0)) - F.col("_cont")).alias("_offset"))
+    cells = _join_null_safe(cells, offsets, [*keys, "_b"]).withColumn("_session", F.col("_offset") + F.col("_local"))
+
+    bounds = cells.groupBy(*keys, "_session").agg(
         F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"), F.sum("_n").alias("num_trips")
     )
     if count_by:
-        w = Window.partitionBy(*keys, "session_id")
-        per = per.withColumn("_lo", F.min("_lo").over(w)).withColumn("_hi", F.max("_hi").over(w))
-    return per.select(
+        placed = _join_null_safe(parts.select(*keys, *count_by, "_g", "_n"), cells.select(*keys, "_g", "_session"), [*keys, "_g"])
+        counts = placed.groupBy(*keys, "_session", *count_by).agg(F.sum("_n").alias("num_trips"))
+        bounds = _join_null_safe(counts, bounds.drop("num_trips"), [*keys, "_session"])
+    return bounds.select(
         *keys,
-        F.col("_lo").alias("session_start"),
-        F.timestamp_add("SECOND", F.lit(gap_s), F.col("_hi")).alias("session_end"),
+        F.timestamp_micros("_lo").alias("session_start"),
+        F.timestamp_micros(F.col("_hi") + gap_us).alias("session_end"),
         *count_by,
         F.col("num_trips").cast("long").alias("num_trips"),
     )
+
+
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on ``keys``, nulls matching nulls, the keys kept once."""
+    other = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
+    same = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in keys]
+    return left.join(other, reduce(and_, same)).drop(*[f"_r_{c}" for c in keys])

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farebox.functions.columns import month_start
-from farebox.operators.revenue import scaled_units
+from farebox.operators.revenue import rounded
 
 # Fixed value: the tag list of the trend mart.
 TREND_TAGS = ("python", "java", "javascript", "sql", "pandas")
@@ -33,41 +33,32 @@ def tag_month(
     time_col: str = "creation_date",
     score_col: str = "score",
     views_col: str = "view_count",
-    scale: int = 2,
 ) -> DataFrame:
     """Per (month, tag): questions, average score, average views.
 
     Questions are first reduced to one row per (question id, month) holding
-    count and sums, and only then joined with their tags; averages are
-    recombined as exact sums over counts.  The join input no longer grows with the rows of
-    a hot question (it is bounded by ids × months), and the result equals
-    the plain join-then-aggregate."""
+    count and sums, and only then joined with their tags; averages are sums
+    over counts of the reduced rows.  The join input no longer grows with the
+    rows of a hot question (it is bounded by ids × months), and the result
+    equals the plain join-then-aggregate."""
+    values = {"score": F.col(score_col).cast("double"), "views": F.col(views_col).cast("double")}
     pre = questions.groupBy(F.col(id_col).alias("question_id"), month_start(time_col).alias("month")).agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(scaled_units(score_col, scale)).alias("s_score"),
-        F.sum(scaled_units(views_col, scale)).alias("s_views"),
-        F.count(F.col(score_col)).alias("n_score"),
-        F.count(F.col(views_col)).alias("n_views"),
+        *[F.sum(v).alias(f"s_{name}") for name, v in values.items()],
+        *[F.count(v).alias(f"n_{name}") for name, v in values.items()],
     )
     joined = pre.join(question_tags, "question_id")
-    # Exact integer-unit sums turned into doubles once: independent of the
-    # order in which partial sums are combined (see revenue.exact_avg).
-    unit = F.lit(float(10 ** scale))
-    avg_score = F.try_divide(F.sum("s_score").cast("double") / unit, F.sum("n_score").cast("double"))
-    avg_views = F.try_divide(F.sum("s_views").cast("double") / unit, F.sum("n_views").cast("double"))
+    averages = {name: F.try_divide(F.sum(f"s_{name}"), F.sum(f"n_{name}").cast("double")) for name in values}
     return joined.groupBy("month", "tag").agg(
         F.sum("n").alias("question_count"),
-        avg_score.cast("double").alias("avg_score"),
-        avg_views.cast("double").alias("avg_views"),
+        *[avg.alias(f"avg_{name}") for name, avg in averages.items()],
     )
 
 
-def top_tags(fact: DataFrame, n: int = 50, digits: int | None = 4) -> DataFrame:
+def top_tags(fact: DataFrame, n: int = 50, digits: int | None = None) -> DataFrame:
     """Per tag the summed count and the *unweighted* average of monthly
     averages; top ``n`` by total (tag breaks ties) – a TakeOrderedAndProject."""
-    avg = F.avg("avg_score")
-    if digits is not None:
-        avg = F.round(avg, digits)
+    avg = rounded(F.avg("avg_score"), digits)
     per_tag = fact.groupBy("tag").agg(F.sum("question_count").alias("total_questions"), avg.alias("avg_score"))
     return per_tag.orderBy(F.col("total_questions").desc(), F.col("tag").asc()).limit(n)
 

@@ -42,9 +42,8 @@ def custom_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = trips.daily_report(spark, sf_dir)
     in_range = report.filter(F.col("trip_date").between(F.lit("1998-01-01").cast("date"), F.lit("1998-12-31").cast("date")))
     # Variant Z's check: its own dedupe key, bounded to the run interval.
-    staged_z = trips.staging_trips(trips.ingested(spark, sf_dir), domain.payment_lookup(spark), variant="Z",
-                               lookup_rows=domain.PAYMENT_LOOKUP_SIZE)
-    z_run = revenue.between_filter(staged_z, "pickup_datetime", "1998-01-01 00:00:00", "1999-01-01 00:00:00")
+    z_run = trips.staging_trips(trips.ingested(spark, sf_dir), domain.payment_lookup(spark), "1998-01-01 00:00:00",
+                                "1999-01-01 00:00:00", variant="Z", lookup_rows=domain.PAYMENT_LOOKUP_SIZE)
     dup_z = dedupe.excess_rows(z_run, {"v": trips.KEY_Z})
     return quality.report(
         quality.custom_check("no_duplicate_trips", dup, 0),

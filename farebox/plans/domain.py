@@ -21,6 +21,9 @@ from farebox.functions.columns import PAYMENT_LOOKUP_ROWS
 
 GREEN_EVENT_TYPES = ("click", "view", "signup")
 ZONES = 25
+# Digits of finished money sums in the registered reports, so that two engines
+# that add in different orders print the same value.  Averages are plain.
+SUM_DIGITS = 2
 
 
 def _is_green(c="event_type"):
@@ -105,13 +108,30 @@ def ingested_trips(lineitem: DataFrame) -> DataFrame:
     )
 
 
+def staged_lines(lineitem: DataFrame) -> DataFrame:
+    """Staged trips with repeats on the nine report columns: ship days as
+    pickup times and few values in every other column."""
+    line, band = F.col("l_linenumber"), F.floor(F.col("l_quantity") / 10)
+    return lineitem.select(
+        (F.col("l_suppkey") % 2 + 1).cast("long").alias("vendor_id"),
+        F.col("l_shipdate").alias("pickup_datetime"),
+        F.timestamp_add("HOUR", line, F.col("l_shipdate")).alias("dropoff_datetime"),
+        (F.col("l_suppkey") % 4).cast("long").alias("pickup_location_id"),
+        line.cast("long").alias("dropoff_location_id"),
+        (line % 4).cast("long").alias("passenger_count"),
+        (band * 0.125).cast("double").alias("trip_distance"),
+        (band * 5).cast("decimal(18,2)").alias("total_amount"),
+        (F.col("l_partkey") % 3).cast("long").alias("payment_type"),
+    )
+
+
 def questions(lineitem: DataFrame) -> DataFrame:
     """Question activity: one row per line; ``part_id`` points at its tag list."""
     return lineitem.select(
         F.col("l_partkey").alias("part_id"),
         F.col("l_shipdate").alias("creation_date"),
         F.col("l_quantity").alias("score"),
-        F.col("l_extendedprice").alias("view_count"),
+        F.floor("l_extendedprice").cast("double").alias("view_count"),
     )
 
 

@@ -58,8 +58,18 @@ INGESTED_TRIPS = """(SELECT
     CASE WHEN l_linestatus = 'O' THEN 'green' ELSE 'yellow' END AS taxi_type
 FROM lineitem)"""
 
+STAGED_LINES = """(SELECT CAST(l_suppkey % 2 + 1 AS BIGINT) AS vendor_id,
+    CAST(l_shipdate AS TIMESTAMP) AS pickup_datetime,
+    CAST(l_shipdate AS TIMESTAMP) + to_hours(l_linenumber) AS dropoff_datetime,
+    CAST(l_suppkey % 4 AS BIGINT) AS pickup_location_id,
+    CAST(l_linenumber AS BIGINT) AS dropoff_location_id,
+    CAST(l_linenumber % 4 AS BIGINT) AS passenger_count,
+    CAST(floor(l_quantity / 10) * 0.125 AS DOUBLE) AS trip_distance,
+    CAST(floor(l_quantity / 10) * 5 AS DECIMAL(18,2)) AS total_amount,
+    CAST(l_partkey % 3 AS BIGINT) AS payment_type FROM lineitem)"""
+
 QUESTIONS = """(SELECT l_partkey AS part_id, CAST(l_shipdate AS TIMESTAMP) AS creation_date,
-    l_quantity AS score, l_extendedprice AS view_count FROM lineitem)"""
+    l_quantity AS score, floor(l_extendedprice) AS view_count FROM lineitem)"""
 
 TAGGED_PARTS = "(SELECT p_partkey AS id, replace(p_name, ' ', '|') AS tags FROM part)"
 

@@ -23,7 +23,7 @@ def tag_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def top_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tags.top_tags(tag_month(spark, sf_dir), n=50)
+    return tags.top_tags(tag_month(spark, sf_dir), n=50, digits=4)
 
 
 def tag_trends(spark: SparkSession, sf_dir: str) -> DataFrame:

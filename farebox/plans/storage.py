@@ -41,7 +41,8 @@ def interval_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    "1998-01-01 00:00:00", "1999-01-01 00:00:00", variant="A",
                                    lookup_rows=domain.PAYMENT_LOOKUP_SIZE)
 
-    new = revenue.daily_report(staged_a, "1998-01-01 00:00:00", "1999-01-01 00:00:00", null_payment_label=None)
+    new = revenue.daily_report(staged_a, "1998-01-01 00:00:00", "1999-01-01 00:00:00", null_payment_label=None,
+                               **trips.REPORT_DIGITS)
     for _ in range(2):
         table.replace_interval(new, REPLACE_START, REPLACE_END, granularity="date")
     return table.read(spark)
@@ -51,7 +52,7 @@ def append_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two appends with a load stamp."""
     out = shared_dir(spark, "tables", "ingestion_trips")
     t = _ingested_by_month(spark, sf_dir)
-    sinks.append_with_stamp(t.filter("year < 1998").drop("year", "month"), out, LOAD_STAMP)
+    sinks.append_with_stamp(t.filter("year < 1998 or year is null").drop("year", "month"), out, LOAD_STAMP)
     sinks.append_with_stamp(t.filter("year >= 1998").drop("year", "month"), out, LOAD_STAMP)
     return to_ntz(spark.read.parquet(out))
 
@@ -93,7 +94,7 @@ def _drifted_parts(spark, sf_dir):
         *[F.col(c).cast("int").alias(c) if c in ("VendorID", "passenger_count", "PULocationID") else F.col(c)
           for c in green.columns]
     )
-    part_b = green.filter(F.col("PULocationID") >= 12).select(
+    part_b = green.filter("PULocationID >= 12 or PULocationID is null").select(
         *[F.col(c).cast("long").alias(c) if c in ("VendorID", "PULocationID") else
           F.col(c).cast("double").alias(c) if c == "passenger_count" else F.col(c) for c in green.columns]
     )
@@ -135,7 +136,7 @@ def format_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     preferred, Parquet as the fallback."""
     base = shared_dir(spark, "landing", "fallback")
     t = _ingested_by_month(spark, sf_dir)
-    even = F.col("month") % 2 == 0
+    even = F.coalesce(F.col("month") % 2 == 0, F.lit(False))
     files.write_csv(t.filter(even), base, partition_by=["year", "month"])
     sinks.write_table(t.filter(~even), base, mode="append", partition_by=["year", "month"])
     span = t.agg(F.min("year").alias("y0"), F.max("year").alias("y1")).collect()[0]
@@ -151,8 +152,8 @@ def hourly_revenue_materialized(spark: SparkSession, sf_dir: str) -> DataFrame:
     join run on the saved reports."""
 
     green, yellow = trips.sources(spark, sf_dir)
-    g = sinks.materialize(revenue.hourly_revenue(green, "lpep_pickup_datetime", since=trips.REPORT_SINCE))
-    y = sinks.materialize(revenue.hourly_revenue(yellow, "tpep_pickup_datetime", since=trips.REPORT_SINCE))
+    g = sinks.materialize(revenue.hourly_revenue(green, "lpep_pickup_datetime", since=trips.REPORT_SINCE, digits=domain.SUM_DIGITS))
+    y = sinks.materialize(revenue.hourly_revenue(yellow, "tpep_pickup_datetime", since=trips.REPORT_SINCE, digits=domain.SUM_DIGITS))
     return to_ntz(revenue.attach_zones(revenue.hourly_revenue_outer(g, y), trips.zones(spark, sf_dir)))
 
 
@@ -163,9 +164,9 @@ def report_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     base = shared_dir(spark, "reports", "revenue")
     green, yellow = trips.sources(spark, sf_dir)
-    sinks.write_table(revenue.hourly_revenue(green, "lpep_pickup_datetime", since=trips.REPORT_SINCE),
+    sinks.write_table(revenue.hourly_revenue(green, "lpep_pickup_datetime", since=trips.REPORT_SINCE, digits=domain.SUM_DIGITS),
                       f"{base}/green", files=20)
-    sinks.write_table(revenue.hourly_revenue(yellow, "tpep_pickup_datetime", since=trips.REPORT_SINCE),
+    sinks.write_table(revenue.hourly_revenue(yellow, "tpep_pickup_datetime", since=trips.REPORT_SINCE, digits=domain.SUM_DIGITS),
                       f"{base}/yellow", files=4, shuffle=False, max_records_per_file=1000)
     g, y = spark.read.parquet(f"{base}/green"), spark.read.parquet(f"{base}/yellow")
     return to_ntz(revenue.hourly_revenue_tagged(g, y))

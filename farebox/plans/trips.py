@@ -13,6 +13,7 @@ from farebox.tables import load, to_ntz
 
 # Lower bound of the hourly reports (covers every benchmark row).
 REPORT_SINCE = "2020-01-01 00:00:00"
+REPORT_DIGITS = {"digits": domain.SUM_DIGITS}
 
 
 def sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -40,7 +41,7 @@ def hourly_revenue_outer_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``revenue.hourly_revenue_by_service``), then a broadcast zone join."""
     trips = service_trips(spark, sf_dir)
     rev = revenue.hourly_revenue_by_service(
-        trips, time_col="pickup_datetime", zone_col="PULocationID", since=REPORT_SINCE
+        trips, time_col="pickup_datetime", zone_col="PULocationID", since=REPORT_SINCE, digits=domain.SUM_DIGITS
     )
     return to_ntz(revenue.attach_zones(rev, zones(spark, sf_dir)))
 
@@ -49,16 +50,16 @@ def hourly_revenue_full_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M15 exactly as composed in the modelled workload: two aggregates, a full
     outer join on (hour, zone), then the zone join."""
     green, yellow = sources(spark, sf_dir)
-    g = revenue.hourly_revenue(green, "lpep_pickup_datetime", since=REPORT_SINCE)
-    y = revenue.hourly_revenue(yellow, "tpep_pickup_datetime", since=REPORT_SINCE)
+    g = revenue.hourly_revenue(green, "lpep_pickup_datetime", since=REPORT_SINCE, digits=domain.SUM_DIGITS)
+    y = revenue.hourly_revenue(yellow, "tpep_pickup_datetime", since=REPORT_SINCE, digits=domain.SUM_DIGITS)
     return to_ntz(revenue.attach_zones(revenue.hourly_revenue_outer(g, y), zones(spark, sf_dir)))
 
 
 def hourly_revenue_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The two hourly aggregates stacked with a service tag."""
     green, yellow = sources(spark, sf_dir)
-    g = revenue.hourly_revenue(green, "lpep_pickup_datetime", since=REPORT_SINCE)
-    y = revenue.hourly_revenue(yellow, "tpep_pickup_datetime", since=REPORT_SINCE)
+    g = revenue.hourly_revenue(green, "lpep_pickup_datetime", since=REPORT_SINCE, digits=domain.SUM_DIGITS)
+    y = revenue.hourly_revenue(yellow, "tpep_pickup_datetime", since=REPORT_SINCE, digits=domain.SUM_DIGITS)
     return to_ntz(revenue.hourly_revenue_tagged(g, y))
 
 
@@ -98,14 +99,14 @@ def count_by_service(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------ revenue
 def monthly_revenue_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return to_ntz(revenue.monthly_revenue_zone(service_trips(spark, sf_dir)))
+    return to_ntz(revenue.monthly_revenue_zone(service_trips(spark, sf_dir), **REPORT_DIGITS))
 
 
 def monthly_revenue_service(spark: SparkSession, sf_dir: str) -> DataFrame:
     green, yellow = sources(spark, sf_dir)
     g = normalize.minimal_trips(green, "green")
     y = normalize.minimal_trips(yellow, "yellow")
-    return revenue.monthly_revenue_service(unions.union_by_name(g, y, allow_missing=True))
+    return revenue.monthly_revenue_service(unions.union_by_name(g, y, allow_missing=True), domain.SUM_DIGITS)
 
 
 # ------------------------------------------------------------ fact + dims (M2–M5)
@@ -123,21 +124,12 @@ TRIP_ID_COLUMNS = [
 
 def fact_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M2: enrich with payment name, exact dedupe over all 19 columns, md5
-    surrogate id.  Float columns are hashed via decimal(18,2) text so the id
-    does not depend on float printing."""
+    surrogate id of the plain text of nine columns."""
     staged = staged_union(spark, sf_dir).select(*FACT_COLUMNS)
     # The name is a function of the code, so deduplicating the 18 source
     # columns first gives the same rows with a narrower shuffle.
     deduped = dedupe.exact(staged).withColumn("payment_type_name", payment_type_name("payment_type"))
-    def id_part(c):
-        if c == "trip_distance":
-            return F.col(c).cast("decimal(18,2)")
-        if c.endswith("_datetime"):
-            return F.date_format(F.col(c), "yyyy-MM-dd HH:mm:ss.SSSSSS")
-        return F.col(c)
-
-    id_cols = [id_part(c) for c in TRIP_ID_COLUMNS]
-    return to_ntz(deduped.select(surrogate_key(id_cols).alias("trip_id"), *deduped.columns))
+    return to_ntz(deduped.select(surrogate_key(TRIP_ID_COLUMNS).alias("trip_id"), *deduped.columns))
 
 
 def dim_vendors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,14 +157,16 @@ def dim_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).orderBy("location_id")
 
 
-DUP_KEYS = ["pickup_datetime", "dropoff_datetime", "pickup_location_id", "dropoff_location_id", "payment_type"]
+#: One year, the interval of the report (the years of the benchmark's ship dates).
+DUP_START, DUP_END = "1996-01-01 00:00:00", "1997-01-01 00:00:00"
 
 
 def dup_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M5: raw trips equal on the report key seen more than once, most
-    repeated first, top 50 (the key columns break ties at the cut)."""
-    t = normalize.coalesce_sources(ingested(spark, sf_dir), STAGING_ALTERNATIVES)
-    return to_ntz(dedupe.duplicate_report(t, DUP_KEYS, top=50))
+    """M5: staged trips of one year equal on the nine id columns and seen more
+    than once, most repeated first, top 50 (the columns break ties at the cut)."""
+    staged = domain.staged_lines(load(spark, sf_dir, "lineitem"))
+    year = revenue.between_filter(staged, "pickup_datetime", DUP_START, DUP_END)
+    return to_ntz(dedupe.duplicate_report(year, TRIP_ID_COLUMNS, top=50))
 
 
 # ------------------------------------------------------------ asset pipeline (M6–M8)
@@ -204,8 +198,8 @@ def staging_trips(ingested: DataFrame, lookup: DataFrame, start=None, end=None,
     The survivor is the first row by pickup time, then the remaining output
     columns (nulls first) – a total order, so reruns agree.  ``lookup_rows``
     states the lookup's size when it is fixed by construction (the seed)."""
-    t = normalize.coalesce_sources(ingested, STAGING_ALTERNATIVES)
-    t = revenue.between_filter(t, "pickup_datetime", start, end)
+    t = normalize.coalesced_between(ingested, STAGING_ALTERNATIVES["pickup_datetime"], start, end)
+    t = normalize.coalesce_sources(t, STAGING_ALTERNATIVES)
     t = t.filter(
         F.col("pickup_datetime").isNotNull()
         & F.col("dropoff_datetime").isNotNull()
@@ -246,7 +240,7 @@ def daily_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M8 variant Z over the whole staged table."""
     staged = staging_trips(ingested(spark, sf_dir), domain.payment_lookup(spark), variant="Z",
                                lookup_rows=domain.PAYMENT_LOOKUP_SIZE)
-    return revenue.daily_report(staged)
+    return revenue.daily_report(staged, **REPORT_DIGITS)
 
 
 def daily_report_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -254,7 +248,7 @@ def daily_report_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
     the null payment name of unmatched codes is kept."""
     staged = staging_trips(ingested(spark, sf_dir), domain.payment_lookup(spark),
                            REPORT_START, REPORT_END, variant="A", lookup_rows=domain.PAYMENT_LOOKUP_SIZE)
-    return revenue.daily_report(staged, REPORT_START, REPORT_END, null_payment_label=None)
+    return revenue.daily_report(staged, REPORT_START, REPORT_END, null_payment_label=None, **REPORT_DIGITS)
 
 
 def dup_excess(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -295,7 +289,7 @@ def over_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def total_tips(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, yellow = sources(spark, sf_dir)
-    return revenue.global_sum(yellow, "tip_amount", "total_tip_amount")
+    return revenue.global_sum(yellow, "tip_amount", "total_tip_amount", domain.SUM_DIGITS)
 
 
 def longest_trip(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -41,8 +41,9 @@ def read_csv(
 
 
 def write_csv(df: DataFrame, path: str, gzip: bool = True, mode: str = "overwrite",
-              timestamp_format: str = "yyyy-MM-dd HH:mm:ss.SSSSSS", partition_by: Sequence[str] = ()) -> None:
-    w = df.write.mode(mode).option("header", "true").option("timestampFormat", timestamp_format)
+              timestamp_format: str = "yyyy-MM-dd HH:mm:ss.SSSSSS", partition_by: Sequence[str] = (),
+              header: bool = True) -> None:
+    w = df.write.mode(mode).option("header", str(header).lower()).option("timestampFormat", timestamp_format)
     if gzip:
         w = w.option("compression", "gzip")
     if partition_by:
