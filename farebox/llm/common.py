@@ -55,6 +55,32 @@ def keyed_texts(df: DataFrame, id_col: str, text_col: str, carry: list[str] = ()
     return df.select(*row_key(id_col, text_col), text.alias("_text"), *more)
 
 
+#: Group tables up to this many rows and bytes of key text are broadcast.
+SMALL_ROWS, SMALL_BYTES = 100_000, 32 << 20
+#: Parts of every group when the group table is larger.
+GROUP_PARTS = 64
+
+
+def is_small(groups: DataFrame, keys: list[str]) -> bool:
+    """Whether a table with one row per group may be broadcast, by its measured
+    rows and key bytes (one job; checkpoint the table first)."""
+    text = F.octet_length(F.concat_ws("", *[F.col(k).cast("string") for k in keys]))
+    rows, size = groups.agg(F.count("*"), F.coalesce(F.sum(text), F.lit(0))).first()
+    return rows <= SMALL_ROWS and size <= SMALL_BYTES
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], small: bool, how: str = "inner") -> DataFrame:
+    """``rows`` with the columns of their group (``keys`` not null, one row
+    each in ``groups``), without bringing a group's rows into one task: a
+    ``small`` table is broadcast, a larger one is repeated for each part that
+    the rows of a group are dealt to."""
+    if small:
+        return rows.join(F.broadcast(groups), keys, how)
+    part = F.pmod(F.xxhash64(*rows.columns), F.lit(GROUP_PARTS)).cast("int")
+    each = groups.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(GROUP_PARTS - 1))))
+    return rows.withColumn("_part", part).join(each, [*keys, "_part"], how).drop("_part")
+
+
 def text_bytes(df: DataFrame, text_col: str) -> int:
     """Total bytes of a text column (one narrow aggregate)."""
     row = df.agg(F.sum(F.octet_length(F.col(f"`{text_col}`").cast("binary")).cast("long"))).first()

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from farebox.llm.common import ready, row_key
+from farebox.llm.common import is_small, join_groups, ready, row_key
 
 TOKEN = r"[^\x20\x09-\x0D]+"
 
@@ -83,18 +83,19 @@ def mix(
     meta = df.select(*row, word_count(F.col(f"`{text_col}`")).alias("n_tokens")).checkpoint()
     leaves = meta.groupBy(*names).agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("n")).checkpoint()
     total = leaves.agg(F.sum("tokens")).first()[0] or 0
+    small = is_small(leaves, names)
     plan = leaf_budgets(leaves, names, weights, int(total * budget_share), max_epochs)
     plan = plan.withColumn("whole", F.expr("budget div tokens")).withColumn("rest", F.col("budget") - F.col("whole") * F.col("tokens"))
     plan = plan.withColumn("buckets", F.expr(f"n div {int(rows_per_bucket)} + 1")).checkpoint()
     key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("whole").cast("string"), F.col("_id").cast("string")).cast("binary"))
-    keyed = meta.join(plan, names).withColumn("key", key)
+    keyed = join_groups(meta, plan, names, small).withColumn("key", key)
     keyed = keyed.withColumn("bucket", F.expr("(cast(conv(substr(key, 1, 8), 16, 10) as bigint) * buckets) div 4294967296"))
     # The bucket in which each leaf's rest runs out, and the tokens before it.
     sums = keyed.groupBy(*names, "rest", "bucket").agg(F.sum("n_tokens").alias("t"))
     upto = F.sum("t").over(Window.partitionBy(*names).orderBy("bucket"))
     edge = sums.withColumn("upto", upto).where("upto >= rest and upto - t < rest").groupBy(*names)
     edge = edge.agg(F.min(F.struct("bucket", (F.col("upto") - F.col("t")).alias("base"))).alias("edge")).checkpoint()
-    placed = keyed.join(edge, names, "left")
+    placed = join_groups(keyed, edge, names, small, "left")
     cols = ["_id", "_th", *names, "n_tokens", "epoch", "before", F.col("tokens").alias("leaf_tokens"), F.col("budget").alias("leaf_budget")]
     whole = keyed.where("whole > 0").withColumn("epoch", F.explode(F.expr("sequence(0L, whole - 1)"))).withColumn("before", F.lit(None).cast("long"))
     early = placed.where("bucket < edge.bucket").withColumn("epoch", F.col("whole")).withColumn("before", F.lit(None).cast("long"))

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from farebox.llm.common import ready
+from farebox.llm.common import is_small, join_groups, ready
 
 SPACE = " \t\n\x0b\x0c\r"
 STATS = ("s_len", "s_sym", "s_dup", "s_rep")
@@ -137,21 +137,22 @@ def robust_distance(stats: DataFrame, keys: list[str], coverage: float = 0.75, s
     group, scaled so that the median is at most that of a clean sample."""
     p = len(STATS)
     med = stats.groupBy(*keys).agg(*[F.percentile(s, 0.5).alias(f"m{i}") for i, s in enumerate(STATS)]).checkpoint()
-    mad = stats.join(med, keys).groupBy(*keys).agg(
+    small = is_small(med, keys)
+    mad = join_groups(stats, med, keys, small).groupBy(*keys).agg(
         *[F.first(f"m{i}").alias(f"m{i}") for i in range(p)],
         *[F.percentile(F.round(F.abs(F.col(s) - F.col(f"m{i}"))), 0.5).alias(f"a{i}") for i, s in enumerate(STATS)],
     )
     start = _cholesky([F.col(f"m{i}") for i in range(p)], lambda i, j: F.pow(F.col(f"a{i}") * 1.4826, 2) + floor if i == j else F.lit(0.0))
     est = _factor(mad.select(*keys, *start), p).checkpoint()
     for _ in range(steps):
-        near = _distance(stats.join(est, keys))
+        near = _distance(join_groups(stats, est, keys, small))
         cut = near.groupBy(*keys).agg(F.ceil(F.percentile("bin", coverage)).alias("cut"))
-        est = _moments(near.join(cut, keys).where("bin <= cut"), keys, floor).checkpoint()
-    far = _distance(stats.join(est, keys))
+        est = _moments(join_groups(near, cut, keys, small).where("bin <= cut"), keys, floor).checkpoint()
+    far = _distance(join_groups(stats, est, keys, small))
     # The core's covariance is too small: the median distance of four normal
     # statistics is 3.357 (a fixed value); scale where the group's is above.
     scale = far.groupBy(*keys).agg(F.greatest(F.lit(1.0), (F.pow(2.0, F.percentile("bin", 0.5) / BINS) - 1) / 3.357).alias("scale"))
-    return far.join(scale, keys).withColumn("d2", F.col("d2") / F.col("scale")).drop("scale", "bin")
+    return join_groups(far, scale, keys, small).withColumn("d2", F.col("d2") / F.col("scale")).drop("scale", "bin")
 
 
 def quality_rules(

@@ -89,3 +89,14 @@ def test_rows_come_as_often_as_chosen(spark):
 def test_empty_tables(spark):
     assert run(spark, [], [{}, {}, {}], 0.5, 1, 1) == []
     assert run(spark, [(1, None, "p", "x", "1")], [{}, {}, {}], 0.5, 1, 1) == []
+
+
+def test_groups_join_in_parts_as_by_broadcast(spark):
+    from farebox.llm.common import is_small, join_groups
+
+    rows = spark.range(500).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 7)).alias("g"))
+    groups = rows.where("g <> 'g5'").groupBy("g").agg(F.count("*").alias("n"))
+    assert is_small(groups, ["g"]) and is_small(groups.limit(0), ["g"])
+    for how in ("inner", "left"):
+        a, b = (sorted(map(str, join_groups(rows, groups, ["g"], small, how).collect())) for small in (True, False))
+        assert a == b and len(a) == (500 if how == "left" else rows.where("g <> 'g5'").count())
