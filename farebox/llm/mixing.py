@@ -16,11 +16,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from farebox.llm.common import is_small, join_groups, ready, row_key
+from farebox.llm.common import NULL_ID, is_small, join_groups, ready
 
 TOKEN = r"[^\x20\x09-\x0D]+"
 
 
+def row_key(id_col: str, text_col: str) -> list[Column]:
+    """(``_id``, ``_th``): id and 64-bit text hash, so that many rows without an
+    id stay apart by their text."""
+    text = F.col(f"`{text_col}`").cast("binary")
+    return [F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NULL_ID)).alias("_id"), F.xxhash64(text).alias("_th")]
+
+
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(TOKEN)), F.lit(0)).cast("long")
 
@@ -90,26 +97,32 @@ def mix(
     key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("whole").cast("string"), F.col("_id").cast("string")).cast("binary"))
     keyed = join_groups(meta, plan, names, small).withColumn("key", key)
     keyed = keyed.withColumn("bucket", F.expr("(cast(conv(substr(key, 1, 8), 16, 10) as bigint) * buckets) div 4294967296"))
-    # The bucket in which each leaf's rest runs out, and the tokens before it.
-    sums = keyed.groupBy(*names, "rest", "bucket").agg(F.sum("n_tokens").alias("t"))
-    upto = F.sum("t").over(Window.partitionBy(*names).orderBy("bucket"))
+    # Rows without an id share one key: their bucket is cut on by text hash, in
+    # the order of (key, id, text hash), so that no cell holds them all.
+    tied = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("whole").cast("string"), F.lit(str(NULL_ID))).cast("binary"))
+    piece = F.expr("((shiftright(_th, 32) + 2147483648) * buckets) div 4294967296")
+    sub = F.when(F.col("key") < tied, F.lit(-1).cast("long")).when(F.col("key") == tied, piece).otherwise(F.col("buckets"))
+    keyed = keyed.withColumn("cell", F.struct("bucket", sub.alias("sub"))).drop("bucket")
+    # The cell in which each leaf's rest runs out, and the tokens before it.
+    sums = keyed.groupBy(*names, "rest", "cell").agg(F.sum("n_tokens").alias("t"))
+    upto = F.sum("t").over(Window.partitionBy(*names).orderBy("cell"))
     edge = sums.withColumn("upto", upto).where("upto >= rest and upto - t < rest").groupBy(*names)
-    edge = edge.agg(F.min(F.struct("bucket", (F.col("upto") - F.col("t")).alias("base"))).alias("edge")).checkpoint()
+    edge = edge.agg(F.min(F.struct("cell", (F.col("upto") - F.col("t")).alias("base"))).alias("edge")).checkpoint()
     placed = join_groups(keyed, edge, names, small, "left")
     cols = ["_id", "_th", *names, "n_tokens", "epoch", "before", F.col("tokens").alias("leaf_tokens"), F.col("budget").alias("leaf_budget")]
     whole = keyed.where("whole > 0").withColumn("epoch", F.explode(F.expr("sequence(0L, whole - 1)"))).withColumn("before", F.lit(None).cast("long"))
-    early = placed.where("bucket < edge.bucket").withColumn("epoch", F.col("whole")).withColumn("before", F.lit(None).cast("long"))
+    early = placed.where("cell < edge.cell").withColumn("epoch", F.col("whole")).withColumn("before", F.lit(None).cast("long"))
     order = Window.partitionBy(*names).orderBy("key", "_id", "_th").rowsBetween(Window.unboundedPreceding, -1)
-    last = placed.where("bucket = edge.bucket").withColumn("epoch", F.col("whole"))
+    last = placed.where("cell = edge.cell").withColumn("epoch", F.col("whole"))
     last = last.withColumn("before", F.col("edge.base") + F.coalesce(F.sum("n_tokens").over(order), F.lit(0))).where("before < rest")
     return whole.select(*cols).unionAll(early.select(*cols)).unionAll(last.select(*cols))
 
 
 def mixed_rows(df: DataFrame, chosen: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` as often as they were chosen."""
+    """The rows of ``df`` as often as they were chosen.  A row repeated in
+    ``df`` (same id and text) was chosen per repeat: one of them, reduced inside
+    each task before the shuffle, stands for all as often as all were chosen."""
     keyed = df.select(F.struct(*df.columns).alias("_row"), *row_key(id_col, text_col))
-    # A row repeated in df was chosen per repeat: one of them stands for all.
-    repeats = chosen.groupBy("_id", "_th").agg(F.count("*").alias("copies"))
-    nth = F.row_number().over(Window.partitionBy("_id", "_th").orderBy("_id"))
-    one = keyed.join(repeats, ["_id", "_th"]).withColumn("nth", nth).where("nth = 1")
-    return one.withColumn("copy", F.explode(F.expr("sequence(1L, copies)"))).select("_row.*")
+    one = keyed.groupBy("_id", "_th").agg(F.first("_row").alias("_row"))
+    copies = chosen.groupBy("_id", "_th").agg(F.count("*").alias("copies"))
+    return one.join(copies, ["_id", "_th"]).withColumn("copy", F.explode(F.expr("sequence(1L, copies)"))).select("_row.*")

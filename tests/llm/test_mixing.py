@@ -86,6 +86,16 @@ def test_rows_come_as_often_as_chosen(spark):
     assert sorted(r.doc_id for r in mixing.mixed_rows(df, chosen).collect()) == [1, 1, 1, 1, 2, 2]
 
 
+def test_many_rows_without_id(spark):
+    rows = [(None if i % 3 else i, f"t{i} b c", "p", "x", "1") for i in range(200)]
+    for share, per in ((0.1, 5), (0.5, 3), (0.5, 2000), (0.9, 7)):
+        assert run(spark, rows, [{}, {}, {}], share, 1, 4, rows_per_bucket=per) == slow(rows, [{}, {}, {}], share, 1, 4)
+    df = spark.createDataFrame(rows, "doc_id long, text string, a string, b string, c string")
+    chosen = mixing.mix(df, {x: F.col(x) for x in "abc"}, {}, 0.5, 1, 4, rows_per_bucket=3)
+    got = [r.text for r in mixing.mixed_rows(df, chosen).collect()]
+    assert len(got) == len(set(got)) == 100
+
+
 def test_empty_tables(spark):
     assert run(spark, [], [{}, {}, {}], 0.5, 1, 1) == []
     assert run(spark, [(1, None, "p", "x", "1")], [{}, {}, {}], 0.5, 1, 1) == []
