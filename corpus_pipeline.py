@@ -36,8 +36,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group stays, that of the smallest id."""
-    return simhash.simhash_dedup(docs, "doc_id", "text", shingle=3, max_bits=2).select(*COLUMNS)
+    """One document of each SimHash group stays, that of the smallest id (rows
+    without an id come last)."""
+    return simhash.simhash_dedup(docs, "doc_id", "text", shingle=3, max_bits=2, keep_null_ids=False).select(*COLUMNS)
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -26,8 +26,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farebox.llm.common import ready
+from farebox.llm.common import NULL_ID, ready
 from farebox.llm.graph import components
+from farebox.llm.mixing import row_key
 
 BITS = 64
 
@@ -57,18 +58,21 @@ def fingerprint_bytes(text: bytes | None, shingle: int, seed: int = 42) -> int:
     return int(np.packbits(ones * 2 > len(h), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """``id, fp`` (long, two's complement) of every row.  ASCII letters are
+def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, keyed: bool = False) -> DataFrame:
+    """``id, fp`` (long, two's complement) of every row, and ``th``, its text's
+    64-bit hash, if ``keyed``.  ASCII letters are
     lower-cased, words are runs without white space; a text with fewer words
     than a shingle is one shingle, one without words (or null) gives zero."""
 
     def run(batches):
         for b in batches:
             fps = np.array([fingerprint_bytes(t, shingle) for t in b.column(1).to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=["id", "fp"])
+            rest = [b.column(2)] if keyed else []
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64)), *rest], names=["id", "fp", "th"][: 2 + keyed])
 
     src = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("binary").alias("t"))
-    return src.mapInArrow(run, "id long, fp long")
+    src = src.withColumn("th", F.xxhash64("t")) if keyed else src
+    return src.mapInArrow(run, "id long, fp long" + ", th long" * keyed)
 
 
 # -------------------------------------------------------------- bit partition
@@ -257,6 +261,12 @@ def pigeonhole_links(fps: DataFrame, tau: int, parts: int | None = None, bucket_
     return pairs.unionAll(half_distance_links(members, tau))
 
 
+def _rooted(groups: DataFrame, max_bits: int, bucket_cap: int) -> DataFrame:
+    """``fp, low`` (one row per fingerprint) with the ``root`` of its component."""
+    links = components(pigeonhole_links(groups, max_bits, bucket_cap=bucket_cap))
+    return groups.join(links.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
+
+
 def simhash_groups(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2, bucket_cap: int = 128
 ) -> DataFrame:
@@ -271,20 +281,30 @@ def simhash_groups(
     ready(df.sparkSession)
     fps = fingerprints(df, id_col, text_col, shingle).checkpoint()
     groups = fps.groupBy("fp").agg(F.min("id").alias("low")).checkpoint()
-    links = components(pigeonhole_links(groups, max_bits, bucket_cap=bucket_cap))
-    rooted = groups.join(links.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
+    rooted = _rooted(groups, max_bits, bucket_cap)
     names = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
     by_fp = rooted.join(names, "root").select("fp", "component_id")
     out = fps.join(by_fp, "fp")
     return out.select("id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def simhash_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2) -> DataFrame:
+def simhash_dedup(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2, keep_null_ids: bool = True
+) -> DataFrame:
     """The input's rows without near copies: of each component the row with
-    the smallest id stays (one of them, if rows repeat that id); rows with a
-    null id stay as they are."""
-    g = simhash_groups(df, id_col, text_col, shingle, max_bits)
-    keep = g.where("id = component_id").select(F.col("id").alias("_farebox_keep")).distinct()
+    the smallest (id, text hash) stays, so that different texts under one id
+    stand for themselves; of a repeated row (same id and text) one stays.
+
+    Rows with a null id stay as they are, or with ``keep_null_ids=False`` take
+    part after every other id, so that one row of each component is left."""
+    ready(df.sparkSession)
+    fps = fingerprints(df, id_col, text_col, shingle, keyed=True).checkpoint()
+    groups = fps.groupBy("fp").agg(F.min(F.struct(F.coalesce("id", F.lit(NULL_ID)).alias("_id"), F.col("th").alias("_th"))).alias("low")).checkpoint()
+    keep = _rooted(groups, max_bits, bucket_cap=128).groupBy("root").agg(F.min("low").alias("low")).select("low._id", "low._th")
     key = F.col(f"`{id_col}`")
-    kept = df.join(keep, key == F.col("_farebox_keep"), "left_semi").dropDuplicates([id_col])
-    return kept.unionAll(df.where(key.isNull()))
+    src = df.where(key.isNotNull()) if keep_null_ids else df
+    # Repeated rows are reduced inside each task, before the shuffle.
+    keyed = src.select(F.struct(*src.columns).alias("_row"), *row_key(id_col, text_col))
+    one = keyed.groupBy("_id", "_th").agg(F.first("_row").alias("_row"))
+    kept = one.join(keep, ["_id", "_th"], "left_semi").select("_row.*")
+    return kept.unionAll(df.where(key.isNull())) if keep_null_ids else kept

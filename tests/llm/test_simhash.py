@@ -129,3 +129,24 @@ def test_dedup_keeps_one_of_each_group(spark):
     out = simhash.simhash_dedup(df)
     assert out.columns == df.columns
     assert sorted((r.doc_id for r in out.collect()), key=str) == [2, 9, None]
+
+
+def test_dedup_keeps_texts_apart_that_share_an_id(spark):
+    rng = random.Random(3)
+    x, y, z = (" ".join(f"w{rng.randrange(500)}" for _ in range(60)) for _ in range(3))
+    rows = [(7, x), (7, y), (7, y), (3, y), (9, z), (9, z)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for kw in ({}, {"keep_null_ids": False}):
+        assert sorted(tuple(r) for r in simhash.simhash_dedup(df, **kw).collect()) == sorted([(7, x), (3, y), (9, z)])
+
+
+def test_near_copies_stage_leaves_one_of_each_group(spark):
+    import corpus_pipeline as P
+
+    rng = random.Random(4)
+    x, y, z = (" ".join(f"w{rng.randrange(500)}" for _ in range(60)) for _ in range(3))
+    rows = [(None, x)] * 40 + [(None, x.upper())] * 3 + [(5, y), (None, y), (None, y.upper()), (8, z)]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = P.near_copies(spark, df, "").collect()
+    assert sorted((str(r.doc_id), r.text.lower()) for r in got) == sorted([("None", x), ("5", y), ("8", z)])
+    assert sum(r.doc_id is None for r in simhash.simhash_dedup(df).collect()) == 45
