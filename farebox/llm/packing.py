@@ -232,6 +232,82 @@ class Layout:
             s += 1
 
 
+#: Children of a node below the top, and window tokens there for each child.
+FAN, CHILD_TOKENS = 16, 16
+
+
+class Node:
+    """A layout whose windows, one after the other, are the tokens of queue
+    ``k`` of the node ``up``, or the windows themselves at the top."""
+
+    def __init__(self, totals: list[int], weights: list[int] | None, length: int, up: Node | None = None, k: int = 0):
+        self.layout, self.length, self.up, self.k = Layout(plan_windows(totals, weights, length)), length, up, k
+
+    def pieces(self, k: int, begin: int, end: int):
+        """As ``Layout.pieces``, in windows of the top."""
+        if self.up is None:
+            yield from self.layout.pieces(k, begin, end)
+            return
+        held = None
+        for lo, hi, window, offset in self.layout.pieces(k, begin, end):
+            at = window * self.length + offset
+            for a, z, w, o in self.up.pieces(self.k, at, at + hi - lo):
+                a, z = a + lo - at, z + lo - at
+                if held and held[2] == w and held[3] + held[1] - held[0] == o:
+                    held = (held[0], z, *held[2:])
+                    continue
+                if held:
+                    yield held
+                held = (a, z, w, o)
+        if held:
+            yield held
+
+
+def plan_sources(totals: dict[str, int], weights: dict[str, int] | None, length: int, max_queues: int) -> dict[str, tuple[Node, int]]:
+    """Node and queue of every source.  The top has at most ``max_queues``
+    queues (at least two); sources without one of their own share a queue that is laid
+    out again by their weights (or totals), in a tree of ``FAN`` children a node."""
+    if weights:
+        listed = sorted(weights, key=lambda s: (-weights[s], s))
+    else:
+        listed = sorted(totals, key=lambda s: (-totals[s], s))[: max_queues - 1]
+    own, tail = listed, []
+    if len(listed) > max_queues - 1:
+        own, tail = listed[: max(0, max_queues - 2)], [s for s in listed[max(0, max_queues - 2) :] if totals.get(s)]
+    own, known = sorted(own), set(listed)
+    rest = [s for s in sorted(totals, key=lambda s: (-totals[s], s)) if s not in known]
+    sums, target = [totals.get(s, 0) for s in own], [int(weights[s]) for s in own] if weights else None
+    for shared, weigh in ((tail, weights), (rest, None)) if tail else ((rest, None),):
+        sums.append(sum(totals[s] for s in shared))
+        if target is not None:
+            mean = max(1, sum(int(weights[s]) for s in listed) // len(listed))
+            target.append(sum(int(weigh[s]) for s in shared) if weigh else mean)
+    top = Node(sums, target, length)
+    place = {s: (top, k) for k, s in enumerate(own)}
+    share = target or sums
+
+    def nest(sources: list[str], weigh, up: Node, k: int, room: int) -> None:
+        step = 1
+        while step * FAN < len(sources):
+            step *= FAN
+        groups = [sources[i : i + step] for i in range(0, len(sources), step)]
+        w = [sum(int(weigh[s]) for s in g) for g in groups]
+        # As many tokens as the queue above has in a window, if all children fit.
+        node = Node([sum(totals[s] for s in g) for g in groups], w, max(room, CHILD_TOKENS * len(groups)), up, k)
+        for i, g in enumerate(groups):
+            if step == 1:
+                place[g[0]] = (node, i)
+            else:
+                nest(g, weigh, node, i, node.length * w[i] // max(1, sum(w)))
+
+    for k, (shared, weigh) in enumerate(((tail, weights), (rest, totals)) if tail else ((rest, totals),), len(own)):
+        if len(shared) == 1:
+            place[shared[0]] = (top, k)
+        elif shared:
+            nest(shared, weigh or totals, top, k, length * share[k] // max(1, sum(share)))
+    return place
+
+
 def pack(
     df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
     length: int = 4096, end_id: int = 2, weights: dict[str, int] | None = None, max_queues: int = 256,
@@ -241,43 +317,33 @@ def pack(
     of ``length`` tokens.
 
     ``weights`` are target token proportions by source; without them every
-    source keeps its share of the corpus.  The ``max_queues - 1`` largest
-    sources (or those of the weights) have a queue each, the others share one;
-    nothing is left out.  Null or empty text is its end token alone; a null
+    source keeps its share of the corpus; sources that the weights do not name
+    have their mean weight together.  The ``max_queues - 1`` largest sources (or those
+    of the weights) have a queue each, the others share one that holds each at
+    its share again (and leave what a dry one had to those they share it with);
+    nothing is left out.  The driver holds a row per source.  Null or empty text is its end token alone; a null
     source is a source; repeated rows are packed each; null ids pass through.  An
     empty table gives no rows; other columns are ignored."""
     spark = ready(df.sparkSession)
     tokens = tokenized(df, tokenizer_path, end_id, id_col, text_col, source_col).checkpoint()
     by_part = tokens.groupBy("shard", "source").agg(F.sum("n").alias("n")).checkpoint()
-    totals = by_part.groupBy("source").agg(F.sum("n").alias("n"))
-    if weights:
-        names = sorted(weights)[: max_queues - 1]
-    else:
-        names = sorted(r[0] for r in totals.orderBy(F.desc("n"), "source").limit(max_queues - 1).collect())
-    rest = len(names)
-    queue = F.lit(rest)
-    if names:
-        queue = F.coalesce(F.create_map(*[F.lit(v) for i, s in enumerate(names) for v in (s, i)])[F.col("source")], queue)
-    got = dict(tuple(r) for r in totals.groupBy(queue.alias("q")).agg(F.sum("n")).collect())
-    sums = [int(got.get(k, 0)) for k in range(rest + 1)]
-    target = None
-    if weights:
-        target = [int(weights[s]) for s in names]
-        target.append(max(1, sum(target) // max(1, len(target))))
-    layout = Layout(plan_windows(sums, target, length))
-    order = Window.partitionBy("queue").orderBy("shard", "source").rowsBetween(Window.unboundedPreceding, -1)
-    bases = by_part.withColumn("queue", queue).withColumn("base", F.coalesce(F.sum("n").over(order), F.lit(0)))
-    placed = tokens.join(bases.select("shard", "source", "queue", "base"), ["shard", "source"])
+    totals = {r[0]: int(r[1]) for r in by_part.groupBy("source").agg(F.sum("n")).collect()}
+    sent = spark.sparkContext.broadcast(plan_sources(totals, weights, length, max_queues))
+    order = Window.partitionBy("source").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    bases = by_part.withColumn("base", F.coalesce(F.sum("n").over(order), F.lit(0)))
+    placed = tokens.join(bases.select("shard", "source", "base"), ["shard", "source"])
 
     def run(batches):
+        place = sent.value
         for b in batches:
             out = [[] for _ in range(9)]
-            cols = [b.column(c).to_pylist() for c in ("id", "source", "queue", "base", "at", "n", "ids")]
-            for i, source, k, base, at, n, raw in zip(*cols):
+            cols = [b.column(c).to_pylist() for c in ("id", "source", "base", "at", "n", "ids")]
+            for i, source, base, at, n, raw in zip(*cols):
                 ids = np.frombuffer(raw, "<u2")
                 wide = ids.astype("<u4").tobytes()
                 begin = base + at
-                for lo, hi, window, offset in layout.pieces(k, begin, begin + n):
+                node, k = place[source]
+                for lo, hi, window, offset in node.pieces(k, begin, begin + n):
                     a, z = lo - begin, hi - begin
                     for col, v in zip(out, (i, source, a, z - a, zlib.crc32(wide[4 * a : 4 * z]), raw[2 * a : 2 * z], n, window, offset)):
                         col.append(v)
@@ -285,4 +351,4 @@ def pack(
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], names=["id", "source", "start", "length", "ids_crc32", "ids", "doc_tokens", "sequence_id", "offset"])
 
     schema = "id long, source string, start long, length long, ids_crc32 long, ids binary, doc_tokens long, sequence_id long, offset long"
-    return placed.select("id", "source", "queue", "base", "at", "n", "ids").mapInArrow(run, schema)
+    return placed.select("id", "source", "base", "at", "n", "ids").mapInArrow(run, schema)

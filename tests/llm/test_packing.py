@@ -48,6 +48,51 @@ def test_windows_hold_the_corpus_proportions():
     assert all(abs(c[k] - 64 * totals[k] / sum(totals)) <= 2 for w, c in per.items() for k in range(3))
 
 
+def spans(totals, weights, length, max_queues):
+    """Tokens of every source by window, all cells taken once."""
+    place, per, cells = packing.plan_sources(totals, weights, length, max_queues), {}, set()
+    for s, n in totals.items():
+        node, k = place[s]
+        at = 0
+        for begin in range(0, n, 37):
+            for lo, hi, w, o in node.pieces(k, begin, min(n, begin + 37)):
+                assert lo == at and 0 <= o and o + hi - lo <= length
+                cells.update((w, o + i) for i in range(hi - lo))
+                per.setdefault(w, {}).setdefault(s, 0)
+                per[w][s] += hi - lo
+                at = hi
+        assert at == n
+    assert cells == {(i // length, i % length) for i in range(sum(totals.values()))}
+    return per
+
+
+@pytest.mark.parametrize("sources,queues", [(12, 4), (40, 2), (300, 256), (600, 20)])
+def test_sources_of_the_shared_queue_hold_their_share(sources, queues):
+    names = [f"s{i:03d}" for i in range(sources)]
+    length = 8 * sources
+    for weights in (None, {s: 1 + i % 3 for i, s in enumerate(names)}):
+        totals = {s: 300 + 150 * (i % 3) for i, s in enumerate(names)}
+        per = spans(totals, weights, length, queues)
+        share = weights or totals
+        first = sum(totals.values()) // length // 3
+        for s in names:
+            got = sum(per[w].get(s, 0) for w in range(first))
+            want = first * length * share[s] / sum(share.values())
+            assert abs(got - want) <= 0.25 * want + 16, (s, got, want)
+
+
+def test_more_weights_than_queues(spark):
+    names = [f"s{i:02d}" for i in range(12)]
+    rows = [(100 * i + j, "the " * 50, s) for i, s in enumerate(names) for j in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    weights = {s: 1 + 9 * (i == 11) for i, s in enumerate(names)}
+    out = packing.pack(df, PATH, length=256, weights=weights, max_queues=4).collect()
+    check(rows, out, 256)
+    for i, s in enumerate(names):
+        got = sum(r.length for r in out if r.source == s and r.sequence_id < 8)
+        assert abs(got - 8 * 256 * weights[s] / 21) <= 40, (s, got)
+
+
 def check(rows, out, length):
     tok = Tokenizer.from_file(PATH)
     want = sorted((i is None, i or 0, tok.encode(t or "", add_special_tokens=False).ids + [2]) for i, t, _ in rows)
