@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farebox.llm import chat, langid, mixing, neighbours, packing, rules, search, simhash, substring, suffix
+from farebox.llm import alignment, chat, langid, mixing, neighbours, packing, rules, search, simhash, substring, suffix
 from farebox.llm.common import ready
 from farebox.tables import load
 
@@ -197,6 +197,13 @@ def op9_bm25_whole(spark, sf_dir):
     return out.select("query_id", "rank", F.col("id").alias("doc_id"), F.round("score", 6).alias("score"))
 
 
+@register("op13_alignment")
+def op13_alignment(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    out, _ = alignment.align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), "doc_id", "text")
+    return out.withColumnRenamed("id", "doc_id").select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def pipeline(spark, sf_dir):
     """The stages of corpus_pipeline.py (beside the package), one after the other."""
     import corpus_pipeline
