@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farebox.llm import alignment, chat, langid, mixing, neighbours, packing, rules, search, simhash, substring, suffix
+from farebox.llm import alignment, chat, divergence, langid, mixing, neighbours, packing, rules, search, simhash, substring, suffix
 from farebox.llm.common import ready
 from farebox.tables import load
 
@@ -197,6 +197,32 @@ def op9_bm25_whole(spark, sf_dir):
     return out.select("query_id", "rank", F.col("id").alias("doc_id"), F.round("score", 6).alias("score"))
 
 
+AUDIT_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+  w AS (SELECT doc, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+  kept AS (SELECT lang, term, count(*) AS n FROM w GROUP BY lang, term HAVING count(DISTINCT doc) >= 10),
+  langs AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+  c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY ALL),
+  groups AS (SELECT DISTINCT lang, source FROM d),
+  totals AS (SELECT lang, source, coalesce(sum(n), 0) AS total FROM groups LEFT JOIN c USING (lang, source) GROUP BY ALL),
+  p AS (SELECT lang, source, term, coalesce(c.n, 0) AS n, CAST(1 + (1000000000 * (coalesce(c.n, 0) + 2)) // (t.total + 2 * l.v) AS BIGINT) AS p
+    FROM totals t JOIN langs l USING (lang) JOIN kept USING (lang) LEFT JOIN c USING (lang, source, term)),
+  q AS (SELECT lang, term, CAST(1 + (1000000000 * (n + 2)) // (l.total + 2 * l.v) AS BIGINT) AS q FROM kept JOIN langs l USING (lang)),
+  f AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+    FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+  pair AS (SELECT g.lang, g.source, 'pair' AS part, h.source AS item, CAST(coalesce(f.value, 0) AS BIGINT) AS value
+    FROM groups g JOIN groups h ON g.lang = h.lang AND g.source <> h.source LEFT JOIN f ON f.lang = g.lang AND f.source = g.source AND f.item = h.source),
+  term AS (SELECT lang, source, 'term' AS part, term AS item, CAST(((p - q) * (p - q)) // (p + q) AS BIGINT) AS value FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+  ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INTEGER) AS rank FROM (SELECT * FROM pair UNION ALL SELECT * FROM term))
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+
+@register("op12_divergence", AUDIT_SQL)
+def op12_divergence(spark, sf_dir):
+    return divergence.audit(table(spark, sf_dir, "documents"), "text", "lang", "source", min_docs=10, top=10)
+
+
 @register("op13_alignment")
 def op13_alignment(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
