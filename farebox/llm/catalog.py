@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farebox.llm import alignment, chat, divergence, langid, mixing, neighbours, packing, rules, search, simhash, substring, suffix
+from farebox.llm import alignment, chat, divergence, langid, mixing, neighbours, packing, rules, search, secrets, simhash, substring, suffix
 from farebox.llm.common import ready
 from farebox.tables import load
 
@@ -197,6 +197,12 @@ def op9_bm25_whole(spark, sf_dir):
     return out.select("query_id", "rank", F.col("id").alias("doc_id"), F.round("score", 6).alias("score"))
 
 
+@register("op11_secrets")
+def op11_secrets(spark, sf_dir):
+    out = secrets.digests(secrets.scan(table(spark, sf_dir, "documents"), "doc_id", "text", reach=200))
+    return out.withColumnRenamed("id", "doc_id").select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+
 AUDIT_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
   w AS (SELECT doc, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
