@@ -15,9 +15,6 @@ whole table – into one task, and without ordering raw events:
    is ``offset + local ordinal - continued``, and sessions are plain
    aggregates of cells.
 
-``assign_sessions`` gives the same numbering per event when every event needs
-its session id.
-
 An event exactly ``gap`` after the previous one continues the session (the
 streaming ``session_window`` does the same); the session ends at last event +
 gap.
@@ -54,53 +51,6 @@ def tumbling(
     return out.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *rest)
 
 
-def assign_sessions(
-    df: DataFrame,
-    time_col: str,
-    gap: str,
-    keys: Sequence[str] = (),
-    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-) -> DataFrame:
-    """Adds ``session_id`` (1, 2, ... per key, in time order) to every event."""
-    keys = list(keys)
-    gap_us = _seconds(gap) * 1_000_000
-    bucket_us = bucket_seconds * 1_000_000
-    t = F.unix_micros(F.col(time_col))
-    ev = df.filter(F.col(time_col).isNotNull()).withColumn("_t", t).withColumn(
-        "_b", F.floor(F.col("_t") / F.lit(bucket_us))
-    )
-    w_local = Window.partitionBy(*keys, "_b").orderBy("_t")
-    prev = F.lag("_t").over(w_local)
-    ev = ev.withColumn("_start", (prev.isNull() | ((F.col("_t") - prev) > F.lit(gap_us))).cast("int"))
-    ev = ev.withColumn(
-        "_local", F.sum("_start").over(w_local.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    )
-
-    summary = ev.groupBy(*keys, "_b").agg(
-        F.min("_t").alias("_first"), F.max("_t").alias("_last"), F.sum("_start").alias("_n")
-    )
-    w_chain = Window.partitionBy(*keys).orderBy("_b")
-    prev_last = F.lag("_last").over(w_chain)
-    summary = summary.withColumn(
-        "_cont", (prev_last.isNotNull() & ((F.col("_first") - prev_last) <= F.lit(gap_us))).cast("int")
-    )
-    summary = summary.withColumn("_true", F.col("_n") - F.col("_cont"))
-    summary = summary.withColumn(
-        "_offset",
-        F.coalesce(F.sum("_true").over(w_chain.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-    ).select(*keys, "_b", "_offset", "_cont")
-
-    # The summary has keys × buckets rows; AQE turns this into a broadcast
-    # join at run time when it is small, a shuffle join otherwise.  (A
-    # driver-side size probe would evaluate the whole window plan twice.)
-    s = summary.select(*[F.col(c).alias(f"_s_{c}") for c in [*keys, "_b"]], "_offset", "_cont")
-    cond = [ev[c].eqNullSafe(s[f"_s_{c}"]) for c in [*keys, "_b"]]
-    joined = ev.join(s, cond, "inner").drop(*[f"_s_{c}" for c in [*keys, "_b"]])
-    return joined.withColumn(
-        "session_id", (F.col("_offset") + F.col("_local") - F.col("_cont")).cast("long")
-    ).drop("_t", "_b", "_start", "_local", "_offset", "_cont")
-
-
 def sessions(
     df: DataFrame,
     time_col: str,

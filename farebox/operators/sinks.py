@@ -1,22 +1,19 @@
 """Batch sinks and materialisation.
 
 Replacing part of a table (K12) never reads and overwrites the same path in
-one plan: each run writes a complete new version directory and then appends
-one row to the table's commit log; readers open the newest committed
-version.  A failed run leaves the previous version current; a rerun of the
-same interval gives the same content.
+one plan: the merged rows are saved by a checkpoint first, then Spark
+overwrites the touched folders.  A rerun of an interval gives the same content.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import time
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farebox.operators.joins import anti_join, semi_join
+from farebox.operators.joins import anti_join
 from farebox.session import ensure_checkpoint_dir
 from farebox.sources.files import try_read
 
@@ -99,170 +96,71 @@ def write_missing_partitions(df: DataFrame, path: str, cols: Sequence[str]) -> N
     write_table(todo, path, mode="append", partition_by=cols, files_per_partition=4)
 
 
-class VersionedTable:
-    """A Parquet table published by versions (see module doc)."""
+class PartitionedTable:
+    """A Parquet table in one folder (``fb_part``) per time unit of
+    a column, or per hash bucket of some columns.
 
-    def __init__(self, path: str):
-        self.path = path.rstrip("/")
-        self.log_path = f"{self.path}/_commits"
-
-    def _log(self, spark: SparkSession) -> DataFrame | None:
-        return try_read(lambda: spark.read.parquet(self.log_path))
+    A change reads the folders it touches, saves the merged rows by a
+    checkpoint, and overwrites exactly the folders those rows fall in
+    (``partitionOverwriteMode=dynamic``).  The work is that of the touched
+    folders.  A rerun gives the same rows; a run that dies while Spark moves the
+    new folders in place is repaired by running it again."""
 
-    def current_version(self, spark: SparkSession) -> int:
-        log = self._log(spark)
-        if log is None:
-            return 0
-        row = log.agg(F.max("version").alias("v")).collect()[0]
-        return int(row["v"] or 0)
+    PART = "fb_part"
 
-    def read(self, spark: SparkSession) -> DataFrame | None:
-        v = self.current_version(spark)
-        return spark.read.parquet(f"{self.path}/v={v:010d}") if v else None
-
-    def publish(self, df: DataFrame, partition_by: Sequence[str] = ()) -> int:
-        spark = df.sparkSession
-        v = self.current_version(spark) + 1
-        out = f"{self.path}/v={v:010d}"
-        write_table(df, out, mode="overwrite", partition_by=partition_by)
-        spark.createDataFrame([(v, out)], "version int, path string").write.mode("append").parquet(self.log_path)
-        return v
-
-
-class PartitionVersionedTable:
-    """A Parquet table cut into time partitions (month or day of a key
-    column), where each partition is published by versions.
-
-    Layout: ``data/fb_part=<first day>/fb_version=<id>/`` files, plus a
-    commit log of ``(fb_part, fb_version)`` rows.  A run appends the new content of the
-    partitions it touches under a fresh version id and then appends one
-    commit file naming those partitions – a partition whose new content is
-    empty is committed with no files, which empties it.  Readers take the
-    newest committed version of every partition; the join on the partition
-    columns lets Spark skip the directories of older versions.  Work per run
-    is proportional to the touched partitions, not to the table."""
-
-    MAX_PRUNE_PARTS = 20_000
-
-    def __init__(self, path: str, key_col: str, unit: str = "month", files_per_part: int = 8):
+    def __init__(self, path: str, keys: str | Sequence[str], unit: str | None = "month", buckets: int = 16):
         self.path = path.rstrip("/")
-        self.files_per_part = files_per_part
-        self.key_col = key_col
+        self.keys = [keys] if isinstance(keys, str) else list(keys)
         self.unit = unit
-        self.data_path = f"{self.path}/data"
-        self.log_path = f"{self.path}/_commits"
+        self.buckets = buckets
 
-    def part_of(self, c) -> "F.Column":
-        d = F.to_date(c)
-        return F.trunc(d, "MM") if self.unit == "month" else d
+    def part(self) -> Column:
+        """Folder of a row: first day of its time unit, or a hash bucket."""
+        if self.unit is None:
+            return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+        return self._first_day(F.col(self.keys[0]))
 
-    def _log(self, spark: SparkSession) -> DataFrame | None:
-        return try_read(lambda: spark.read.parquet(self.log_path))
+    def _first_day(self, at: Column) -> Column:
+        return F.trunc(F.to_date(at), "MM") if self.unit == "month" else F.to_date(at)
+
+    def parts(self, spark: SparkSession) -> DataFrame | None:
+        """The rows with their folder, or None before the first write."""
+        return try_read(lambda: spark.read.parquet(self.path))
 
     def read(self, spark: SparkSession) -> DataFrame | None:
-        log = self._log(spark)
-        if log is None:
-            return None
-        latest = log.groupBy("fb_part").agg(F.max("fb_version").alias("fb_version"))
-        data = try_read(lambda: spark.read.parquet(self.data_path))
-        if data is None:  # only empty partitions committed so far
-            return None
-        # The commit summary has one row per time partition (bounded by the
-        # time span).  Up to a size limit it becomes a static partition
-        # filter, so only the current version directories are listed and
-        # read; beyond it, a join on the partition columns.
-        pairs = latest.limit(self.MAX_PRUNE_PARTS + 1).collect()
-        if len(pairs) <= self.MAX_PRUNE_PARTS:
-            current = F.struct("fb_part", "fb_version").isin(
-                *[F.struct(F.lit(r.fb_part).alias("fb_part"), F.lit(r.fb_version).alias("fb_version"))
-                  for r in pairs])
-            return data.filter(current).drop("fb_part", "fb_version")
-        return semi_join(data, latest, ["fb_part", "fb_version"]).drop("fb_part", "fb_version")
-
-    def committed(self, spark: SparkSession, batch_id: int) -> bool:
-        log = self._log(spark)
-        return log is not None and log.filter(F.col("batch_id") == F.lit(batch_id)).limit(1).count() > 0
-
-    def publish_parts(self, content: DataFrame, parts: DataFrame, batch_id: int | None = None) -> int:
-        """Replace the partitions listed in ``parts`` (column ``fb_part``) by
-        ``content`` (rows of those partitions only).  Rows are spread by
-        (partition, row-hash salt), so a large partition is written by
-        ``files_per_part`` tasks and a retry writes the same files."""
-        version = time.time_ns() // 1000  # unique per run; newest wins
-        salt = F.pmod(F.hash(*[F.col(c) for c in content.columns]), F.lit(self.files_per_part))
-        (
-            content.withColumn("fb_part", self.part_of(F.col(self.key_col)))
-            .withColumn("fb_version", F.lit(version))
-            .repartition(F.col("fb_part"), salt)
-            .write.mode("append")
-            .partitionBy("fb_part", "fb_version")
-            .parquet(self.data_path)
-        )
-        (
-            parts.select("fb_part").distinct()
-            .withColumn("fb_version", F.lit(version))
-            .withColumn("batch_id", F.lit(batch_id).cast("long"))
-            .coalesce(1)  # one commit file per run: the commit is a single file
-            .write.mode("append")
-            .parquet(self.log_path)
-        )
-        return version
-
-    def replace_interval(self, new_rows: DataFrame, start, end, granularity: str = "timestamp") -> int:
-        """K12 at partition granularity: rows whose key lies in the interval
-        are replaced by ``new_rows`` in the interval; rows of the touched
-        partitions outside the interval are kept."""
-        spark = new_rows.sparkSession
-        k = F.col(self.key_col)
+        rows = self.parts(spark)
+        return None if rows is None else rows.drop(self.PART)
+
+    def overwrite(self, rows: DataFrame) -> None:
+        """The folders that ``rows`` fall in get these rows, others stay.  AQE
+        splits a large folder over tasks and joins small ones."""
+        placed = rows.withColumn(self.PART, self.part()).hint("rebalance", self.PART)
+        placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(self.PART).parquet(self.path)
+
+    def replace_interval(self, new_rows: DataFrame, start, end, granularity: str = "timestamp") -> None:
+        """Rows whose time lies in the interval are replaced by
+        ``new_rows`` in the interval; others (a null time too) are kept.
+        ``timestamp``: ``[start, end)``; ``date``: both dates included."""
+        spark, key = new_rows.sparkSession, F.col(self.keys[0])
         if granularity == "date":
-            inside = k.between(F.lit(start).cast("date"), F.lit(end).cast("date"))
-            first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
+            low, high = F.lit(start).cast("date"), F.lit(end).cast("date")
+            inside, last = key.between(low, high), high
         else:
-            inside = (k >= F.lit(start).cast("timestamp")) & (k < F.lit(end).cast("timestamp"))
-            first = F.to_date(F.lit(start).cast("timestamp"))
-            last = F.to_date(F.lit(end).cast("timestamp") - F.expr("INTERVAL 1 MICROSECOND"))
-        step = F.expr("INTERVAL 1 MONTH") if self.unit == "month" else F.expr("INTERVAL 1 DAY")
-        parts = spark.range(1).select(
-            F.explode(F.sequence(self.part_of(first), self.part_of(last), step)).alias("fb_part")
-        )
-        new_part = new_rows.filter(inside)
-        cur = self.read(spark)
-        if cur is None:
-            return self.publish_parts(new_part, parts)
-        touched = cur.withColumn("fb_p", self.part_of(k)).join(
-            parts.withColumnRenamed("fb_part", "fb_p"), "fb_p", "left_semi").drop("fb_p")
-        kept = touched.filter(~inside | k.isNull())
-        return self.publish_parts(kept.unionByName(new_part.select(*cur.columns)), parts)
-
-    def publish_all(self, df: DataFrame) -> int:
-        """Initial load: every partition present in ``df``."""
-        parts = df.select(self.part_of(F.col(self.key_col)).alias("fb_part")).distinct()
-        return self.publish_parts(df, parts)
-
-
-def interval_replace(
-    table: VersionedTable,
-    new_rows: DataFrame,
-    key_col: str,
-    start,
-    end,
-    granularity: str = "timestamp",
-    partition_by: Sequence[str] = (),
-) -> int:
-    """Rows of the table whose ``key_col`` lies in the run interval are
-    replaced by ``new_rows`` (restricted to the interval), other rows are
-    kept.  ``timestamp`` granularity: ``[start, end)``; ``date``: the dates
-    from start to end inclusive."""
-    spark = new_rows.sparkSession
-    k = F.col(key_col)
-    if granularity == "date":
-        inside = k.between(F.lit(start).cast("date"), F.lit(end).cast("date"))
-    else:
-        inside = (k >= F.lit(start).cast("timestamp")) & (k < F.lit(end).cast("timestamp"))
-    new_part = new_rows.filter(inside)
-    cur = table.read(spark)
-    merged = new_part if cur is None else cur.filter(~inside | k.isNull()).unionByName(new_part.select(*cur.columns))
-    return table.publish(merged, partition_by)
+            low, high = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
+            inside, last = (key >= low) & (key < high), high - F.expr("INTERVAL 1 MICROSECOND")
+        current = self.parts(spark)
+        if current is None:
+            return self.overwrite(new_rows.where(inside))
+        # A bound on the folder column: other folders are not listed further or read.
+        touched = current.where(F.col(self.PART).between(self._first_day(low), self._first_day(last)))
+        kept = touched.where(~inside | key.isNull()).drop(self.PART)
+        merged = materialize(kept.unionByName(new_rows.where(inside).select(*kept.columns)))
+        filled = merged.select(self.part().alias(self.PART)).distinct()
+        # Dynamic overwrite leaves a folder alone that no row falls in: those are emptied one by one.
+        emptied = [r[0] for r in anti_join(touched.select(self.PART).distinct(), filled, [self.PART]).collect()]
+        self.overwrite(merged)
+        for part in emptied:
+            merged.limit(0).write.mode("overwrite").parquet(f"{self.path}/{self.PART}={part}")
 
 
 def jdbc_options(url: str, table: str, user: str | None = None, password: str | None = None,

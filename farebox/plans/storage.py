@@ -30,13 +30,12 @@ def _ingested_by_month(spark, sf_dir) -> DataFrame:
 
 
 def interval_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole daily report (variant Z) is published by month, then
+    """The whole daily report (variant Z) is written by month, then
     the dates of 1998 are replaced by the variant-A report of that interval –
     twice, to show the rerun leaves the content unchanged.  Each run rewrites
     only the twelve touched months."""
-    table = sinks.PartitionVersionedTable(shared_dir(spark, "tables", "trips_report"), "trip_date", "month",
-                                          files_per_part=2)
-    table.publish_all(trips.daily_report(spark, sf_dir))
+    table = sinks.PartitionedTable(shared_dir(spark, "tables", "trips_report"), "trip_date", "month")
+    table.overwrite(trips.daily_report(spark, sf_dir))
     staged_a = trips.staging_trips(trips.ingested(spark, sf_dir), domain.payment_lookup(spark),
                                    "1998-01-01 00:00:00", "1999-01-01 00:00:00", variant="A",
                                    lookup_rows=domain.PAYMENT_LOOKUP_SIZE)

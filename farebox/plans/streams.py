@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farebox.session import prepare, shared_dir
-from farebox.streaming import sinks, source
+from farebox.streaming import chains, sinks, source
 from farebox.streaming import windows as sw
 from farebox.tables import load, table_path, to_ntz
 
@@ -60,18 +60,12 @@ def stream_session_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run_append(spark, sw.session_by_zone(_green(spark, sf_dir), gap="60 minutes"), "session_keyed")
 
 
-#: Zones with a counter each in the open session; any other zone is listed.
-COUNTED_ZONES = 1_000
-
-
-def _zone_ids(spark: SparkSession, sf_dir: str) -> list[int]:
-    z = load(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("int").alias("z"))
-    return [r.z for r in z.where("z is not null").distinct().orderBy("z").limit(COUNTED_ZONES).collect()]
-
-
 def stream_session_global(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trips = _green(spark, sf_dir)
-    return _run_append(spark, sw.session_global(trips, zones=_zone_ids(spark, sf_dir)), "session_global")
+    """ST8: forty zones, fifteen of them in no zone table, and every eleventh
+    trip without a zone."""
+    zone = F.when(F.col("event_id") % 11 != 0, (F.col("user_id") % 40).cast("int"))
+    messages = source.green_trip_messages(_events_stream(spark, sf_dir), zone)
+    return _run_append(spark, chains.session_global(source.green_trips_from_messages(messages)), "session_global")
 
 
 def stream_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,7 +89,7 @@ def stream_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     keyed upsert sink (one constant key)."""
     out = shared_dir(spark, "streams", "counters")
     agg = sw.running_counters(_green(spark, sf_dir)).withColumn("k", F.lit(0))
-    sink = sinks.UpsertSink(f"{out}/table", ["k"])
+    sink = sinks.UpsertSink(f"{out}/table", ["k"], buckets=1)
     q = sinks.start_foreach_batch(agg, sink, f"{out}/checkpoint", mode="complete")
     q.awaitTermination()
     return sink.read(spark).drop("k")
@@ -106,8 +100,7 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     (update mode: a window row is rewritten as it changes)."""
     out = shared_dir(spark, "streams", "upsert")
     agg = sw.tumble_zone_revenue(_rides(spark, sf_dir))
-    sink = sinks.UpsertSink(f"{out}/table", ["window_start", "PULocationID"], time_key="window_start", unit="day",
-                            files_per_part=2)
+    sink = sinks.UpsertSink(f"{out}/table", ["window_start", "PULocationID"], time_key="window_start", unit="day")
     q = sinks.start_foreach_batch(agg, sink, f"{out}/checkpoint", mode="update")
     q.awaitTermination()
     return to_ntz(sink.read(spark))

@@ -3,12 +3,8 @@
 * ``start_file_sink``: append to Parquet; exactly-once through the file sink
   log in the checkpoint.
 * ``UpsertSink``: keyed upsert for ``foreachBatch`` (the primary-key table of
-  the modelled jobs).  Each micro-batch writes a complete new version of the
-  table and then appends one row to a commit log; readers take the version of
-  the highest committed batch.  A replayed batch id is skipped, so a restart
-  after a failure between the two writes leaves the table unchanged.
-  Rewriting the whole table per batch suits window result tables (one row
-  per window and key); very large targets want a table format with MERGE.
+  the modelled jobs): merge with the touched folders, checkpoint, dynamic
+  partition overwrite; the batch id is a column, so a replay changes nothing.
 * ``jdbc_append``: ``foreachBatch`` append into a database table.
 """
 
@@ -21,8 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from farebox.operators.joins import anti_join, semi_join
-from farebox.operators.sinks import PartitionVersionedTable
-from farebox.sources.files import try_read
+from farebox.operators.sinks import PartitionedTable, materialize
 
 
 STATE_STORE_CONF = {
@@ -67,38 +62,24 @@ def start_console(df: DataFrame, rows: int = 10, mode: str = "append") -> Stream
 class UpsertSink:
     """K16 / ST15: ``foreachBatch`` target keeping the last row per key.
 
-    With ``time_key`` (a key column such as the window start) the table is a
-    ``PartitionVersionedTable`` by ``unit`` of that column: a micro-batch
-    rewrites only the time partitions its rows fall in (windows of a stream
-    touch the recent ones), so the work per batch does not grow with the
-    table.  Without it the whole (small) table is rewritten per batch."""
+    A ``PartitionedTable`` in folders by ``unit`` of ``time_key`` (a key column
+    such as the window start: a micro-batch touches the recent folders), or by
+    hash bucket of the keys.  A batch merges with the rows of the folders it
+    touches and overwrites those.  Every row keeps the id of the batch that
+    wrote it (``fb_batch``): a replayed batch replaces its own rows and older
+    ones, never those of a later batch, so replaying changes nothing."""
 
-    def __init__(self, path: str, keys: Sequence[str], order_by: str | None = None,
-                 time_key: str | None = None, unit: str = "day", files_per_part: int = 8):
-        self.path = path.rstrip("/")
+    BATCH = "fb_batch"
+
+    def __init__(self, path: str, keys: Sequence[str], order_by: str | None = None, time_key: str | None = None, unit: str = "day", buckets: int = 16):
         self.keys = list(keys)
         self.order_by = order_by
-        self.log_path = f"{self.path}/_commits"
-        self.parts = PartitionVersionedTable(self.path, time_key, unit, files_per_part) if time_key else None
-
-    # -- reading -----------------------------------------------------------
-    def _log(self, spark: SparkSession) -> DataFrame | None:
-        return try_read(lambda: spark.read.parquet(self.log_path))
-
-    def current_path(self, spark: SparkSession) -> str | None:
-        log = self._log(spark)
-        if log is None:
-            return None
-        last = log.orderBy(F.col("batch_id").desc()).select("path").limit(1).collect()
-        return last[0]["path"] if last else None
+        self.table = PartitionedTable(path, time_key or self.keys, unit if time_key else None, buckets)
 
     def read(self, spark: SparkSession) -> DataFrame | None:
-        if self.parts is not None:
-            return self.parts.read(spark)
-        p = self.current_path(spark)
-        return spark.read.parquet(p) if p else None
+        rows = self.table.read(spark)
+        return None if rows is None else rows.drop(self.BATCH)
 
-    # -- writing -----------------------------------------------------------
     def _last_per_key(self, batch: DataFrame) -> DataFrame:
         """Last row per key by ``order_by`` (ties: the larger remaining
         columns), as a map-side aggregate: a hot key is reduced in every
@@ -111,37 +92,20 @@ class UpsertSink:
             *batch.columns
         )
 
-    def _upsert_parts(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        table = self.parts
-        if table.committed(spark, batch_id):
-            return  # replay of a committed batch
-        new = self._last_per_key(batch)
-        parts = new.select(table.part_of(F.col(table.key_col)).alias("fb_part")).distinct()
-        cur = table.read(spark)
-        if cur is not None:
-            touched = semi_join(cur.withColumn("fb_part", table.part_of(F.col(table.key_col))), parts, ["fb_part"])
-            new = new.unionByName(anti_join(touched.drop("fb_part"), new, self.keys))
-        table.publish_parts(new, parts, batch_id)
-
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():  # e.g. a watermark-only micro-batch: nothing to upsert
+        part = self.table.PART
+        # One evaluation of the batch; everything below reads the saved rows.
+        new = materialize(self._last_per_key(batch).withColumn(self.BATCH, F.lit(batch_id).cast("long")).withColumn(part, self.table.part()))
+        span = new.agg(F.count(F.lit(1)), F.min(part), F.max(part)).first()
+        if not span[0]:  # e.g. a watermark-only micro-batch
             return
-        if self.parts is not None:
-            return self._upsert_parts(batch, batch_id)
-        spark = batch.sparkSession
-        log = self._log(spark)
-        if log is not None and log.filter(F.col("batch_id") == batch_id).limit(1).count() > 0:
-            return  # replay of a committed batch
-        new = self._last_per_key(batch)
-        cur = self.read(spark)
-        if cur is not None:
-            new = new.unionByName(anti_join(cur, new, self.keys))
-        out = f"{self.path}/v={batch_id:020d}"
-        new.write.mode("overwrite").parquet(out)
-        spark.createDataFrame([(int(batch_id), out)], "batch_id long, path string").write.mode("append").parquet(
-            self.log_path
-        )
+        current = self.table.parts(batch.sparkSession)
+        if current is not None:
+            touched = current.where(F.col(part).between(F.lit(span[1]), F.lit(span[2])) | F.col(part).isNull())
+            touched = semi_join(touched, new.select(part).distinct(), [part]).select(*new.columns)
+            new = anti_join(new, touched.where(F.col(self.BATCH) > batch_id), self.keys)
+            new = materialize(new.unionByName(anti_join(touched, new, self.keys)))
+        self.table.overwrite(new.drop(part))
 
 
 def jdbc_append(url: str, table: str, properties: dict | None = None, batchsize: int = 100_000):

@@ -11,7 +11,7 @@ the transformation code does not depend on the connector:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,15 +67,16 @@ def ride_messages(events: DataFrame) -> DataFrame:
     return records.encode(rides)
 
 
-def green_trip_fields() -> list:
-    """The 8 ``green-trips`` fields computed from an events row."""
+def green_trip_fields(zone: Column | None = None) -> list:
+    """The 8 ``green-trips`` fields computed from an events row; ``zone``
+    replaces the pickup zone."""
     ts = F.col("ts").cast("timestamp")
     return [
         F.date_format(ts, "yyyy-MM-dd HH:mm:ss").alias("lpep_pickup_datetime"),
         F.date_format(F.timestamp_add("SECOND", F.col("event_id") % 1800, ts), "yyyy-MM-dd HH:mm:ss").alias(
             "lpep_dropoff_datetime"
         ),
-        (F.col("user_id") % 25).cast("int").alias("PULocationID"),
+        (zone if zone is not None else (F.col("user_id") % 25).cast("int")).alias("PULocationID"),
         ((F.col("user_id") + F.col("event_id")) % 25).cast("int").alias("DOLocationID"),
         (F.col("user_id") % 4).cast("double").alias("passenger_count"),
         ((F.col("event_id") % 40).cast("double") * F.lit(0.25)).alias("trip_distance"),
@@ -84,9 +85,9 @@ def green_trip_fields() -> list:
     ]
 
 
-def green_trip_messages(events: DataFrame) -> DataFrame:
+def green_trip_messages(events: DataFrame, zone: Column | None = None) -> DataFrame:
     """Events -> ``green-trips`` messages (text times, 8 fields)."""
-    return records.encode(events.select(*green_trip_fields()))
+    return records.encode(events.select(*green_trip_fields(zone)))
 
 
 # ----------------------------------------------------------- consumers (ST1, ST2)

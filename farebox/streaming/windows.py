@@ -1,4 +1,4 @@
-"""Windowed stream aggregates (ST3–ST8, ST10, ST11, ST14).
+"""Windowed stream aggregates (ST3–ST7, ST10, ST11, ST14).
 
 All windowed jobs use a bounded-out-of-orderness watermark (5 s by default):
 a window is emitted once, in append mode, when the watermark passes its end,
@@ -8,8 +8,6 @@ is keyed by (window, key) and spread over ``spark.sql.shuffle.partitions``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -62,34 +60,6 @@ def session_by_zone(trips: DataFrame, gap: str = "5 minutes", delay: str = WATER
                       F.col("w.end").alias("session_end"), "num_trips")
 
 
-def session_global(trips: DataFrame, gap: str = "5 minutes", delay: str = WATERMARK,
-                   zones: Sequence[int] | None = None) -> DataFrame:
-    """ST8: one session chain over the whole stream, then trips per zone in
-    each session.  A streaming session window needs a grouping key, so a
-    real constant column is added; the chain is one key by definition.
-
-    Each open session keeps one counter per zone of ``zones``, one for the null
-    zone, and the zone of every event elsewhere: no zone is lost, and the state
-    has a fixed size as long as the events lie in the named zones."""
-    zones = sorted({int(z) for z in zones or []})
-    zone = F.col("PULocationID")
-    named = zone.isin(*zones) if zones else F.lit(False)
-    base = trips.withWatermark("event_time", delay).withColumn("_chain", F.lit(0))
-    agg = base.groupBy(F.session_window("event_time", gap).alias("w"), "_chain").agg(
-        F.count_if(zone.isNull()).alias("_null"),
-        F.collect_list(F.when(~named, zone)).alias("_other"),
-        *[F.count_if(zone == F.lit(z)).alias(f"_z{z}") for z in zones],
-    )
-
-    def pair(z, n):
-        return F.struct(z.cast("int").alias("PULocationID"), n.cast("long").alias("num_trips"))
-
-    counted = F.array(pair(F.lit(None), F.col("_null")), *[pair(F.lit(z), F.col(f"_z{z}")) for z in zones])
-    listed = F.transform(F.array_distinct("_other"), lambda z: pair(z, F.size(F.filter("_other", lambda x: x == z))))
-    rows = agg.select(F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), F.inline(F.concat(counted, listed)))
-    return rows.filter("num_trips > 0")
-
-
 def running_counters(trips: DataFrame, col: str = "trip_distance", threshold: float = 5.0) -> DataFrame:
     """ST14: running total and count over a threshold (complete mode)."""
     v = F.col(col).cast("double")

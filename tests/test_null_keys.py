@@ -3,8 +3,8 @@
 from pyspark.sql import functions as F
 
 from farebox.operators.joins import anti_join, semi_join
-from farebox.operators.sinks import PartitionVersionedTable, write_missing_partitions
-from farebox.streaming import windows as sw
+from farebox.operators.sinks import PartitionedTable, write_missing_partitions
+from farebox.streaming import chains
 from farebox.streaming.sinks import UpsertSink
 
 
@@ -32,14 +32,11 @@ def test_null_partition_lands_once(spark, tmp_dir):
     assert spark.read.parquet(f"{tmp_dir}/land").count() == 2
 
 
-def test_null_partition_survives_the_prune_limit(spark, tmp_dir, monkeypatch):
-    table = PartitionVersionedTable(f"{tmp_dir}/t", "d")
-    df = spark.sql("select cast(null as date) as d, 9 as v union all select date'2024-01-02', 1")
-    parts = df.select(table.part_of(F.col("d")).alias("fb_part")).distinct()
-    table.publish_parts(df, parts)
-    below = sorted(table.read(spark).collect(), key=str)
-    monkeypatch.setattr(PartitionVersionedTable, "MAX_PRUNE_PARTS", 1)
-    assert sorted(table.read(spark).collect(), key=str) == below and len(below) == 2
+def test_null_folder_is_replaced_and_kept(spark, tmp_dir):
+    table = PartitionedTable(f"{tmp_dir}/t", "d")
+    table.overwrite(spark.sql("select cast(null as date) as d, 9 as v union all select date'2024-01-02', 1"))
+    table.replace_interval(spark.sql("select date'2024-01-03' as d, 5 as v"), "2024-01-01", "2024-01-31", granularity="date")
+    assert sorted(tuple(r) for r in table.read(spark).select("v").collect()) == [(5,), (9,)]
 
 
 def test_global_session_keeps_every_zone(spark, tmp_dir):
@@ -47,7 +44,7 @@ def test_global_session_keeps_every_zone(spark, tmp_dir):
     df = spark.createDataFrame(rows, "t string, PULocationID int").select(F.col("t").cast("timestamp").alias("event_time"), "PULocationID")
     df.write.parquet(f"{tmp_dir}/in")
     stream = spark.readStream.schema(df.schema).parquet(f"{tmp_dir}/in")
-    q = sw.session_global(stream, zones=[1]).writeStream.format("parquet").option("checkpointLocation", f"{tmp_dir}/ck").trigger(availableNow=True).start(f"{tmp_dir}/out")
+    q = chains.session_global(stream).writeStream.format("parquet").option("checkpointLocation", f"{tmp_dir}/ck").trigger(availableNow=True).start(f"{tmp_dir}/out")
     q.awaitTermination()
     got = {(r.PULocationID, r.num_trips) for r in spark.read.parquet(f"{tmp_dir}/out").collect()}
     assert got == {(1, 1), (99, 2), (None, 1)}

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from farebox.functions import records
 from farebox.operators import scoring, sessions, sinks
 from farebox.streaming import sinks as ssinks
-from farebox.streaming import source
+from farebox.streaming import chains, source
 from farebox.streaming import windows as sw
 
 T0 = dt.datetime(2025, 10, 1, 0, 0, 0)
@@ -140,12 +140,12 @@ def test_upsert_sink_last_wins_by_order(spark, tmp_dir):
 
 
 def test_interval_replace_rerun(spark, tmp_dir):
-    t = sinks.VersionedTable(f"{tmp_dir}/r")
+    t = sinks.PartitionedTable(f"{tmp_dir}/r", "d")
     old = spark.createDataFrame([(dt.date(2024, 1, d), "old") for d in (1, 2, 3, 4)], "d date, v string")
-    t.publish(old)
+    t.overwrite(old)
     new = spark.createDataFrame([(dt.date(2024, 1, 2), "new"), (dt.date(2024, 1, 9), "out")], "d date, v string")
     for _ in range(2):
-        sinks.interval_replace(t, new, "d", "2024-01-02", "2024-01-03", granularity="date")
+        t.replace_interval(new, "2024-01-02", "2024-01-03", granularity="date")
     got = sorted(tuple(r) for r in t.read(spark).collect())
     assert got == [(dt.date(2024, 1, 1), "old"), (dt.date(2024, 1, 2), "new"), (dt.date(2024, 1, 4), "old")]
 
@@ -211,13 +211,13 @@ def test_rest_source_pages(spark):
 
 
 def test_interval_replace_timestamp_granularity(spark, tmp_dir):
-    t = sinks.VersionedTable(f"{tmp_dir}/ts")
+    t = sinks.PartitionedTable(f"{tmp_dir}/ts", "pickup_datetime", "day")
     at = [T0 - dt.timedelta(hours=1), T0, T0 + dt.timedelta(hours=1), T0 + dt.timedelta(hours=2)]
-    t.publish(spark.createDataFrame([(x, "old") for x in at], "pickup_datetime timestamp, v string"))
+    t.overwrite(spark.createDataFrame([(x, "old") for x in at], "pickup_datetime timestamp, v string"))
     new = spark.createDataFrame([(T0 + dt.timedelta(minutes=30), "new")], "pickup_datetime timestamp, v string")
     start, end = T0.isoformat(sep=" "), (T0 + dt.timedelta(hours=2)).isoformat(sep=" ")
     for _ in range(2):  # rows exactly at start are replaced, rows exactly at end are kept
-        sinks.interval_replace(t, new, "pickup_datetime", start, end)
+        t.replace_interval(new, start, end)
     got = sorted((r.pickup_datetime, r.v) for r in t.read(spark).collect())
     assert got == [(at[0], "old"), (T0 + dt.timedelta(minutes=30), "new"), (at[3], "old")]
 
@@ -278,11 +278,11 @@ def test_stream_equals_batch_on_closed_windows(spark, sf_small):
     assert stream == closed
 
 
-def test_partition_versioned_interval_replace(spark, tmp_dir):
-    t = sinks.PartitionVersionedTable(f"{tmp_dir}/pv", "ts", unit="day", files_per_part=2)
+def test_partitioned_interval_replace(spark, tmp_dir):
+    t = sinks.PartitionedTable(f"{tmp_dir}/pv", "ts", unit="day")
     d = lambda day, h: dt.datetime(2024, 1, day, h)
     old = [(d(1, 23), "old"), (d(2, 1), "old"), (d(2, 23), "old"), (d(3, 5), "old"), (d(4, 1), "old")]
-    t.publish_all(spark.createDataFrame(old, "ts timestamp, v string"))
+    t.overwrite(spark.createDataFrame(old, "ts timestamp, v string"))
     # Interval [2024-01-02 12:00, 2024-01-04 00:00): day 2 keeps 01:00, loses 23:00;
     # day 3 has no new row and is emptied; day 4 (at the end) is untouched.
     new = spark.createDataFrame([(d(2, 13), "new"), (d(5, 0), "outside")], "ts timestamp, v string")
@@ -291,19 +291,16 @@ def test_partition_versioned_interval_replace(spark, tmp_dir):
     got = sorted((r.ts, r.v) for r in t.read(spark).collect())
     assert got == [(d(1, 23), "old"), (d(2, 1), "old"), (d(2, 13), "new"), (d(4, 1), "old")]
     # A date-granularity table keyed by a date column, by month.
-    m = sinks.PartitionVersionedTable(f"{tmp_dir}/pm", "day", unit="month")
-    m.publish_all(spark.createDataFrame([(dt.date(2024, 1, 31), 1), (dt.date(2024, 2, 1), 2)], "day date, v int"))
+    m = sinks.PartitionedTable(f"{tmp_dir}/pm", "day", unit="month")
+    m.overwrite(spark.createDataFrame([(dt.date(2024, 1, 31), 1), (dt.date(2024, 2, 1), 2)], "day date, v int"))
     m.replace_interval(spark.createDataFrame([], "day date, v int"), "2024-02-01", "2024-02-29", granularity="date")
     assert [tuple(r) for r in m.read(spark).collect()] == [(dt.date(2024, 1, 31), 1)]
 
 
-def test_assign_sessions_and_null_keys(spark):
+def test_sessions_of_null_keys(spark):
     ev = [(1, T0), (1, T0 + dt.timedelta(seconds=100)), (1, T0 + dt.timedelta(seconds=1000)),
           (None, T0), (None, T0 + dt.timedelta(seconds=10))]
     df = spark.createDataFrame(ev, "zone int, t timestamp")
-    ids = {(r.zone, r.t): r.session_id for r in sessions.assign_sessions(df, "t", "5 minutes", ["zone"], 600).collect()}
-    assert ids[(1, T0)] == ids[(1, T0 + dt.timedelta(seconds=100))] == 1
-    assert ids[(1, T0 + dt.timedelta(seconds=1000))] == 2 and ids[(None, T0)] == 1
     got = sorted(((r.zone if r.zone is not None else -1), r.num_trips)
                  for r in sessions.sessions(df, "t", "5 minutes", keys=["zone"], bucket_seconds=600).collect())
     assert got == [(-1, 2), (1, 1), (1, 2)]  # a null key is a group of its own
@@ -335,6 +332,69 @@ def test_stream_sessions_equal_batch_on_closed_sessions(spark, sf_small):
     batch_keyed = sessions.sessions(green, "event_time", "60 minutes", keys=["PULocationID"])
     stream_keyed = streams.stream_session_keyed(spark, sf_small)
     assert closed(stream_keyed, True) == closed(batch_keyed, True)
+    ev = spark.read.parquet(f"{sf_small}/events.parquet")
+    zone = F.when(F.col("event_id") % 11 != 0, (F.col("user_id") % 40).cast("int"))
+    green = source.green_trips_from_messages(source.green_trip_messages(ev, zone))
     batch_global = sessions.sessions(green, "event_time", "5 minutes", count_by=["PULocationID"])
     stream_global = streams.stream_session_global(spark, sf_small)
     assert closed(stream_global, False) == closed(batch_global, False)
+
+
+def test_global_session_state_and_restart(spark, tmp_dir):
+    """One state entry a session with one counter a zone, whatever the number
+    of events; a restart goes on from it; late chains are dropped."""
+    def at(s):
+        return T0 + dt.timedelta(seconds=s)
+
+    def deliver(i, rows):
+        df = spark.createDataFrame([(at(s), z) for s, z in rows], "event_time timestamp, PULocationID int")
+        df.coalesce(2).write.parquet(f"{tmp_dir}/in/d={i}")
+        stream = spark.readStream.schema(df.schema).parquet(f"{tmp_dir}/in/*")
+        ssinks.start_file_sink(chains.session_global(stream), f"{tmp_dir}/out", f"{tmp_dir}/ck").awaitTermination()
+
+    def state():
+        return spark.read.format("statestore").option("stateVarName", "open").load(f"{tmp_dir}/ck").collect()
+
+    def out():
+        return {(r.session_start, r.session_end, r.PULocationID): r.num_trips for r in spark.read.parquet(f"{tmp_dir}/out").collect()}
+
+    ssinks.prepare_state_store(spark)
+    many = [(s, z) for s in range(0, 300, 3) for z in (7, 4001, None)]
+    deliver(0, many)
+    (entry,) = state()
+    assert entry.user_map_value.zones == [7, 4001] and entry.user_map_value.counts == [100, 100] and entry.user_map_value.unknown == 100
+    # 300 s behind the last event (297): the session goes on, across a restart; 1600 is another.
+    deliver(1, [(597, 7), (500, 12), (1600, None)])
+    assert len(out()) == 4 and out()[(at(0), at(897), 7)] == 101 and out()[(at(0), at(897), None)] == 100
+    (entry,) = state()
+    assert entry.user_map_value.zones == [] and entry.user_map_value.unknown == 1
+    # Behind the watermark and near no open session: dropped; 1301 chains to the open one.
+    deliver(2, [(900, 5), (1301, 5), (5000, 1)])
+    assert {k: v for k, v in out().items() if k[0] == at(1301)} == {(at(1301), at(1900), 5): 1, (at(1301), at(1900), None): 1}
+    assert not any(k[0] == at(900) for k in out())
+
+
+def test_upsert_replay_after_a_lost_batch(spark, tmp_dir):
+    """Killed between the state commit and the sink: the batch runs again."""
+    sink = ssinks.UpsertSink(f"{tmp_dir}/t", ["w", "k"], time_key="w", unit="day")
+    d = [dt.datetime(2024, 1, 1 + i) for i in range(3)]
+    batches = [spark.createDataFrame(x, "w timestamp, k int, v string") for x in ([(d[0], 1, "a"), (d[1], 1, "a")], [(d[1], 1, "b"), (d[2], 1, "b")], [(d[0], 2, "c")])]
+    for i in (0, 1, 2, 1, 0, 2):
+        sink(batches[i], i)
+    assert sorted(tuple(r) for r in sink.read(spark).collect()) == [(d[0], 1, "a"), (d[0], 2, "c"), (d[1], 1, "b"), (d[2], 1, "b")]
+
+
+def test_replace_empties_folders_and_writes_only_touched_ones(spark, tmp_dir):
+    import glob
+    import os
+
+    t = sinks.PartitionedTable(f"{tmp_dir}/t", "ts", unit="day")
+    at = lambda day, h: dt.datetime(2024, 1, day, h)
+    t.overwrite(spark.createDataFrame([(at(i, 1), "old") for i in range(1, 8)], "ts timestamp, v string"))
+    before = {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{tmp_dir}/t/fb_part=*/*.parquet")}
+    for _ in range(2):
+        t.replace_interval(spark.createDataFrame([(at(3, 5), "new")], "ts timestamp, v string"), "2024-01-03 00:00:00", "2024-01-06 00:00:00")
+    assert sorted((r.ts.day, r.v) for r in t.read(spark).collect()) == [(1, "old"), (2, "old"), (3, "new"), (6, "old"), (7, "old")]
+    same = [f for f, at in before.items() if os.path.exists(f) and os.stat(f).st_mtime_ns == at]
+    assert {f.split("fb_part=2024-01-0")[1][0] for f in same} == {"1", "2", "6", "7"}
+    assert not [d for d in os.listdir(f"{tmp_dir}/t") if not d.startswith(("fb_part=", "_SUCCESS", "._SUCCESS"))]
