@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from farebox.operators import normalize, quality, sinks
 from farebox.plans import trips
 from farebox.session import shared_dir
-from farebox.sources import files
+from farebox.sources import files, rest
 from farebox.streaming import sinks as stream_sinks
 from farebox.streaming import source
 from farebox.streaming import windows as stream_windows
@@ -118,3 +118,38 @@ def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         counts = stream_windows.tumble_zone_count(stream)
         stream_sinks.start_file_sink(counts, f"{out}/data", f"{out}/checkpoint").awaitTermination()
     return to_ntz(spark.read.parquet(f"{out}/data"))
+
+
+#: Rows of a landed page, about.
+PAGE_ROWS = 400
+
+
+def _land_pages(trips_: DataFrame, path: str, first: int, last: int | None) -> None:
+    """Pages of every (service, month) as JSON lines, one folder a page: rows
+    are dealt by hash to as many pages as the month needs.  ``first`` and
+    ``last`` choose the pages to land."""
+    sizes = trips_.groupBy("taxi_type", "year", "month").agg(F.ceil(F.count(F.lit(1)) / PAGE_ROWS).alias("pages"))
+    paged = trips_.join(sizes, ["taxi_type", "year", "month"])
+    paged = paged.withColumn("page", (F.pmod(F.xxhash64(*trips_.columns), F.col("pages")) + 1).cast("int")).drop("pages")
+    paged = paged.where(F.col("page") >= first) if last is None else paged.where(F.col("page").between(first, last))
+    sinks.write_table(paged, path, mode="append", partition_by=["taxi_type", "year", "month", "page"], fmt="json", files_per_partition=1)
+
+
+def rest_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trips offered in pages per service and month, ingested by a
+    stream in two deliveries: first two pages of every month, then the rest,
+    from the offsets of the first run's checkpoint."""
+    out = shared_dir(spark, "intake", "pages")
+    rest.register(spark)
+    t = trips.ingested(spark, sf_dir)
+    pickup = F.coalesce("tpep_pickup_datetime", "lpep_pickup_datetime")
+    dropoff = F.coalesce("tpep_dropoff_datetime", "lpep_dropoff_datetime")
+    text = [F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(n) for c, n in ((pickup, "pickup_datetime"), (dropoff, "dropoff_datetime"))]
+    rows = t.where(pickup.isNotNull()).select("taxi_type", F.year(pickup).alias("year"), F.month(pickup).alias("month"), *text, "PULocationID", "DOLocationID", "fare_amount", "payment_type")
+    months = [f"{r.year}-{r.month:02d}" for r in rows.select("year", "month").distinct().orderBy("year", "month").collect()]
+    url = f"{out}/pages/taxi_type={{taxi}}/year={{year}}/month={{month}}/page={{page}}"
+    for first, last in ((1, 2), (3, None)):
+        _land_pages(rows, f"{out}/pages", first, last)
+        stream = spark.readStream.format("trip_pages").option("url", url).option("fetch", "landed").option("taxi", "green,yellow").option("months", ",".join(months)).load()
+        stream_sinks.start_file_sink(stream, f"{out}/data", f"{out}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{out}/data").select(*rows.columns)

@@ -1,88 +1,213 @@
-"""Paginated REST source (S17) as a Python Data Source.
-
-``spark.read.format("trip_pages").option(...).load()`` plans one input
-partition per (service, year, month); each task requests pages 1, 2, ...
-until a page comes back empty, yielding rows as it goes (a month is never
-held whole in memory).  The page fetcher is ``module:function`` with the
-signature ``fetch(url_template, taxi, year, month, page, page_size) ->
-list[dict]``; the default one performs HTTP GET requests.
+"""Paged trip source (S17) as a Python Data Source, batch and stream.
+
+``spark.read.format("trip_pages")`` plans one input partition per (service,
+year, month); each task requests pages 1, 2, ... until a page comes back
+empty, yielding rows as it goes (a month is never held whole).  Filters on the
+service, year or month are pushed down, so only the months that pass are
+planned and requested.
+
+``spark.readStream.format("trip_pages")`` keeps the next page of every month as
+its offset.  A micro-batch asks how far each month goes now (``head`` requests
+only), reads the new pages in tasks of ``pages_per_task`` and never requests a
+page of an earlier batch again; a replayed batch reads the pages of its range.
+
+``fetch`` and ``head`` are ``module:function`` names, or one of the built-in
+pairs ``http`` (GET / HEAD on the url template) and ``landed`` (pages landed as
+JSON lines in one folder each).  fetch(url, taxi, year, month, page, page_size)
+gives the rows of a page, an empty list behind the last one; head(the same) says
+whether the page exists.
 """
 
 from __future__ import annotations
 
 import importlib
 import json
+import operator
 from dataclasses import dataclass
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql import datasource as ds
 
 SCHEMA = (
     "taxi_type string, year int, month int, page int, "
     "pickup_datetime string, dropoff_datetime string, PULocationID long, DOLocationID long, "
     "fare_amount double, tip_amount double, total_amount double, payment_type long"
 )
-DEFAULT_FETCH = "farebox.sources.rest:http_fetch"
 FIELDS = ["pickup_datetime", "dropoff_datetime", "PULocationID", "DOLocationID",
           "fare_amount", "tip_amount", "total_amount", "payment_type"]
 
 
-def http_fetch(url_template: str, taxi: str, year: int, month: int, page: int, page_size: int) -> list[dict]:
+def http_fetch(url: str, taxi: str, year: int, month: int, page: int, page_size: int) -> list[dict]:
     from urllib.request import urlopen
 
-    url = url_template.format(taxi=taxi, year=year, month=month, page=page, page_size=page_size)
-    with urlopen(url, timeout=60) as r:  # noqa: S310 - caller-provided endpoint
+    with urlopen(url.format(taxi=taxi, year=year, month=month, page=page, page_size=page_size), timeout=60) as r:  # noqa: S310 - caller-provided endpoint
         body = json.loads(r.read().decode("utf-8"))
     return body if isinstance(body, list) else body.get("data", [])
 
 
+def http_head(url: str, taxi: str, year: int, month: int, page: int, page_size: int) -> bool:
+    from urllib.error import HTTPError
+    from urllib.request import Request, urlopen
+
+    try:
+        with urlopen(Request(url.format(taxi=taxi, year=year, month=month, page=page, page_size=page_size), method="HEAD"), timeout=60):  # noqa: S310
+            return True
+    except HTTPError as e:
+        if e.code == 404:
+            return False
+        raise
+
+
+def _landed(url: str, taxi: str, year: int, month: int, page: int, page_size: int):
+    """File system and JSON files of a landed page."""
+    from pyarrow import fs
+
+    folder = url.format(taxi=taxi, year=year, month=month, page=page, page_size=page_size)
+    store, path = fs.FileSystem.from_uri(folder) if ":" in folder.split("/", 1)[0] else (fs.LocalFileSystem(), folder)
+    files = store.get_file_info(fs.FileSelector(path, allow_not_found=True))
+    return store, sorted(f.path for f in files if f.base_name.endswith(".json"))
+
+
+def landed_fetch(*page) -> list[dict]:
+    store, files = _landed(*page)
+    rows = []
+    for f in files:
+        with store.open_input_stream(f) as s:
+            rows += [json.loads(line) for line in s.read().splitlines()]
+    return rows
+
+
+def landed_head(*page) -> bool:
+    return bool(_landed(*page)[1])
+
+
 @dataclass
-class MonthPartition(InputPartition):
+class PageRange(ds.InputPartition):
+    """Pages first .. last of a month; ``last`` None: up to the first empty one."""
+
     taxi: str
     year: int
     month: int
+    first: int = 1
+    last: int | None = None
 
 
-def _resolve(spec: str):
-    module, _, name = spec.partition(":")
-    return getattr(importlib.import_module(module), name)
-
+class PageClient:
+    """The options of a read, and the pages behind them."""
 
-class TripPagesReader(DataSourceReader):
     def __init__(self, options: dict):
         self.url = options.get("url", "")
         self.page_size = int(options.get("page_size", "1000"))
-        self.fetch_spec = options.get("fetch", DEFAULT_FETCH)
-        self.taxis = [t for t in options.get("taxi", "green").split(",") if t]
-        self.months = [m for m in options.get("months", "").split(",") if m]
+        self.pages_per_task = int(options.get("pages_per_task", "20"))
+        pair = {"http": (http_fetch, http_head), "landed": (landed_fetch, landed_head)}
+        name = options.get("fetch", "http")
+        self.fetch, self.head = pair.get(name, (name, options.get("head", "")))
+        taxis = [t for t in options.get("taxi", "green").split(",") if t]
+        months = [tuple(map(int, m.split("-"))) for m in options.get("months", "").split(",") if m]
+        self.months = [(t, y, m) for t in taxis for y, m in months]
+
+    @staticmethod
+    def _function(spec):
+        if callable(spec):
+            return spec
+        module, _, name = spec.partition(":")
+        return getattr(importlib.import_module(module), name)
+
+    def exists(self, month: tuple, page: int) -> bool:
+        return bool(self._function(self.head)(self.url, *month, page, self.page_size))
+
+    def next_page(self, month: tuple, page: int) -> int:
+        """First page from ``page`` on that does not exist, in a number of
+        ``head`` requests that grows with the logarithm of the new pages."""
+        step = 1
+        while self.exists(month, page + step - 1):
+            step *= 2
+        low, high = page + step // 2, page + step - 1  # low: first page not known to exist
+        while low < high:
+            middle = (low + high) // 2
+            low, high = (middle + 1, high) if self.exists(month, middle) else (low, middle)
+        return low
+
+    def rows(self, part: PageRange):
+        fetch, page = self._function(self.fetch), part.first
+        while part.last is None or page <= part.last:
+            rows = fetch(self.url, part.taxi, part.year, part.month, page, self.page_size)
+            if not rows:
+                return
+            for r in rows:
+                yield (part.taxi, part.year, part.month, page, *[r.get(f) for f in FIELDS])
+            page += 1
+
+
+COMPARED = {
+    ds.EqualTo: operator.eq, ds.GreaterThan: operator.gt, ds.GreaterThanOrEqual: operator.ge,
+    ds.LessThan: operator.lt, ds.LessThanOrEqual: operator.le, ds.In: lambda x, values: x in values,
+}
+
+
+class TripPagesReader(ds.DataSourceReader):
+    def __init__(self, options: dict):
+        self.client = PageClient(options)
+
+    def pushFilters(self, filters):
+        """Uses the filters on the service, year and month; Spark applies the others."""
+        place = {("taxi_type",): 0, ("year",): 1, ("month",): 2}
+        for f in filters:
+            compare = COMPARED.get(type(f))
+            at = place.get(getattr(f, "attribute", None))
+            if at is not None and isinstance(f, ds.IsNotNull):
+                continue  # these columns are never null
+            if at is None or compare is None:
+                yield f
+                continue
+            self.client.months = [m for m in self.client.months if compare(m[at], f.value)]
 
     def partitions(self):
+        return [PageRange(*m) for m in self.client.months]
+
+    def read(self, partition: PageRange):
+        if partition is None:  # no month left: zero partitions planned
+            return iter(())
+        return self.client.rows(partition)
+
+
+class TripPagesStreamReader(ds.DataSourceStreamReader):
+    """Offsets: ``taxi/year/month`` -> next page to read."""
+
+    def __init__(self, options: dict):
+        self.client = PageClient(options)
+        self.seen: dict[str, int] = {}
+
+    @staticmethod
+    def _key(month: tuple) -> str:
+        return "/".join(map(str, month))
+
+    def initialOffset(self) -> dict:
+        return {self._key(m): 1 for m in self.client.months}
+
+    def latestOffset(self) -> dict:
+        self.seen = {self._key(m): self.client.next_page(m, self.seen.get(self._key(m), 1)) for m in self.client.months}
+        return self.seen
+
+    def partitions(self, start: dict, end: dict):
         parts = []
-        for taxi in self.taxis:
-            for ym in self.months:
-                y, m = ym.split("-")
-                parts.append(MonthPartition(taxi, int(y), int(m)))
+        for month in self.client.months:
+            first, stop = start.get(self._key(month), 1), end.get(self._key(month), 1)
+            for page in range(first, stop, self.client.pages_per_task):
+                parts.append(PageRange(*month, page, min(stop, page + self.client.pages_per_task) - 1))
         return parts
 
-    def read(self, partition: MonthPartition):
-        if partition is None:  # no month requested: zero partitions planned
-            return
-        # The default fetcher travels with the reader (shipped by value); a
-        # custom one is imported by name on the executor.
-        fetch = http_fetch if self.fetch_spec == DEFAULT_FETCH else _resolve(self.fetch_spec)
-        page = 1
-        while True:
-            rows = fetch(self.url, partition.taxi, partition.year, partition.month, page, self.page_size)
-            if not rows:
-                return
-            for r in rows:
-                yield (partition.taxi, partition.year, partition.month, page, *[r.get(f) for f in FIELDS])
-            page += 1
+    def read(self, partition: PageRange):
+        return self.client.rows(partition)
 
+    def commit(self, end: dict) -> None:
+        self.seen = {k: max(self.seen.get(k, 1), v) for k, v in end.items()}
 
-class TripPagesSource(DataSource):
+
+class TripPagesSource(ds.DataSource):
     """Options: ``url`` (template with {taxi} {year} {month} {page}
     {page_size}), ``taxi`` (comma list), ``months`` (comma list of YYYY-MM),
-    ``page_size`` (default 1000), ``fetch`` (module:function)."""
+    ``page_size`` (default 1000), ``pages_per_task`` (streams, default 20),
+    ``fetch`` and ``head``."""
 
     @classmethod
     def name(cls):
@@ -94,6 +219,11 @@ class TripPagesSource(DataSource):
     def reader(self, schema):
         return TripPagesReader(self.options)
 
+    def streamReader(self, schema):
+        return TripPagesStreamReader(self.options)
+
 
 def register(spark) -> None:
+    """Makes the format known to the session; filters are pushed into it."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(TripPagesSource)

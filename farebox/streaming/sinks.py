@@ -46,9 +46,20 @@ def start_file_sink(
     available_now: bool = True,
     interval: str = "10 seconds",
     fmt: str = "parquet",
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """ST12: checkpointed file sink; ``available_now`` drains the input and
-    stops (tests, back-fills); otherwise a processing-time trigger."""
+    stops (tests, back-fills); otherwise a processing-time trigger.
+    ``state_partitions`` fixes the state's partitions when the checkpoint is
+    new (the session's shuffle partitions otherwise)."""
+    if state_partitions:
+        conf, key = df.sparkSession.conf, "spark.sql.shuffle.partitions"
+        before = conf.get(key)
+        conf.set(key, str(state_partitions))
+        try:
+            return start_file_sink(df, path, checkpoint, mode, available_now, interval, fmt)
+        finally:
+            conf.set(key, before)
     w = df.writeStream.format(fmt).outputMode(mode).option("checkpointLocation", checkpoint).option("path", path)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
     return w.start()

@@ -188,26 +188,58 @@ def test_score_partitions_and_twin(spark, sf_small):
     assert got == {(h.to_pydatetime(), z): (round(s, 6), n) for (h, z), s, n in zip(want.index, want["sum"], want["size"])}
 
 
-def fake_pages(url, taxi, year, month, page, page_size):
-    """Three pages: full, short, empty (no network)."""
-    if page > 2:
-        return []
-    n = page_size if page == 1 else page_size // 2
-    return [{"PULocationID": i, "fare_amount": float(i), "pickup_datetime": f"{year}-{month:02d}-01 00:00:00"}
-            for i in range(n)]
+def noted_fetch(url, taxi, year, month, page, page_size):
+    """A page of the ones that lie in ``url``; every request leaves a mark."""
+    with open(f"{url}/asked", "a") as f:
+        f.write(f"{taxi}/{year}/{month}/{page}\n")
+    return [{"PULocationID": i, "fare_amount": float(page), "pickup_datetime": f"{year}-{month:02d}-01 00:00:00"} for i in range(page_size)] if noted_head(url, taxi, year, month, page, page_size) else []
 
 
-def test_rest_source_pages(spark):
+def noted_head(url, taxi, year, month, page, page_size):
+    with open(f"{url}/pages") as f:
+        return page <= json.load(f).get(f"{taxi}/{year}/{month}", 0)
+
+
+def _pages(spark, url, reader, **options):
     from farebox.sources import rest
 
     rest.register(spark)
-    df = (spark.read.format("trip_pages").option("taxi", "green,yellow").option("months", "2025-01,2025-02")
-          .option("page_size", "10").option("fetch", "test_streaming:fake_pages").load())
-    counts = {(r.taxi_type, r.month, r.page): r.n for r in df.groupBy("taxi_type", "month", "page").agg(
-        F.count(F.lit(1)).alias("n")).collect()}
-    assert len(counts) == 8 and counts[("green", 1, 1)] == 10 and counts[("yellow", 2, 2)] == 5
-    empty = spark.read.format("trip_pages").option("months", "").load()
-    assert empty.count() == 0
+    r = reader.format("trip_pages").option("url", url).option("taxi", "green,yellow").option("months", "2025-01,2025-02,2025-03").option("page_size", "3")
+    return r.option("fetch", "test_streaming:noted_fetch").option("head", "test_streaming:noted_head").options(**options).load()
+
+
+def _asked(url):
+    with open(f"{url}/asked") as f:
+        return sorted(f.read().split())
+
+
+def test_page_source_pushes_month_filters(spark, tmp_dir):
+    with open(f"{tmp_dir}/pages", "w") as f:
+        json.dump({"green/2025/1": 2, "green/2025/2": 1, "yellow/2025/2": 4}, f)
+    df = _pages(spark, tmp_dir, spark.read)
+    got = df.where("month = 2 and taxi_type in ('green', 'yellow') and year >= 2025 and PULocationID < 2").collect()
+    assert sorted((r.taxi_type, r.page, r.PULocationID) for r in got) == [(t, p, i) for t, n in (("green", 1), ("yellow", 4)) for p in range(1, n + 1) for i in (0, 1)]
+    # Only the two months that pass, each up to its first empty page.
+    assert _asked(tmp_dir) == sorted(["green/2025/2/1", "green/2025/2/2", *[f"yellow/2025/2/{p}" for p in range(1, 6)]])
+    assert df.where("month > 12").rdd.getNumPartitions() <= 1 and df.where("month > 12").count() == 0
+    assert _pages(spark, tmp_dir, spark.read, months="").count() == 0
+
+
+def test_page_stream_restarts_without_a_second_read(spark, tmp_dir):
+    def run(pages):
+        with open(f"{tmp_dir}/pages", "w") as f:
+            json.dump(pages, f)
+        stream = _pages(spark, tmp_dir, spark.readStream, pages_per_task="2")
+        ssinks.start_file_sink(stream, f"{tmp_dir}/out", f"{tmp_dir}/ck").awaitTermination()
+
+    run({"green/2025/1": 3, "yellow/2025/3": 1})
+    assert _asked(tmp_dir) == ["green/2025/1/1", "green/2025/1/2", "green/2025/1/3", "yellow/2025/3/1"]
+    run({"green/2025/1": 8, "green/2025/2": 1, "yellow/2025/3": 1})
+    run({"green/2025/1": 8, "green/2025/2": 1, "yellow/2025/3": 1})  # nothing new
+    want = [f"green/2025/1/{p}" for p in range(1, 9)] + ["green/2025/2/1", "yellow/2025/3/1"]
+    assert _asked(tmp_dir) == want  # every page once
+    rows = spark.read.parquet(f"{tmp_dir}/out").groupBy("taxi_type", "month", "page").count().collect()
+    assert sorted((r.taxi_type, r.month, r.page, r["count"]) for r in rows) == sorted((t, int(m), int(p), 3) for t, _, m, p in (x.split("/") for x in want))
 
 
 def test_interval_replace_timestamp_granularity(spark, tmp_dir):
