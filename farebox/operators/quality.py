@@ -160,17 +160,6 @@ def missing_periods(df: DataFrame, time_col: str, unit: str = "day") -> DataFram
     return anti_join(grid, present, ["period"])
 
 
-def file_layout(df: DataFrame) -> DataFrame:
-    """Q9: files behind a scan: count, total and mean size in MB (from the
-    hidden ``_metadata`` column; no listing on the driver)."""
-    files = df.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size")).distinct()
-    return files.agg(
-        F.count(F.lit(1)).alias("file_count"),
-        F.round(F.sum("size") / F.lit(1024.0 * 1024.0), 3).alias("total_mb"),
-        F.round(F.avg("size") / F.lit(1024.0 * 1024.0), 3).alias("mean_mb"),
-    )
-
-
 def schema_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     """Q13: column-by-column comparison of two schemas (full outer join on the
     name); tiny frames built from the schemas, not from the data."""

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from farebox.operators.joins import anti_join
 from farebox.session import ensure_checkpoint_dir
 from farebox.sources.files import try_read
+from farebox.sources.inventory import landed_files, partition_values
 
 
 def write_table(
@@ -83,17 +84,12 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def present_partitions(spark: SparkSession, path: str, cols: Sequence[str]) -> DataFrame | None:
-    landed = try_read(lambda: spark.read.parquet(path))
-    return None if landed is None else landed.select(*cols).distinct()
-
-
 def write_missing_partitions(df: DataFrame, path: str, cols: Sequence[str]) -> None:
     """Land only partitions the target does not have yet (anti join
-    on the partition values), so a rerun adds nothing twice."""
-    present = present_partitions(df.sparkSession, path, cols)
-    todo = df if present is None else anti_join(df, present, cols)
-    write_table(todo, path, mode="append", partition_by=cols, files_per_partition=4)
+    on the partition values), so a rerun adds nothing twice.  What is there
+    comes from the listing, not from the data."""
+    present = partition_values(landed_files(df.sparkSession, path), [df.schema[c] for c in cols])
+    write_table(anti_join(df, present, cols), path, mode="append", partition_by=cols, files_per_partition=4)
 
 
 class PartitionedTable:

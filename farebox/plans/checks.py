@@ -62,10 +62,6 @@ def null_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.null_tally(trips.ingested(spark, sf_dir))
 
 
-def file_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.file_layout(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
-
-
 def predict_duration(spark: SparkSession, sf_dir: str) -> DataFrame:
     green, _ = trips.sources(spark, sf_dir)
     return to_ntz(scoring.score_partitions(green))

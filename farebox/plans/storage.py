@@ -15,7 +15,7 @@ from farebox.operators import revenue, sinks
 from farebox.plans import domain, questions, trips
 from farebox.schemas import GREEN_SCHEMA, INGESTED_SCHEMA
 from farebox.session import shared_dir
-from farebox.sources import files
+from farebox.sources import files, inventory
 from farebox.tables import to_ntz
 
 REPLACE_START, REPLACE_END = "1998-01-01", "1998-12-31"
@@ -87,6 +87,10 @@ def csv_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_ntz(spark.read.parquet(f"{base}/pq"))
 
 
+#: Files of each drifting group.
+DRIFT_FILES = 110
+
+
 def _drifted_parts(spark, sf_dir):
     green, _ = trips.sources(spark, sf_dir)
     part_a = green.filter(F.col("PULocationID") < 12).select(
@@ -105,8 +109,8 @@ def widened_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     INT64 / DOUBLE), scanned once through the widened schema."""
     base = shared_dir(spark, "landing", "drift")
     a, b = _drifted_parts(spark, sf_dir)
-    a.write.parquet(f"{base}/a")
-    b.write.parquet(f"{base}/b")
+    a.repartition(DRIFT_FILES).write.parquet(f"{base}/a")
+    b.repartition(DRIFT_FILES).write.parquet(f"{base}/b")
     return to_ntz(files.read_widened(spark, [f"{base}/a", f"{base}/b"]))
 
 
@@ -115,8 +119,8 @@ def union_by_name_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     and ``trip_type``) and drifting types, unioned by name."""
     base = shared_dir(spark, "landing", "union")
     a, b = _drifted_parts(spark, sf_dir)
-    a.write.parquet(f"{base}/a")
-    b.drop("ehail_fee", "trip_type").write.parquet(f"{base}/b")
+    a.repartition(DRIFT_FILES).write.parquet(f"{base}/a")
+    b.drop("ehail_fee", "trip_type").repartition(DRIFT_FILES).write.parquet(f"{base}/b")
     return to_ntz(files.read_union_by_name(spark, [f"{base}/a", f"{base}/b"]))
 
 
@@ -140,9 +144,29 @@ def format_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     sinks.write_table(t.filter(~even), base, mode="append", partition_by=["year", "month"])
     span = t.agg(F.min("year").alias("y0"), F.max("year").alias("y1")).collect()[0]
     months = files.month_starts(dt.date(span.y0, 1, 1), dt.date(span.y1, 12, 31), today=dt.date(9999, 1, 1))
-    out = files.read_month_fallback(spark, base, months, INGESTED_SCHEMA, prefer="csv",
-                                    month_dir="{base}/year={year}/month={month}")
-    return to_ntz(out)
+    return to_ntz(files.read_month_fallback(spark, base, months, INGESTED_SCHEMA, prefer="csv"))
+
+
+def empty_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q8: a landing in which every third month was never written: the months
+    between the first and the last that hold no file, from the listing."""
+    base = shared_dir(spark, "landing", "holes")
+    t = _ingested_by_month(spark, sf_dir).where("month % 3 <> 0")
+    sinks.write_table(t, base, partition_by=["year", "month"], files_per_partition=2)
+    return inventory.empty_months(inventory.month_inventory(spark, base))
+
+
+LAYOUT_ROWS = 500
+
+
+def file_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q9: files of a landing by year, each folder written by one task in files
+    of at most 500 rows."""
+    base = shared_dir(spark, "landing", "layout")
+    t = _ingested_by_month(spark, sf_dir).where("year is not null").drop("month")
+    sinks.write_table(t, base, partition_by=["year"], files_per_partition=1, max_records_per_file=LAYOUT_ROWS)
+    found = inventory.layout(inventory.landed_files(spark, base))
+    return found.select("folder", "file_count", (F.col("bytes") > 0).alias("has_bytes"))
 
 
 def hourly_revenue_materialized(spark: SparkSession, sf_dir: str) -> DataFrame:

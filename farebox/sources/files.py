@@ -3,20 +3,23 @@
 Readers always pass an explicit schema when one is known (no inference pass
 over the data), read Parquet through globs or partitioned directories so
 Catalyst prunes partitions and columns, and never loop over rows on the
-driver.  Driver-side work is limited to file-system metadata (which months
-exist, which schema each file group has).
+driver.  What lies where, and with which schemas, comes from one listing and
+from footers read by tasks (``farebox.sources.inventory``).
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from farebox.sources.inventory import MONTH_FOLDER, landed_files, read_drifting, with_months
+
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 
 
@@ -103,32 +106,16 @@ def widest_schema(schemas: Iterable[T.StructType], overrides: Mapping[str, T.Dat
 
 
 def read_widened(spark: SparkSession, paths: Sequence[str], overrides: Mapping[str, T.DataType] | None = None) -> DataFrame:
-    """One scan over files whose integer columns drift (INT32 in some,
-    INT64 / DOUBLE in others), read through the widened schema.  The
-    vectorised reader upcasts int->long and int->double itself."""
-    schemas = [spark.read.parquet(p).schema for p in paths]
-    return spark.read.schema(widest_schema(schemas, overrides)).parquet(*paths)
+    """Files whose integer columns drift (INT32 in some, INT64 / DOUBLE in
+    others), read as the widest type of each column."""
+    return read_drifting(spark, paths, widest_schema, overrides)
 
 
 def read_union_by_name(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Files with different column sets (and drifting types): files
     with the same schema are read together, each group is cast to the widest
     type, then all groups are unioned by name with missing columns as null."""
-    groups: dict[str, list[str]] = {}
-    schemas: dict[str, T.StructType] = {}
-    for p in paths:
-        s = spark.read.parquet(p).schema
-        groups.setdefault(s.json(), []).append(p)
-        schemas[s.json()] = s
-    target = widest_schema(schemas.values())
-    frames = []
-    for key, ps in groups.items():
-        df = spark.read.parquet(*ps)
-        frames.append(df.select(*[F.col(c).cast(target[c].dataType).alias(c) for c in df.columns]))
-    out = frames[0]
-    for df in frames[1:]:
-        out = out.unionByName(df, allowMissingColumns=True)
-    return out.select(*[F.col(f.name) for f in target.fields])
+    return read_drifting(spark, paths, widest_schema)
 
 
 # ------------------------------------------------------------------ months
@@ -188,30 +175,24 @@ def read_month_fallback(
     months: Sequence[dt.date],
     csv_schema: T.StructType,
     prefer: str = "csv",
-    month_dir: str = "{base}/{year:04d}/{month:02d}",
+    pattern: str = MONTH_FOLDER,
 ) -> DataFrame | None:
-    """Per month, read the preferred format if its files exist, else the
-    other, else skip the month; months are unioned by name.  Returns None
-    when no month has data.  ``month_dir`` locates a month's folder
-    (``{base}/year={year}/month={month}`` for a partitioned landing)."""
-    order = ["csv", "parquet"] if prefer == "csv" else ["parquet", "csv"]
+    """Per month, the preferred format if its files exist, else the
+    other, else the month is skipped.  One listing decides for all months (the
+    folders are found by ``pattern``), then each format is one scan.  Returns
+    None when no month has data."""
+    wanted = (F.col("year") * 100 + F.col("month")).isin(*[m.year * 100 + m.month for m in months])
+    found = with_months(landed_files(spark, base), pattern).where(wanted & F.col("format").isin("csv", "parquet"))
+    rank = (F.col("format") != prefer).cast("int")
+    best = found.groupBy("year", "month").agg(F.min_by("format", rank).alias("format"))
+    chosen = found.join(best, ["year", "month", "format"], "left_semi").groupBy("format").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    paths = {r.format: list(r.paths) for r in chosen.collect()}
     frames = []
-    for m in months:
-        d = month_dir.format(base=base, year=m.year, month=m.month)
-        for fmt in order:
-            if fmt == "csv":
-                df = try_read(lambda: read_csv(spark, f"{d}/*.csv.gz", csv_schema))
-            else:
-                df = try_read(lambda: spark.read.schema(csv_schema).parquet(f"{d}/*.parquet"))
-            if df is not None:
-                frames.append(df)
-                break
-    if not frames:
-        return None
-    out = frames[0]
-    for df in frames[1:]:
-        out = out.unionByName(df)
-    return out
+    if "csv" in paths:
+        frames.append(read_csv(spark, paths["csv"], csv_schema))
+    if "parquet" in paths:
+        frames.append(spark.read.schema(csv_schema).parquet(*paths["parquet"]))
+    return reduce(DataFrame.unionByName, frames) if frames else None
 
 
 # ------------------------------------------------------------------ seeds

@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
+from farebox.streaming.sinks import prepare_state_store
+
 RUNS = "chain int, first long, last long, zone int, n long"
 SESSIONS = "session_start timestamp, session_end timestamp, PULocationID int, num_trips long"
 
@@ -110,6 +112,7 @@ def session_global(trips: DataFrame, gap_seconds: int = 300, delay: str = "5 sec
     """ST8: trips per zone in each session of the one chain of all events
     (``event_time``); any zone, the null one included, is a counter of its
     own.  Rows without an event time belong to no session."""
+    prepare_state_store(trips.sparkSession)  # map states and timers need RocksDB
     gap_us = gap_seconds * 1_000_000
     timed = trips.where(F.col("event_time").isNotNull()).withWatermark("event_time", delay)
     events = timed.select(F.unix_micros("event_time").alias("first"), F.col(zone_col).cast("int").alias("zone"))

@@ -98,3 +98,54 @@ def test_month_fallback_prefers_and_skips(spark, tmp_dir):
         spark, tmp_dir, months, INGESTED_SCHEMA, prefer="parquet").collect())
     assert got_pq == ["csv-1", "pq-2", "pq-4"]
     assert files.read_month_fallback(spark, tmp_dir, [dt.date(2023, 1, 1)], INGESTED_SCHEMA) is None
+
+
+def test_inventory_lists_folders_and_formats(spark, tmp_dir):
+    from farebox.sources import inventory
+
+    assert inventory.month_inventory(spark, f"{tmp_dir}/none").count() == 0
+    one = spark.createDataFrame([(1, "x")], "a int, b string")
+    for ym, n in (("year=2023/month=11", 2), ("year=2024/month=2", 1)):
+        one.union(one).repartition(n).write.parquet(f"{tmp_dir}/h/{ym}")
+    one.write.option("compression", "gzip").csv(f"{tmp_dir}/h/year=2024/month=2/more")  # a folder below is no month file
+    one.coalesce(1).write.mode("append").option("compression", "gzip").csv(f"{tmp_dir}/h/year=2023/month=11")
+    got = inventory.month_inventory(spark, f"{tmp_dir}/h")
+    assert sorted((r.year, r.month, r.format, r.files) for r in got.collect()) == [(2023, 11, "csv", 1), (2023, 11, "parquet", 2), (2024, 2, "parquet", 1)]
+    assert sorted(tuple(r) for r in inventory.empty_months(got).collect()) == [(2023, 12), (2024, 1)]
+    assert inventory.empty_months(got.limit(0)).count() == 0
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan  # names and sizes only
+
+
+def test_missing_partitions_come_from_folder_names(spark, tmp_dir):
+    from pyspark.sql import types as T
+
+    from farebox.sources import inventory
+
+    df = spark.createDataFrame([("a b/c=1%", 1), (None, 2), ("x", 3)], "k string, v int")
+    df.write.partitionBy("k").parquet(f"{tmp_dir}/p")
+    got = inventory.partition_values(inventory.landed_files(spark, f"{tmp_dir}/p"), [T.StructField("k", T.StringType())])
+    assert {r.k for r in got.collect()} == {"a b/c=1%", None, "x"}
+    for _ in range(2):
+        sinks.write_missing_partitions(df.union(spark.createDataFrame([("new", 4)], "k string, v int")), f"{tmp_dir}/p", ["k"])
+    assert sorted(r.v for r in spark.read.parquet(f"{tmp_dir}/p").collect()) == [1, 2, 3, 4]
+
+
+def test_drifting_files_cost_a_scan_per_schema(spark, tmp_dir, monkeypatch):
+    from pyspark.sql import functions as F
+    from pyspark.sql.readwriter import DataFrameReader
+
+    ids = spark.range(0, 600)
+    kinds = [ids.select(F.col("id").cast(t).alias("id"), *extra) for t, extra in (("int", []), ("bigint", [F.lit("x").alias("s")]), ("double", [F.lit(1).alias("s")]))]
+    for i, k in enumerate(kinds):
+        k.repartition(70).write.parquet(f"{tmp_dir}/in/part {i}")
+    reads = []
+    real = DataFrameReader.parquet
+    monkeypatch.setattr(DataFrameReader, "parquet", lambda self, *paths, **kw: reads.append(len(paths)) or real(self, *paths, **kw))
+    out = files.read_widened(spark, [f"{tmp_dir}/in"])
+    assert reads == [70, 70, 70]  # one scan a schema, no read a file
+    assert dict(out.dtypes) == {"id": "double", "s": "string"}
+    assert out.count() == 1800 and out.agg(F.sum("id")).first()[0] == 3 * sum(range(600))
+    assert sorted((r.s, r.n) for r in out.where("s is not null").groupBy("s").agg(F.count("*").alias("n")).collect()) == [("1", 600), ("x", 600)]
+    with pytest.raises(FileNotFoundError):
+        files.read_widened(spark, [f"{tmp_dir}/in/none"])
