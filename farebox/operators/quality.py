@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,6 +51,27 @@ def column_checks(df: DataFrame, rules: Mapping[str, Sequence[str]], table: str
     )
 
 
+def rule_metrics(rules: Mapping[str, Sequence[str]]) -> list[Column]:
+    """A count of violations per rule, named ``column__check``."""
+    return [F.count_if(_violation(check, F.col(col))).alias(f"{col}__{check}") for col, checks in rules.items() for check in checks]
+
+
+def rule_rows(spark: SparkSession, counts: Mapping[str, int], rules: Mapping[str, Sequence[str]], table: str = "") -> DataFrame:
+    """The report rows of counts by ``column__check`` (one row per rule)."""
+    rows = [(table, col, check, int(counts.get(f"{col}__{check}") or 0)) for col, checks in rules.items() for check in checks]
+    out = spark.createDataFrame(rows, "table_name string, column_name string, check_name string, failures long")
+    return out.withColumn("passed", F.col("failures") == 0)
+
+
+def observed_write(df: DataFrame, rules: Mapping[str, Sequence[str]], write, table: str = "") -> DataFrame:
+    """Q1, Q3, Q4, Q12 as a by-product of a write: ``write(frame)`` runs one
+    action over the rows, and the violations are counted as they pass – no
+    second scan and no recomputation of ``df``.  Returns the report rows."""
+    seen = Observation()
+    write(df.observe(seen, *rule_metrics(rules)))
+    return rule_rows(df.sparkSession, seen.get, rules, table)
+
+
 def unique_check(df: DataFrame, cols: Sequence[str], table: str = "") -> DataFrame:
     """Q2 / Q11: number of key values (non-null) held by more than one row.
     Rows with a null in any key column are not counted as duplicates."""

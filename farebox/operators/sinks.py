@@ -51,21 +51,27 @@ def write_table(
     w.save(path)
 
 
-def write_partitioned_clustered(
-    df: DataFrame, path: str, partition_col: str, cluster_col: str, salts: int = 4, mode: str = "overwrite"
-) -> None:
+def write_partitioned_clustered(df: DataFrame, path: str, partition_col: str, cluster_col: str, mode: str = "overwrite") -> None:
     """One directory per ``partition_col`` value, files sorted by
-    ``cluster_col``.  Rows are spread over tasks by (partition, cluster, salt)
-    – the salt is a hash of the row, deterministic on retry – so a large
-    partition value or a hot cluster value is written by several tasks."""
-    salt = F.pmod(F.hash(*[F.col(c) for c in df.columns]), F.lit(salts))
-    (
-        df.repartition(F.col(partition_col), F.col(cluster_col), salt)
-        .sortWithinPartitions(partition_col, cluster_col)
-        .write.mode(mode)
-        .partitionBy(partition_col)
-        .parquet(path)
-    )
+    ``cluster_col``.  The rebalance leaves the number of files to AQE: small
+    partitions are written by one task, a large one is split by size."""
+    placed = df.hint("rebalance", partition_col).sortWithinPartitions(partition_col, cluster_col)
+    placed.write.mode(mode).partitionBy(partition_col).parquet(path)
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, cols: Sequence[str], rows_per_bucket: int = 5_000_000, sort: Sequence[str] = (), least: int = 8) -> DataFrame:
+    """A catalog table at ``path``, bucketed and sorted by ``cols``.
+
+    Joins and aggregates on ``cols`` read it without an exchange, a filter on
+    them reads the buckets of its values only.  The rows are counted once on a
+    checkpoint, so the number of buckets follows the size; the exchange before
+    the write has the buckets' own hash, so each bucket is one file."""
+    saved = materialize(df)
+    buckets = max(least, -(-saved.count() // rows_per_bucket))
+    placed = saved.repartition(buckets, *cols)
+    order = list(dict.fromkeys([*cols, *sort]))
+    placed.write.mode("overwrite").format("parquet").option("path", path).bucketBy(buckets, *cols).sortBy(*order).saveAsTable(table)
+    return df.sparkSession.table(table)
 
 
 def append_with_stamp(df: DataFrame, path: str, stamp: dt.datetime, column: str = "extracted_at",

@@ -8,6 +8,7 @@ directory and reads them with one of the library's readers.
 from __future__ import annotations
 
 import datetime as dt
+from collections import Counter
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from farebox.operators import normalize, quality, sinks
 from farebox.plans import trips
 from farebox.session import shared_dir
 from farebox.sources import files, rest
+from farebox.streaming import progress
 from farebox.streaming import sinks as stream_sinks
 from farebox.streaming import source
 from farebox.streaming import windows as stream_windows
@@ -101,25 +103,47 @@ def days_without_bulk_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.missing_periods(load(spark, sf_dir, "lineitem").where("l_quantity >= 50"), "l_shipdate", "day")
 
 
-def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ST11: a stream in two deliveries, the second continuing from the first
-    one's checkpoint: rows of windows that the watermark has closed by then
-    are dropped, the others count."""
-    out = shared_dir(spark, "streams", "late")
+def _two_deliveries(spark: SparkSession, sf_dir: str, out: str) -> list[Counter]:
+    """A windowed count over two deliveries, the second continuing from the
+    first one's checkpoint; what each run did, from its progress events."""
     stream_sinks.prepare_state_store(spark)
     rides = load(spark, sf_dir, "events").select(
         (F.col("user_id") % 25).cast("int").alias("PULocationID"),
         F.date_trunc("second", "ts").alias("event_time"),
         F.coalesce((F.col("event_id") % 2 == 0) & (F.col("ts") < F.lit(SECOND_DELIVERY).cast("timestamp")), F.lit(False)).alias("first"),
     )
-    for delivery in (F.col("first"), ~F.col("first")):
-        rides.where(delivery).drop("first").write.mode("append").parquet(f"{out}/in")
-        stream = source.file_stream(spark, f"{out}/in", rides.drop("first").schema)
-        counts = stream_windows.tumble_zone_count(stream)
-        stream_sinks.start_file_sink(counts, f"{out}/data", f"{out}/checkpoint").awaitTermination()
+    log = progress.ProgressLog()
+    spark.streams.addListener(log)
+    runs = []
+    try:
+        for delivery in (F.col("first"), ~F.col("first")):
+            rides.where(delivery).drop("first").write.mode("append").parquet(f"{out}/in")
+            stream = source.file_stream(spark, f"{out}/in", rides.drop("first").schema)
+            checked = stream.observe("checks", F.count_if(F.col("event_time").isNull()).alias("untimed"), F.count_if(F.col("PULocationID") > 20).alias("far"))
+            counts = stream_windows.tumble_zone_count(checked)
+            runs.append(log.finished(stream_sinks.start_file_sink(counts, f"{out}/data", f"{out}/checkpoint")))
+    finally:
+        spark.streams.removeListener(log)
+    return runs
+
+
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST11: a stream in two deliveries: rows of windows that the watermark has
+    closed by then are dropped, the others count."""
+    out = shared_dir(spark, "streams", "late")
+    _two_deliveries(spark, sf_dir, out)
     return to_ntz(spark.read.parquet(f"{out}/data"))
 
 
+def stream_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST11: per delivery of ``stream_late_rows`` the rows read, the late
+    (window, zone) groups that were dropped, and the checks of each
+    micro-batch added up."""
+    runs = _two_deliveries(spark, sf_dir, shared_dir(spark, "streams", "dropped"))
+    rows = [(i, r["input_rows"], r["dropped"], r["checks.untimed"], r["checks.far"]) for i, r in enumerate(runs, 1)]
+    return spark.createDataFrame(rows, "delivery int, input_rows long, dropped_groups long, untimed long, far long")
+
+
 #: Rows of a landed page, about.
 PAGE_ROWS = 400
 

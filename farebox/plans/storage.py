@@ -7,13 +7,15 @@ folder, runs the operator, and returns a DataFrame reading the result back.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farebox.operators import revenue, sinks
-from farebox.plans import domain, questions, trips
-from farebox.schemas import GREEN_SCHEMA, INGESTED_SCHEMA
+from farebox.operators import quality, revenue, sinks, tags
+from farebox.operators.joins import lookup_join
+from farebox.plans import checks, domain, questions, trips
+from farebox.schemas import GREEN_SCHEMA, INGESTED_SCHEMA, PAYMENT_LOOKUP_SCHEMA
 from farebox.session import shared_dir
 from farebox.sources import files, inventory
 from farebox.tables import to_ntz
@@ -201,3 +203,50 @@ def monthly_revenue_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shared_dir(spark, "warehouse", "monthly_revenue")
     sinks.warehouse_write(trips.monthly_revenue_service(spark, sf_dir), "parquet", {"path": out})
     return spark.read.parquet(out)
+
+
+#: Buckets of the tag table at benchmark size; larger tables get more.
+TAG_BUCKETS = 16
+
+
+def _bucketed_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = f"fct_questions_by_tag_{uuid.uuid4().hex}"
+    path = shared_dir(spark, "tables", "fct_questions_by_tag")
+    return sinks.write_bucketed(questions.tag_month(spark, sf_dir), name, path, ["tag"], sort=["month"], least=TAG_BUCKETS)
+
+
+def bucketed_tag_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tag fact as a bucketed table, each month's count beside its
+    tag's total: the aggregate and the join read the buckets as they lie."""
+    fact = _bucketed_tags(spark, sf_dir)
+    totals = fact.groupBy("tag").agg(F.sum("question_count").alias("tag_total"))
+    return fact.join(totals, "tag").select("month", "tag", "question_count", "tag_total")
+
+
+def bucketed_tag_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K13 + M12: the trend mart from the bucketed table: only the buckets of
+    the wanted tags are read."""
+    return tags.tag_trends(_bucketed_tags(spark, sf_dir), questions.BENCH_TREND_TAGS)
+
+
+def staging_written_and_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1, Q3, Q4, Q12: the column checks of staging, counted while staging is
+    written."""
+    path = shared_dir(spark, "tables", "staging")
+    staged = trips.staging_trips(trips.ingested(spark, sf_dir), domain.payment_lookup(spark), variant="A", lookup_rows=domain.PAYMENT_LOOKUP_SIZE)
+    return quality.observed_write(staged, checks.STAGING_RULES, lambda df: sinks.write_table(df, path), "staging_trips")
+
+
+def seed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The payment lookup lands as CSV, is loaded with its types, checked
+    (codes unique and present, names present) and joined to the raw trips:
+    trips per payment, with the number of failed checks."""
+    path = shared_dir(spark, "landing", "seed")
+    files.write_csv(domain.payment_lookup(spark), path, gzip=False)
+    seed = files.load_seed(spark, path, PAYMENT_LOOKUP_SCHEMA)
+    rules = {"payment_type_id": ["not_null"], "payment_type_name": ["not_null"]}
+    report = quality.checks_with_unique(seed, rules, ["payment_type_id"], "payment_lookup")
+    failed = report.agg(F.count_if(~F.col("passed")).alias("failed_checks"))
+    t = trips.ingested(spark, sf_dir).groupBy("payment_type").agg(F.count(F.lit(1)).alias("num_trips"))
+    named = lookup_join(t, seed, t["payment_type"] == seed["payment_type_id"], "left").select("payment_type", "payment_type_name", "num_trips")
+    return named.withColumn("failed_checks", F.lit(failed.first()[0]).cast("long"))

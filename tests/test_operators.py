@@ -319,3 +319,34 @@ def test_half_open_range_edges(spark):
     df = spark.createDataFrame([(start,), (end,), (end - dt.timedelta(microseconds=1),), (None,)], "t timestamp")
     got = sorted(r.t for r in revenue.between_filter(df, "t", start, end).collect())
     assert got == [start, end - dt.timedelta(microseconds=1)]  # start kept, end excluded, null dropped
+
+
+def test_checks_come_with_the_write(spark, tmp_dir):
+    from farebox.operators import quality
+
+    rules = {"a": ["not_null", "positive"], "b": ["non_negative"]}
+    seen = spark.sparkContext.accumulator(0)
+
+    def touch(parts):
+        for p in parts:
+            seen.add(len(p))
+            yield p
+
+    df = spark.createDataFrame([(1, -1.0), (None, 2.0), (0, None), (-3, -2.0)], "a int, b double")
+    counted = df.mapInPandas(touch, df.schema)
+    report = quality.observed_write(counted, rules, lambda x: x.write.parquet(f"{tmp_dir}/t"), "t")
+    assert sorted((r.column_name, r.check_name, r.failures, r.passed) for r in report.collect()) == [("a", "not_null", 1, False), ("a", "positive", 2, False), ("b", "non_negative", 2, False)]
+    assert seen.value == 4 and spark.read.parquet(f"{tmp_dir}/t").count() == 4  # the rows were computed once
+    empty = quality.observed_write(df.limit(0), rules, lambda x: x.write.parquet(f"{tmp_dir}/e"), "t")
+    assert all(r.passed for r in empty.collect())
+
+
+def test_seed_checks_find_bad_rows(spark, tmp_dir):
+    from farebox.operators import quality
+    from farebox.schemas import PAYMENT_LOOKUP_SCHEMA
+    from farebox.sources import files
+
+    files.write_csv(spark.createDataFrame([(1, "cash"), (1, "card"), (None, "x"), (3, None)], PAYMENT_LOOKUP_SCHEMA), f"{tmp_dir}/s", gzip=False)
+    seed = files.load_seed(spark, f"{tmp_dir}/s", PAYMENT_LOOKUP_SCHEMA)
+    report = quality.checks_with_unique(seed, {"payment_type_id": ["not_null"], "payment_type_name": ["not_null"]}, ["payment_type_id"])
+    assert {(r.column_name, r.check_name): r.failures for r in report.collect()} == {("payment_type_id", "not_null"): 1, ("payment_type_name", "not_null"): 1, ("payment_type_id", "unique"): 1}

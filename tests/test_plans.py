@@ -57,3 +57,37 @@ def test_no_python_in_sql_operators(spark, sf_small, name):
 @pytest.mark.parametrize("name", ["session_keyed", "tag_month", "daily_report", "tumble_zone"])
 def test_keyed_operators_do_not_gather_to_one_partition(spark, sf_small, name):
     assert "SinglePartition" not in _plan(spark, sf_small, name)
+
+
+def _plan_with(spark, sf_small, name, key, value):
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        return _plan(spark, sf_small, name)
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_bucketed_table_is_read_without_an_exchange(spark, sf_small):
+    p = _plan_with(spark, sf_small, "bucketed_tag_share", "spark.sql.autoBroadcastJoinThreshold", "-1")
+    assert "Exchange" not in p and "Join" in p and "SelectedBucketsCount: 16 out of 16" in p
+
+
+def test_bucket_pruning_reads_the_wanted_tags_only(spark, sf_small):
+    import re
+
+    # Without a join the planner shows the scan as unbucketed, though it still skips the files of other buckets.
+    p = _plan_with(spark, sf_small, "bucketed_tag_trends", "spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
+    (chosen,) = re.findall(r"SelectedBucketsCount: (\d+) out of 16", p)
+    assert 0 < int(chosen) <= 5
+
+
+def test_buckets_follow_the_size(spark, tmp_dir):
+    import glob
+
+    from farebox.operators import sinks
+
+    df = spark.range(1000).selectExpr("id % 97 as k", "id as v")
+    out = sinks.write_bucketed(df, "farebox_bucket_test", f"{tmp_dir}/b", ["k"], rows_per_bucket=100, least=2)
+    assert out.count() == 1000 and len(glob.glob(f"{tmp_dir}/b/part-*.parquet")) == 10
+    spark.sql("DROP TABLE farebox_bucket_test")

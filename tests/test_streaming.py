@@ -430,3 +430,65 @@ def test_replace_empties_folders_and_writes_only_touched_ones(spark, tmp_dir):
     same = [f for f, at in before.items() if os.path.exists(f) and os.stat(f).st_mtime_ns == at]
     assert {f.split("fb_part=2024-01-0")[1][0] for f in same} == {"1", "2", "6", "7"}
     assert not [d for d in os.listdir(f"{tmp_dir}/t") if not d.startswith(("fb_part=", "_SUCCESS", "._SUCCESS"))]
+
+
+class Stopped(Exception):
+    pass
+
+
+def test_failure_between_state_and_sink_commit(spark, tmp_dir):
+    """The stream dies inside a micro-batch, once after the state was computed
+    and before the sink wrote, once after the sink wrote and before the batch
+    was committed; a restart gives what an uninterrupted run gives."""
+    import pytest
+    from pyspark.errors import StreamingQueryException
+
+    schema = "event_time timestamp, PULocationID int, total_amount double"
+
+    def deliver(i):
+        rows = [(T0 + dt.timedelta(minutes=20 * i + m), m % 3, float(m)) for m in range(0, 40, 2)]
+        spark.createDataFrame(rows, schema).coalesce(2).write.parquet(f"{tmp_dir}/in/d={i}")
+
+    def run(name, before=False, after=False):
+        sink = ssinks.UpsertSink(f"{tmp_dir}/{name}", ["window_start", "PULocationID"], time_key="window_start")
+
+        def write(batch, batch_id):
+            if before:
+                batch.write.format("noop").mode("overwrite").save()  # commits the state of this batch
+                raise Stopped
+            sink(batch, batch_id)
+            if after:
+                raise Stopped
+
+        stream = spark.readStream.schema(schema).parquet(f"{tmp_dir}/in/*")
+        q = ssinks.start_foreach_batch(sw.tumble_zone_revenue(stream), write, f"{tmp_dir}/{name}-ck", mode="update")
+        if before or after:
+            with pytest.raises(StreamingQueryException):
+                q.awaitTermination()
+        else:
+            q.awaitTermination()
+        return sink
+
+    for i, failure in enumerate(({}, {"before": True}, {"after": True})):
+        deliver(i)
+        if failure:
+            run("broken", **failure)
+        run("broken")
+        whole = run("whole")
+    got, want = (sorted(tuple(r) for r in s.read(spark).select("window_start", "PULocationID", "num_trips", "total_revenue").collect()) for s in (run("broken"), whole))
+    assert got == want and sum(r[2] for r in got) == 60
+
+
+def test_progress_log_counts_rows_and_checks(spark, tmp_dir):
+    from farebox.streaming import progress
+
+    spark.createDataFrame([(T0, 1), (T0, None), (None, 2)], "event_time timestamp, PULocationID int").write.parquet(f"{tmp_dir}/in")
+    log = progress.ProgressLog()
+    spark.streams.addListener(log)
+    try:
+        stream = spark.readStream.schema("event_time timestamp, PULocationID int").parquet(f"{tmp_dir}/in")
+        checked = stream.observe("checks", F.count_if(F.col("event_time").isNull()).alias("untimed"))
+        totals = log.finished(ssinks.start_file_sink(checked, f"{tmp_dir}/out", f"{tmp_dir}/ck"))
+    finally:
+        spark.streams.removeListener(log)
+    assert totals["input_rows"] == 3 and totals["checks.untimed"] == 1 and totals["dropped"] == 0
