@@ -47,14 +47,6 @@ def lookup_join(
     return fact.join(maybe_broadcast(lookup, max_broadcast_rows, known_rows), on, how)
 
 
-def left_join_then_require(
-    fact: DataFrame, lookup: DataFrame, on, required: str, **kw
-) -> DataFrame:
-    """Left join, then drop rows whose lookup column is null.  Catalyst's
-    outer-join elimination plans this as an inner join."""
-    return lookup_join(fact, lookup, on, "left", **kw).filter(F.col(required).isNotNull())
-
-
 def full_outer_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Full outer join with the key columns coalesced (``on=[...]``)."""
     return left.join(right, on=list(keys), how="full")

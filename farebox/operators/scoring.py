@@ -4,8 +4,8 @@ rollup (A15, X4).
 Scoring runs through ``mapInPandas``: Spark hands the function Arrow batches
 of one partition, so a partition is never materialised whole and the model
 sees vectorised pandas frames.  The model is any ``pandas.DataFrame ->
-pandas.Series`` callable; the default is the duration rule of the modelled
-workload (``trip_distance * 5``).
+pandas.Series`` callable, loaded once a task; the default is the duration rule
+of the modelled workload (``trip_distance * 5``).
 """
 
 from __future__ import annotations
@@ -20,22 +20,29 @@ from pyspark.sql import types as T
 SCORING_COLUMNS = ["VendorID", "lpep_pickup_datetime", "PULocationID", "DOLocationID", "trip_distance"]
 
 
-def duration_model(pdf: pd.DataFrame) -> pd.Series:
-    """The placeholder model: predicted duration = distance × 5."""
-    return pdf["trip_distance"] * 5
+class DurationModel:
+    """The model of the modelled workload: predicted duration = distance × 5."""
+
+    factor = 5
+
+    def __call__(self, pdf: pd.DataFrame) -> pd.Series:
+        return pdf["trip_distance"] * self.factor
 
 
 def score_partitions(
     df: DataFrame,
-    model: Callable[[pd.DataFrame], pd.Series] = duration_model,
+    load: Callable[[], Callable[[pd.DataFrame], pd.Series]] = DurationModel,
     columns: Sequence[str] = SCORING_COLUMNS,
     output: str = "predicted_duration",
 ) -> DataFrame:
-    """Rows -> pandas batches -> model -> rows with one more column."""
+    """Rows -> pandas batches -> model -> rows with one more column.
+    ``load`` gives the model (reads its file, builds its session); a task calls
+    it once, before its first batch, and scores all its batches with it."""
     selected = df.select(*columns)
     schema = T.StructType(list(selected.schema.fields) + [T.StructField(output, T.DoubleType(), True)])
 
     def apply_model(batches):
+        model = load()
         for pdf in batches:
             pdf[output] = model(pdf).astype("float64")
             yield pdf
@@ -43,11 +50,6 @@ def score_partitions(
     return selected.mapInPandas(apply_model, schema)
 
 
-def duration_column(distance_col: str = "trip_distance") -> "F.Column":
-    """X2 as a plain column expression (what to use when the model is a formula)."""
-    return (F.col(distance_col) * F.lit(5)).cast("double")
-
-
 REVENUE_ROW_SCHEMA = T.StructType(
     [
         T.StructField("hour", T.TimestampType(), True),

@@ -10,6 +10,7 @@ from farebox.functions import columns as C
 from farebox.operators import dedupe, joins, normalize, quality, revenue, tags, unions
 from farebox.plans import domain, trips
 from farebox.sources import files
+from twins import keep_one_window
 
 T0 = dt.datetime(2025, 10, 1, 0, 0, 0)
 
@@ -60,7 +61,7 @@ def test_keep_one_equals_window_form(spark):
         "k int, o int, v string",
     )
     a = dedupe.keep_one(df, ["k"], ["o"])
-    b = dedupe.keep_one_window(df, ["k"], ["o"])
+    b = keep_one_window(df, ["k"], ["o"])
     assert rows(a) == rows(b) == sorted([(1, 2, "z"), (2, 1, "a"), (None, 5, "q")], key=repr)
 
 
@@ -288,7 +289,7 @@ def test_keep_one_property(spark):
     @given(st.lists(row, min_size=1, max_size=12))
     def check(rows_):
         df = spark.createDataFrame(rows_, "k int, o int, v string")
-        assert rows(dedupe.keep_one(df, ["k"], ["o"])) == rows(dedupe.keep_one_window(df, ["k"], ["o"]))
+        assert rows(dedupe.keep_one(df, ["k"], ["o"])) == rows(keep_one_window(df, ["k"], ["o"]))
 
     check()
 
@@ -350,3 +351,17 @@ def test_seed_checks_find_bad_rows(spark, tmp_dir):
     seed = files.load_seed(spark, f"{tmp_dir}/s", PAYMENT_LOOKUP_SCHEMA)
     report = quality.checks_with_unique(seed, {"payment_type_id": ["not_null"], "payment_type_name": ["not_null"]}, ["payment_type_id"])
     assert {(r.column_name, r.check_name): r.failures for r in report.collect()} == {("payment_type_id", "not_null"): 1, ("payment_type_name", "not_null"): 1, ("payment_type_id", "unique"): 1}
+
+
+def test_model_is_loaded_once_a_task(spark):
+    from farebox.operators import scoring
+
+    loads = spark.sparkContext.accumulator(0)
+
+    def load():
+        loads.add(1)
+        return lambda pdf: pdf["x"] + 0.5
+
+    df = spark.range(50_000, numPartitions=2).selectExpr("cast(id as double) as x")
+    out = scoring.score_partitions(df, load, ["x"], "y")
+    assert out.where("y <> x + 0.5").count() == 0 and loads.value == 2
