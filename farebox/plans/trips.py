@@ -213,7 +213,9 @@ def staging_trips(ingested: DataFrame, lookup: DataFrame, start=None, end=None,
     )
     key = KEY_A if variant == "A" else KEY_Z
     rest = [c for c in STAGING_OUT if c not in key]
-    kept = dedupe.keep_one(named, key, order=["pickup_datetime", *rest])
+    # Service and payment names are few; the fare passed the filter above, so it is no null.
+    few = {"taxi_type": dedupe.few_values(ingested, "taxi_type"), "payment_type_name": dedupe.few_values(lookup, "payment_type_name")}
+    kept = dedupe.keep_one_coded(named, key, ["pickup_datetime", *rest], few, required=["fare_amount"])
     if variant == "Z":
         kept = kept.filter(F.col("payment_type_name").isNotNull())
     return kept.select(*STAGING_OUT)

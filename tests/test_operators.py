@@ -2,6 +2,7 @@
 tables do not contain."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -365,3 +366,23 @@ def test_model_is_loaded_once_a_task(spark):
     df = spark.range(50_000, numPartitions=2).selectExpr("cast(id as double) as x")
     out = scoring.score_partitions(df, load, ["x"], "y")
     assert out.where("y <> x + 0.5").count() == 0 and loads.value == 2
+
+
+def test_keep_one_coded_equals_the_window(spark):
+    rnd = random.Random(5)
+    def pick(*xs):
+        return rnd.choice(xs)
+
+    data = [(pick(1, 2, None), pick(1.5, -0.5, None, 2.0), pick(None, 3, 4), pick("a", "B", "é", None), pick("x", None, "")) for _ in range(400)]
+    df = spark.createDataFrame(data, "k int, o double, p int, s string, t string")
+    few = {c: dedupe.few_values(df, c) for c in ("s", "t")}
+    assert sorted(few["s"]) == ["B", "a", "é"] and dedupe.few_values(df, "s", most=2) is None
+    want = rows(keep_one_window(df, ["k"], ["o", "p", "s", "t"]))
+    assert rows(dedupe.keep_one_coded(df, ["k"], ["o", "p", "s", "t"], few)) == want
+    assert rows(dedupe.keep_one_coded(df, ["k"], ["o", "p", "s", "t"], few, most=3)) == want  # too many names: falls back
+    assert rows(dedupe.keep_one_coded(df, ["k"], ["o", "p", "s", "t"], {"s": None, "t": few["t"]})) == want
+    assert rows(dedupe.keep_one_coded(df.limit(0), ["k"], ["o", "p", "s", "t"], {"s": [], "t": []})) == []
+    plan = dedupe.keep_one_coded(df, ["k"], ["o", "p", "s", "t"], few)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    one = dedupe.keep_one_coded(df.drop("o", "p"), ["k"], ["s", "t"], few)
+    assert rows(one) == rows(keep_one_window(df.drop("o", "p"), ["k"], ["s", "t"]))

@@ -35,11 +35,10 @@ def test_top_k_plans_take_ordered(spark, sf_small):
         assert "TakeOrderedAndProject" in _plan(spark, sf_small, name), name
 
 
-def test_keep_one_is_an_aggregate_not_a_window(spark, sf_small):
-    p = _plan(spark, sf_small, "dedupe_keep_one_a")
-    # min(struct) with string fields runs as a sort-based aggregate, still with
-    # a partial (map-side) step before the exchange.
-    assert "Aggregate" in p and "Window" not in p and "partial_min" in p
+@pytest.mark.parametrize("name", ["dedupe_keep_one_a", "dedupe_keep_one_z", "daily_report", "quality_report"])
+def test_keep_one_is_a_hash_aggregate(spark, sf_small, name):
+    p = _plan(spark, sf_small, name)
+    assert "HashAggregate" in p and "SortAggregate" not in p and "Window" not in p and "partial_min" in p
 
 
 def test_one_shuffle_for_hourly_by_service(spark, sf_small):
