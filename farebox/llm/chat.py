@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import re
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -57,14 +58,25 @@ class Template:
         marks = {m for t in (*self.roles.values(), self.other) for m in (t.before, t.after)} | {self.name_end}
         return sorted(marks, key=lambda m: (-len(m), m))
 
+    @cached_property
+    def codes(self) -> dict[str, str]:
+        """The escape mark and every character a control string begins with ->
+        the mark and a code; no control string begins with a code."""
+        firsts = sorted({x[0] for m in self.controls() for x in (m, m.strip()) if x} - {" ", self.escape})
+        free = [c for c in "0123456789abcdefghijklmnopqrstuvwxyz" if c not in firsts and c != self.escape]
+        return {c: self.escape + code for c, code in zip([self.escape, *firsts], free, strict=False)}
+
+    @cached_property
+    def _plain(self) -> dict[str, str]:
+        return {v: k for k, v in self.codes.items()}
+
     def quote(self, text: str) -> str:
-        """No control string is left in the result; ``unquote`` restores it."""
-        firsts = "".join(sorted({m[0] for m in self.controls()} | {m.strip()[0] for m in self.controls()} - {" "}))
-        marks = re.escape(self.escape) + "".join(re.escape(c) for c in firsts if c != " ")
-        return re.sub(f"([{marks}])", lambda m: self.escape + m[1], text)
+        """No control string is left in the result: none of their first
+        characters is.  ``unquote`` restores the text."""
+        return text.translate(str.maketrans(self.codes))
 
     def unquote(self, text: str) -> str:
-        return re.sub(re.escape(self.escape) + "(.)", r"\1", text, flags=re.S)
+        return re.sub(re.escape(self.escape) + "(.)", lambda m: self._plain[m[0]], text, flags=re.S)
 
 
 def segments(turns, template: Template):

@@ -16,11 +16,20 @@ def test_quote_round_trip_and_no_control_left():
         x = noise(rng)
         q = t.quote(x)
         assert t.unquote(q) == x
+        assert not any(c.strip() in q for c in t.controls())
         turns = [("user", x), ("odd<role>", noise(rng)), ("assistant", noise(rng)), ("system", "")]
         text = "".join(s for _, s, _, _ in chat.segments(turns, t))
         assert [(r, t.unquote(b)) for r, b, _, _ in chat.Reader(t).turns(text)] == turns
 
 
+def test_no_control_left_with_marks_that_begin_with_letters():
+    t = chat.Template(roles={"user": chat.Turn("user:", "end"), "assistant": chat.Turn("0bot:", "1end", loss=True)}, other=chat.Turn("a:", "b:"), name_end="c:", escape="0")
+    rng = random.Random(4)
+    for _ in range(500):
+        x = "".join(rng.choice(["user:", "end", "0bot:", "1end", "0", "1", "u", "a:", "b:", "c:", "e", "00", " "]) for _ in range(9))
+        assert t.unquote(t.quote(x)) == x and not any(c in t.quote(x) for c in t.controls() if not c.startswith("0"))
+
+
 def test_machine_marks_turns_out_of_order():
     def valid(roles):
         out = {}
