@@ -133,10 +133,11 @@ WITH docs AS (SELECT coalesce(doc_id, 9223372036854775807) AS doc_id,
     coalesce(lang, '') AS lang, coalesce(source, '') AS source,
     CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS n_tokens FROM documents),
   leaves AS (SELECT domain, lang, source, CAST(sum(n_tokens) AS BIGINT) AS tokens FROM docs GROUP BY ALL),
+  fed AS (SELECT * FROM leaves WHERE {_weight_sql('domain')} > 0 AND {_weight_sql('lang')} > 0),
   total AS (SELECT CAST(floor(sum(tokens) * {MIX_SHARE}) AS BIGINT) AS budget FROM leaves),
-  {_share_sql('b1', f"SELECT domain, CAST(sum(tokens) * {MIX_EPOCHS} AS BIGINT) AS cap, {_weight_sql('domain')} AS w, (SELECT budget FROM total) AS budget FROM leaves GROUP BY domain HAVING cap > 0", '', 'domain')},
-  {_share_sql('b2', f"SELECT domain, lang, CAST(sum(tokens) * {MIX_EPOCHS} AS BIGINT) AS cap, {_weight_sql('lang')} AS w, any_value(b1.budget) AS budget FROM leaves JOIN b1 USING (domain) GROUP BY domain, lang HAVING cap > 0", 'domain', 'lang')},
-  {_share_sql('b3', f"SELECT domain, lang, source, CAST(sum(tokens) * {MIX_EPOCHS} AS BIGINT) AS cap, 1 AS w, any_value(b2.budget) AS budget FROM leaves JOIN b2 USING (domain, lang) GROUP BY domain, lang, source HAVING cap > 0", 'domain, lang', 'source')},
+  {_share_sql('b1', f"SELECT domain, CAST(sum(tokens) * {MIX_EPOCHS} AS BIGINT) AS cap, {_weight_sql('domain')} AS w, (SELECT budget FROM total) AS budget FROM fed GROUP BY domain HAVING cap > 0", '', 'domain')},
+  {_share_sql('b2', f"SELECT domain, lang, CAST(sum(tokens) * {MIX_EPOCHS} AS BIGINT) AS cap, {_weight_sql('lang')} AS w, any_value(b1.budget) AS budget FROM fed JOIN b1 USING (domain) GROUP BY domain, lang HAVING cap > 0", 'domain', 'lang')},
+  {_share_sql('b3', f"SELECT domain, lang, source, CAST(sum(tokens) * {MIX_EPOCHS} AS BIGINT) AS cap, 1 AS w, any_value(b2.budget) AS budget FROM fed JOIN b2 USING (domain, lang) GROUP BY domain, lang, source HAVING cap > 0", 'domain, lang', 'source')},
   plan AS (SELECT *, budget // tokens AS whole, budget - (budget // tokens) * tokens AS rest FROM leaves JOIN b3 USING (domain, lang, source)),
   keyed AS (SELECT *, md5('{MIX_SEED}:' || whole || ':' || doc_id) AS key FROM docs JOIN plan USING (domain, lang, source)),
   part AS (SELECT *, coalesce(sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY key, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM keyed)

@@ -47,6 +47,13 @@ def row_key(id_col: str, text_col: str) -> list[Column]:
     ]
 
 
+def smallest_by(df: DataFrame, but: list[str]) -> Column:
+    """A row's columns that have an order, ``but`` some: chooses one of several
+    rows that agree in those."""
+    unordered = ("map<", "variant")
+    return F.struct(F.lit(0).alias("_0"), *[F.col(f"`{f.name}`") for f in df.schema.fields if f.name not in but and not any(x in f.dataType.simpleString() for x in unordered)])
+
+
 def keyed_texts(df: DataFrame, id_col: str, text_col: str, carry: list[str] = ()) -> DataFrame:
     """``_id, _th, _text`` (binary; null text reads as empty) and the carried
     columns as binary."""

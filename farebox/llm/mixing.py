@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from farebox.llm.common import NULL_ID, is_small, join_groups, ready
+from farebox.llm.common import NULL_ID, is_small, join_groups, ready, smallest_by
 
 TOKEN = r"[^\x20\x09-\x0D]+"
 
@@ -55,18 +55,21 @@ def share_out(children: DataFrame, parents: list[str], level: str) -> DataFrame:
 
 
 def leaf_budgets(leaves: DataFrame, levels: list[str], weights: dict[str, dict[str, int]], budget: int, max_epochs: int) -> DataFrame:
-    """``levels.., tokens, n`` -> the same with ``budget`` per leaf."""
-    now = None
+    """``levels.., tokens, n`` -> the same with ``budget`` per leaf.  A leaf
+    with weight 0 anywhere on its path counts in no cap above it."""
+    now, given = None, leaves
+    for level in levels:
+        leaves = leaves.where(_weight(level, weights.get(level)) > 0)
     for depth, level in enumerate(levels):
         parents = levels[:depth]
         nodes = leaves.groupBy(*levels[: depth + 1]).agg((F.sum("tokens") * max_epochs).cast("long").alias("cap"))
-        nodes = nodes.withColumn("w", _weight(level, weights.get(level))).where("w > 0 and cap > 0")
+        nodes = nodes.withColumn("w", _weight(level, weights.get(level))).where("cap > 0")
         if now is None:
             nodes = nodes.withColumn("budget", F.lit(int(budget)).cast("long")).withColumn("root", F.lit(0))
             now = share_out(nodes, ["root"], level).select(level, "budget")
         else:
             now = share_out(nodes.join(now, parents), parents, level).select(*levels[: depth + 1], "budget")
-    return leaves.join(now, levels)
+    return given.join(now, levels)
 
 
 def mix(
@@ -121,8 +124,9 @@ def mix(
 def mixed_rows(df: DataFrame, chosen: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df`` as often as they were chosen.  A row repeated in
     ``df`` (same id and text) was chosen per repeat: one of them, reduced inside
-    each task before the shuffle, stands for all as often as all were chosen."""
-    keyed = df.select(F.struct(*df.columns).alias("_row"), *row_key(id_col, text_col))
-    one = keyed.groupBy("_id", "_th").agg(F.first("_row").alias("_row"))
+    each task before the shuffle, stands for all as often as all were chosen:
+    the smallest by the columns that have an order."""
+    keyed = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), smallest_by(df, [id_col, text_col]).alias("_order"), *row_key(id_col, text_col))
+    one = keyed.groupBy("_id", "_th").agg(F.min_by("_row", "_order").alias("_row"))
     copies = chosen.groupBy("_id", "_th").agg(F.count("*").alias("copies"))
     return one.join(copies, ["_id", "_th"]).withColumn("copy", F.explode(F.expr("sequence(1L, copies)"))).select("_row.*")

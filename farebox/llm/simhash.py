@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farebox.llm.common import NULL_ID, ready
+from farebox.llm.common import NULL_ID, ready, smallest_by
 from farebox.llm.graph import components
 from farebox.llm.mixing import row_key
 
@@ -304,7 +304,7 @@ def simhash_dedup(
     key = F.col(f"`{id_col}`")
     src = df.where(key.isNotNull()) if keep_null_ids else df
     # Repeated rows are reduced inside each task, before the shuffle.
-    keyed = src.select(F.struct(*src.columns).alias("_row"), *row_key(id_col, text_col))
-    one = keyed.groupBy("_id", "_th").agg(F.first("_row").alias("_row"))
+    keyed = src.select(F.struct(*[F.col(f"`{c}`") for c in src.columns]).alias("_row"), smallest_by(src, [id_col, text_col]).alias("_order"), *row_key(id_col, text_col))
+    one = keyed.groupBy("_id", "_th").agg(F.min_by("_row", "_order").alias("_row"))
     kept = one.join(keep, ["_id", "_th"], "left_semi").select("_row.*")
     return kept.unionAll(df.where(key.isNull())) if keep_null_ids else kept

@@ -110,3 +110,22 @@ def test_groups_join_in_parts_as_by_broadcast(spark):
     for how in ("inner", "left"):
         a, b = (sorted(map(str, join_groups(rows, groups, ["g"], small, how).collect())) for small in (True, False))
         assert a == b and len(a) == (500 if how == "left" else rows.where("g <> 'g5'").count())
+
+
+def test_weight_zero_below_a_node_loses_no_budget(spark):
+    rows = [(i, "w " * 10, "a" if i < 50 else "b", "x" if i % 2 else "y") for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, p string, q string")
+    levels = {"p": F.col("p"), "q": F.col("q")}
+    out = mixing.mix(df, levels, {"q": {"x": 0, "y": 1}}, budget_share=0.5)
+    got = out.groupBy("q").agg(F.sum("n_tokens").alias("n")).collect()
+    assert [(r.q, r.n) for r in got] == [("y", 500)]
+    # One parent has open leaves only through its sibling: the shortage goes there.
+    lone = df.where("not (p = 'a' and q = 'y')")
+    assert mixing.mix(lone, levels, {"q": {"x": 0, "y": 1}}, budget_share=0.5).agg(F.sum("n_tokens")).first()[0] == 250
+
+
+def test_repeated_rows_give_the_smallest(spark):
+    df = spark.createDataFrame([(1, "a b", "z"), (1, "a b", "c"), (1, "a b", None)], "doc_id long, text string, source string")
+    chosen = mixing.mix(df, {"source": F.lit("s")}, {}, budget_share=1.0)
+    got = mixing.mixed_rows(df.repartition(3), chosen)
+    assert [r.source for r in got.collect()] == [None] * 3
