@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import bisect
 import re
+import struct
 import zlib
 from dataclasses import dataclass
 
@@ -52,19 +53,27 @@ class WordIds(dict):
     run of letters goes straight to the merge model, if a probe shows that
     the tokenizer works that way."""
 
-    LIMIT = 1_000_000
+    #: Entries that are kept, of at most so many bytes each.
+    LIMIT, LONGEST = 400_000, 64
     PROBE = ("Straße", "ÉTÉ,", "the", "THE!!", "a|b", "x%%%y", "Ñandú.", "zz9", "[A]b_c")
 
     def __init__(self, tokenizer, kind: str):
         super().__init__()
         self.tokenizer, self.kind, self.plain = tokenizer, kind, True
         self.alphabet = byte_alphabet()
+        self.pack = {"<u2": "H", "<u4": "I"}[kind]
         self.plain = all(self[w.encode()] == self._whole(w) for w in self.PROBE)
         self.clear()
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.kind).tobytes()
 
+    def _letters(self, word: bytes) -> bytes:
+        """A lower-case run of letters, by the merge model alone."""
+        spelled = word.decode() if word.isascii() else word.decode("latin-1").translate(self.alphabet)
+        ids = [t.id for t in self.tokenizer.model.tokenize(spelled)]
+        return struct.pack(f"<{len(ids)}{self.pack}", *ids)
+
     def __missing__(self, word: bytes) -> bytes:
         if len(self) > self.LIMIT:
             self.clear()
@@ -76,10 +85,11 @@ class WordIds(dict):
             if runs != [text]:
                 out = b"".join([self[r.encode()] for r in runs])
             elif text.isalpha():
-                out = np.array([t.id for t in self.tokenizer.model.tokenize("".join(map(self.alphabet.__getitem__, word)))], dtype=self.kind).tobytes()
+                out = self._letters(word)
             else:
                 out = self._whole(text)
-        self[word] = out
+        if len(word) <= self.LONGEST:
+            self[word] = out
         return out
 
     def text(self, raw: bytes) -> bytes:
