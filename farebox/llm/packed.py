@@ -94,7 +94,9 @@ def pack_documents(source: DataFrame, buckets: int, flush_bytes: int) -> DataFra
     along, each as null flags, lengths and bytes."""
 
     def flush(held):
-        ids, ths, lens, data, *more = (np.concatenate(x) for x in zip(*held))
+        columns = list(zip(*held))
+        held.clear()  # the pieces are freed column by column
+        ids, ths, lens, data, *more = [np.concatenate(columns.pop(0)) for _ in range(len(columns))]
         at = offsets_of(lens)
         ats = [offsets_of(x) for x in more[1::3]]
         out = []
@@ -116,7 +118,7 @@ def pack_documents(source: DataFrame, buckets: int, flush_bytes: int) -> DataFra
             size += len(data)
             if size >= flush_bytes:
                 yield flush(held)
-                held, size = [], 0
+                size = 0
         if held:
             yield flush(held)
 

@@ -92,7 +92,7 @@ class _Sender:
             return
         doc, th, first, count, size, bucket, content = (np.concatenate([p[k] for p in self.parts]) for k in range(7))
         text = np.concatenate([p[7] for p in self.parts])
-        self.parts, self.size = [], 0
+        self.parts, self.size = [], 0  # the parts are freed before the blobs are made
         at = packed.offsets_of(size)
         # Equal strings: those of later documents are decided here.
         order, new = first_by(content, doc, th, first)
@@ -171,7 +171,7 @@ def _decide(blobs: list[bytes], window: int):
 
 
 def substring_dedup(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13, minimiser_words: int = 3, bucket_bytes: int = 4 << 20, flush_bytes: int = 16 << 20,
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13, minimiser_words: int = 3, bucket_bytes: int = 4 << 20, flush_bytes: int = 8 << 20,
     carry: list[str] | None = None,
 ) -> DataFrame:
     """One row per input row: ``id, n_words, n_removed, kept`` (binary: the
