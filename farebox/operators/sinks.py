@@ -28,21 +28,20 @@ def write_table(
     partition_by: Sequence[str] = (),
     max_records_per_file: int | None = None,
     fmt: str = "parquet",
-    files_per_partition: int | None = None,
+    cluster: bool = False,
 ) -> None:
     """K1–K5, K14, K22.  ``files`` with ``shuffle`` repartitions (balanced
     files, one exchange); without ``shuffle`` it coalesces (no exchange, but
-    the last stage runs with ``files`` tasks).  ``files_per_partition`` (with
-    ``partition_by``) clusters rows by the partition values plus a
-    deterministic row-hash salt: each directory gets at most that many files
-    instead of one per writing task, and a large directory is still written
-    by several tasks.  ``mode`` is Spark's: overwrite, append, ignore or
+    the last stage runs with ``files`` tasks).  ``cluster`` (with
+    ``partition_by``) rebalances rows by the partition values, so the number of
+    files follows the size: small directories are written by one task each,
+    several to a task, and AQE splits a large one at its advisory size.
+    ``mode`` is Spark's: overwrite, append, ignore or
     errorifexists."""
     if files:
         df = df.repartition(files) if shuffle else df.coalesce(files)
-    elif partition_by and files_per_partition:
-        salt = F.pmod(F.hash(*[F.col(c) for c in df.columns]), F.lit(files_per_partition))
-        df = df.repartition(*[F.col(c) for c in partition_by], salt)
+    elif partition_by and cluster:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode(mode).format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -95,7 +94,7 @@ def write_missing_partitions(df: DataFrame, path: str, cols: Sequence[str]) -> N
     on the partition values), so a rerun adds nothing twice.  What is there
     comes from the listing, not from the data."""
     present = partition_values(landed_files(df.sparkSession, path), [df.schema[c] for c in cols])
-    write_table(anti_join(df, present, cols), path, mode="append", partition_by=cols, files_per_partition=4)
+    write_table(anti_join(df, present, cols), path, mode="append", partition_by=cols, cluster=True)
 
 
 class PartitionedTable:

@@ -66,7 +66,7 @@ def missing_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = shared_dir(spark, "intake", "gaps")
     pickup = F.coalesce("tpep_pickup_datetime", "lpep_pickup_datetime")
     t = trips.ingested(spark, sf_dir).withColumn("year", F.year(pickup)).withColumn("month", F.month(pickup))
-    sinks.write_table(t.where("month % 3 <> 0 or month is null"), base, partition_by=["year", "month"], files_per_partition=4)
+    sinks.write_table(t.where("month % 3 <> 0 or month is null"), base, partition_by=["year", "month"], cluster=True)
     return to_ntz(files.read_month_range(spark, base, GAP_START, GAP_END, max_year=2100))
 
 
@@ -156,7 +156,7 @@ def _land_pages(trips_: DataFrame, path: str, first: int, last: int | None) -> N
     paged = trips_.join(sizes, ["taxi_type", "year", "month"])
     paged = paged.withColumn("page", (F.pmod(F.xxhash64(*trips_.columns), F.col("pages")) + 1).cast("int")).drop("pages")
     paged = paged.where(F.col("page") >= first) if last is None else paged.where(F.col("page").between(first, last))
-    sinks.write_table(paged, path, mode="append", partition_by=["taxi_type", "year", "month", "page"], fmt="json", files_per_partition=1)
+    sinks.write_table(paged, path, mode="append", partition_by=["taxi_type", "year", "month", "page"], fmt="json", cluster=True)
 
 
 def rest_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

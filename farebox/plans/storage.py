@@ -85,7 +85,7 @@ def csv_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = typed.withColumn("year", F.year("lpep_pickup_datetime")).withColumn(
         "month", F.month("lpep_pickup_datetime")
     )
-    sinks.write_table(landed, f"{base}/pq", partition_by=["year", "month"], files_per_partition=4)
+    sinks.write_table(landed, f"{base}/pq", partition_by=["year", "month"], cluster=True)
     return to_ntz(spark.read.parquet(f"{base}/pq"))
 
 
@@ -130,7 +130,7 @@ def month_interval_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S13 + S14: months from March 1996 to mid-August 1997 of a year/month
     landing, read through a partition filter."""
     base = shared_dir(spark, "landing", "months")
-    sinks.write_table(_ingested_by_month(spark, sf_dir), base, partition_by=["year", "month"], files_per_partition=4)
+    sinks.write_table(_ingested_by_month(spark, sf_dir), base, partition_by=["year", "month"], cluster=True)
     return to_ntz(files.read_month_range(spark, base, SCAN_START, SCAN_END, max_year=2100))
 
 
@@ -154,7 +154,7 @@ def empty_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     between the first and the last that hold no file, from the listing."""
     base = shared_dir(spark, "landing", "holes")
     t = _ingested_by_month(spark, sf_dir).where("month % 3 <> 0")
-    sinks.write_table(t, base, partition_by=["year", "month"], files_per_partition=2)
+    sinks.write_table(t, base, partition_by=["year", "month"], cluster=True)
     return inventory.empty_months(inventory.month_inventory(spark, base))
 
 
@@ -166,7 +166,7 @@ def file_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     of at most 500 rows."""
     base = shared_dir(spark, "landing", "layout")
     t = _ingested_by_month(spark, sf_dir).where("year is not null").drop("month")
-    sinks.write_table(t, base, partition_by=["year"], files_per_partition=1, max_records_per_file=LAYOUT_ROWS)
+    sinks.write_table(t.repartition("year"), base, partition_by=["year"], max_records_per_file=LAYOUT_ROWS)
     found = inventory.layout(inventory.landed_files(spark, base))
     return found.select("folder", "file_count", (F.col("bytes") > 0).alias("has_bytes"))
 

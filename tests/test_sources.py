@@ -30,6 +30,17 @@ def test_csv_variants(spark, tmp_dir):
     assert spark.sql("SELECT count(*) AS n FROM landed_trips").collect()[0].n == 2 and view.count() == 2
 
 
+def test_clustered_write_follows_the_size(spark, tmp_dir):
+    """Small directories are one file each, whatever the number of writing tasks."""
+    from farebox.sources import inventory
+
+    df = spark.range(0, 4000, 1, 40).select("id", (F.col("id") % 5).alias("part"))
+    sinks.write_table(df, f"{tmp_dir}/clustered", partition_by=["part"], cluster=True)
+    assert spark.read.parquet(f"{tmp_dir}/clustered").count() == 4000
+    found = inventory.layout(inventory.landed_files(spark, f"{tmp_dir}/clustered")).collect()
+    assert [r.file_count for r in found] == [1] * 5
+
+
 def test_literal_rows_and_filter(spark):
     lit = files.literal_rows(spark, [(1,), (None,)], "id int")  # S21 / M20
     assert lit.count() == 2 and lit.filter(F.col("id") == 1).count() == 1
