@@ -1,7 +1,7 @@
 """Helpers shared by the corpus operators.
 
 Texts travel as binary columns.  A row of a table is identified by its integer
-id *and* a 32-bit hash of its text, so that repeated ids with different texts
+id *and* a 64-bit hash of its text, so that repeated ids with different texts
 stay apart and true repeats (same id, same text) behave as one document.  A
 null id is ordered after every other id.
 """
@@ -40,10 +40,11 @@ def ready(spark: SparkSession) -> SparkSession:
 
 
 def row_key(id_col: str, text_col: str) -> list[Column]:
-    """(``_id`` long, ``_th`` int): identity of a document row."""
+    """(``_id``, ``_th``, both long): identity of a document row.  All rows
+    without an id share one, so their texts alone keep them apart."""
     return [
         F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NULL_ID)).alias("_id"),
-        F.shiftright(F.xxhash64(F.col(f"`{text_col}`").cast("binary")), 32).cast("int").alias("_th"),
+        F.xxhash64(F.col(f"`{text_col}`").cast("binary")).alias("_th"),
     ]
 
 

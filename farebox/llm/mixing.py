@@ -16,18 +16,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from farebox.llm.common import NULL_ID, is_small, join_groups, ready, smallest_by
+from farebox.llm.common import NULL_ID, is_small, join_groups, ready, row_key, smallest_by
 
 TOKEN = r"[^\x20\x09-\x0D]+"
 
 
-def row_key(id_col: str, text_col: str) -> list[Column]:
-    """(``_id``, ``_th``): id and 64-bit text hash, so that many rows without an
-    id stay apart by their text."""
-    text = F.col(f"`{text_col}`").cast("binary")
-    return [F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NULL_ID)).alias("_id"), F.xxhash64(text).alias("_th")]
-
-
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(TOKEN)), F.lit(0)).cast("long")
 

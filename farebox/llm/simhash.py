@@ -26,9 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farebox.llm.common import NULL_ID, ready, smallest_by
+from farebox.llm.common import NULL_ID, ready, row_key, smallest_by
 from farebox.llm.graph import components
-from farebox.llm.mixing import row_key
 
 BITS = 64
 

@@ -216,6 +216,7 @@ class _Anchors:
     def __init__(self, window, k, buckets, flush_bytes):
         self.window, self.k, self.buckets, self.flush_bytes = window, k, buckets, flush_bytes
         self.roller, self.parts, self.size = Roller(), [], 0
+        self.small = np.uint8 if window < 256 else np.int32  # of counts within a window
 
     def add(self, ids, ths, data, offsets):
         first, count, aoff, h = fragments(data, offsets, self.window, self.k, self.roller)
@@ -223,7 +224,7 @@ class _Anchors:
         end = first + count + self.window - 1
         content = self.roller.ranges(prefix, first, end)
         row = np.searchsorted(offsets, first, side="right") - 1
-        self.parts.append((ids[row], ths[row], first - offsets[row], count.astype(np.uint8), aoff.astype(np.uint8), h, content, first + self.size, end + self.size, data))
+        self.parts.append((ids[row], ths[row], first - offsets[row], count.astype(self.small), aoff.astype(self.small), h, content, first + self.size, end + self.size, data))
         self.size += len(data)
 
     def flush(self):
@@ -301,7 +302,17 @@ def _fetch(docs, blobs, window: int, k: int, buckets: int):
     return rows
 
 
-def shard_repeats(doc, th, pos, count, aoff, text, window: int, k: int, longer: tuple[int, ...] = (30, 15)):
+def anchor_steps(window: int, k: int) -> list[int]:
+    """By how much an anchor of ``k`` bytes is extended: a window that lacks
+    that many bytes before it must hold them after it."""
+    steps = []
+    for most in (30, 15):
+        steps.append(min(most, (window - k + 1) // 2))
+        k += steps[-1]
+    return [x for x in steps if x]
+
+
+def shard_repeats(doc, th, pos, count, aoff, text, window: int, k: int):
     """Windows (doc, th, position, windows) of one shard's fragments that repeat
     an earlier one, by the suffix array over the fragments sharing an anchor.
 
@@ -314,7 +325,7 @@ def shard_repeats(doc, th, pos, count, aoff, text, window: int, k: int, longer:
     at = packed.offsets_of(count.astype(np.int64) + (window - 1))[:-1]
     pos, count, aoff = pos.astype(np.int64), count.astype(np.int64), aoff.astype(np.int64)
     out = []
-    for more in (*longer, 0):
+    for more in (*anchor_steps(window, k), 0):
         end = at + count + (window - 1)
         content = roller.ranges(prefix, at, end)
         gone = decide_equal(content, doc, th, pos, _confirm(text, at, end))
@@ -385,7 +396,7 @@ def _shard(blobs, window: int, k: int, buckets: int):
     if len(w_doc):
         _, key = np.unique(np.stack((h1, h2), axis=1), axis=0, return_inverse=True)
         again = decide_equal(key.ravel(), w_doc, w_th, w_pos, lambda i, j: True)
-        spans.append((w_doc[again], w_th[again], w_pos[again], np.ones(int(again.sum()), np.uint8)))
+        spans.append((w_doc[again], w_th[again], w_pos[again], np.ones(int(again.sum()), gone[3].dtype)))
     doc, th, pos, count = (np.concatenate([s[i] for s in spans]) for i in range(4))
     # Runs of neighbouring windows become one span.
     order = np.lexsort((pos, th, doc))
@@ -402,7 +413,7 @@ def _shard(blobs, window: int, k: int, buckets: int):
 
 
 def suffix_dedup(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 100, k: int = 40, hot: int = 2000, bucket_bytes: int = 8 << 20, flush_bytes: int = 32 << 20
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 100, k: int | None = None, hot: int = 2000, bucket_bytes: int = 8 << 20, flush_bytes: int = 32 << 20
 ) -> DataFrame:
     """One row per input row: ``id, n_bytes, n_removed, n_spans``, ``kept``
     (binary: the bytes that stay) and ``kept_sha256``.
@@ -412,8 +423,12 @@ def suffix_dedup(
     reads as empty; null ids count as larger than all others; rows with one id
     and different texts do not remove from each other, true repeats of a row
     are one document and get the same result.  Shorter texts stay whole; an
-    empty table gives no rows; other columns are ignored."""
+    empty table gives no rows; other columns are ignored.  Anchors have ``k``
+    bytes, at most ``window``: 40, or two fifths of a window under 100."""
     ready(df.sparkSession)
+    k = min(40, max(1, 2 * window // 5)) if k is None else k
+    if not 1 <= k <= window:
+        raise ValueError(f"an anchor of {k} bytes does not fit a window of {window}")
     source = keyed_texts(df, id_col, text_col)
     buckets = packed.bucket_count(text_bytes(source, "_text"), bucket_bytes)
 

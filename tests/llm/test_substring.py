@@ -54,6 +54,12 @@ def test_matches_brute_force(spark, m):
     assert run(spark, rows, minimiser_words=m) == slow(rows, 13)
 
 
+def test_texts_that_share_32_bits_of_their_hash_stay_apart(spark):
+    a, b = (f"text number {n} " + " ".join(f"w{n}x{j}" for j in range(13)) for n in (91729, 119412))
+    rows = [(1, a), (7, a), (7, b), (None, a), (None, b)]
+    assert run(spark, rows) == slow(rows, 13)
+
+
 def test_empty_table(spark):
     assert run(spark, []) == []
 

@@ -62,5 +62,24 @@ def test_matches_brute_force(spark, kw):
     assert run(spark, rows, **kw) == slow(rows, 100)
 
 
+@pytest.mark.parametrize("window", [3, 50, 80, 300])
+def test_other_windows(spark, window):
+    rng = random.Random(window)
+    shared = ["".join(rng.choice("abcdef ") for _ in range(rng.randint(40, 700))) for _ in range(4)]
+    rows = [(i, "".join(rng.choice("abcdef ") for _ in range(60)) + rng.choice(shared)[rng.randint(0, 30) :] + "z" * rng.randint(0, 320)) for i in range(40)]
+    assert run(spark, rows, window=window) == slow(rows, window)
+
+
+def test_anchor_must_fit_the_window(spark):
+    with pytest.raises(ValueError):
+        run(spark, [(1, "a")], window=20, k=40)
+
+
+def test_texts_that_share_32_bits_of_their_hash_stay_apart(spark):
+    a, b = (f"text number {n} " + " ".join(f"w{n}x{j}" for j in range(13)) for n in (91729, 119412))
+    rows = [(1, a), (7, a), (7, b), (None, a), (None, b)]
+    assert run(spark, rows) == slow(rows, 100)
+
+
 def test_empty_table(spark):
     assert run(spark, []) == []
