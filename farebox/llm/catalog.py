@@ -153,17 +153,16 @@ def op5_mixing(spark, sf_dir):
     return out.select(F.col("_id").alias("doc_id"), "domain", "lang", "source", "n_tokens", "epoch", "leaf_tokens", "leaf_budget")
 
 
+#: Every term of the query text that another document holds too.
 SEARCH_SQL = """
 WITH w AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+')) AS term FROM documents),
   tf AS (SELECT doc_id, term, count(*) AS tf FROM w GROUP BY ALL),
   df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
   dl AS (SELECT doc_id, sum(tf) AS dl FROM tf GROUP BY doc_id),
   n AS (SELECT count(*) AS n, (SELECT sum(tf) FROM tf) / count(*) AS mean FROM documents),
-  ranked AS (SELECT doc_id AS query_id, term, ln(1 + (n - df + 0.5) / (df + 0.5)) AS idf,
-      row_number() OVER (PARTITION BY doc_id ORDER BY tf * ln(1 + (n - df + 0.5) / (df + 0.5)) DESC, term) AS r
-    FROM tf JOIN df USING (term), n WHERE doc_id % 100 = 0 AND df >= 2),
+  asked AS (SELECT doc_id AS query_id, term, ln(1 + (n - df + 0.5) / (df + 0.5)) AS idf FROM tf JOIN df USING (term), n WHERE doc_id % 100 = 0 AND df >= 2),
   hits AS (SELECT query_id, doc_id, round(sum(idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / mean))), 6) AS score
-    FROM ranked JOIN tf USING (term) JOIN dl USING (doc_id), n WHERE r <= 25 GROUP BY query_id, doc_id),
+    FROM asked JOIN tf USING (term) JOIN dl USING (doc_id), n GROUP BY query_id, doc_id),
   top AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM hits)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM top WHERE rank <= 10
 """
@@ -173,29 +172,7 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM top WHERE ran
 def op9_bm25(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = search.search(docs, docs.where("doc_id % 100 = 0"), "doc_id", "text", k=10)
-    return out.select("query_id", "rank", F.col("id").alias("doc_id"), F.round("score", 6).alias("score"))
-
-
-#: Every term of the query text that another document holds too.
-SEARCH_WHOLE_SQL = """
-WITH w AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+')) AS term FROM documents),
-  tf AS (SELECT doc_id, term, count(*) AS tf FROM w GROUP BY ALL),
-  df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
-  dl AS (SELECT doc_id, sum(tf) AS dl FROM tf GROUP BY doc_id),
-  n AS (SELECT count(*) AS n, (SELECT sum(tf) FROM tf) / count(*) AS mean FROM documents),
-  asked AS (SELECT doc_id AS query_id, term, ln(1 + (n - df + 0.5) / (df + 0.5)) AS idf FROM tf JOIN df USING (term), n WHERE doc_id % 100 = 0 AND df >= 2),
-  hits AS (SELECT query_id, doc_id, round(sum(idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / mean))), 6) AS score
-    FROM asked JOIN tf USING (term) JOIN dl USING (doc_id), n GROUP BY query_id, doc_id),
-  top AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM hits)
-SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM top WHERE rank <= 10
-"""
-
-
-@register("op9_bm25_whole", SEARCH_WHOLE_SQL)
-def op9_bm25_whole(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = search.search(docs, docs.where("doc_id % 100 = 0"), "doc_id", "text", k=10, max_terms=None)
-    return out.select("query_id", "rank", F.col("id").alias("doc_id"), F.round("score", 6).alias("score"))
+    return out.select("query_id", "rank", F.col("id").alias("doc_id"), "score")
 
 
 @register("op11_secrets")

@@ -1,14 +1,23 @@
-"""Exact BM25 top-k over sharded inverted indexes with block-max pruning.
+"""Exact BM25 top-k over sharded inverted indexes with block-max WAND.
 
-A shard is a run of documents with its postings (term -> documents, counts) and
-is built where the documents are read.  Scores use statistics of the whole
+A shard is a run of documents with its postings (term -> documents, counts),
+built where the documents are read.  Scores use statistics of the whole
 corpus (documents, mean length, document frequencies), so shards merge
-exactly.  Within a shard documents form blocks; per term and block the
-largest impact is worked out when the shard is loaded.  A query reads all postings
-of its terms in the shard; the summed block maxima of its terms bound a block,
-the most promising blocks are summed up first so that the bar rises early, blocks
-that cannot reach the present k-th score are not summed up, and the bar carries on
-to the task's next shard.  There is no pivot and no cursor as in WAND.
+exactly.  Within a shard documents form blocks.  The index stores per term a list
+of blocks, each with its greatest impact and the number of its postings, so a
+query reads block lists first and postings only where they can matter:
+
+* the summed block maxima of the query's terms bound a block; the most
+  promising blocks are opened first so that the bar (the present k-th score)
+  rises early, and blocks whose bound misses the bar are never opened;
+* the pivot term is the first, by rising maxima, at which they add up to the
+  bar: a document needs it or one after it, so only these lists are opened to find
+  documents.  Where these documents' block maxima, with those of the lists
+  before the pivot term, reach the bar, the other lists are opened too; impacts are
+  worked out for documents only whose own terms' block maxima reach it.
+
+Cursors move over arrays, all open blocks of a round at a time, instead of a posting
+at a time.  The bar carries on to the task's next shard.
 
 Queries go in blocks of about ``block_terms`` terms and ``block_queries``
 queries at most, each broadcast to one pass over the index.
@@ -30,7 +39,9 @@ from farebox.llm.common import NULL_ID, Roller, flat, keyed_texts, ready, row_ch
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
-DOCS_PER_BLOCK = 64
+DOCS_PER_BLOCK = 16
+#: Documents opened before there is a bar.
+FIRST_DOCS = 256
 
 
 def term_rows(data: np.ndarray, offsets: np.ndarray, roller: Roller):
@@ -40,8 +51,9 @@ def term_rows(data: np.ndarray, offsets: np.ndarray, roller: Roller):
     return row, roller.ranges(roller.prefix(low), start, end), start, end, low
 
 
-def build_shard(ids, lengths, row, term) -> bytes:
-    """Postings of one shard, sorted by term, then document."""
+def build_shard(ids, lengths, row, term, mean_length: float, k1: float, b: float) -> bytes:
+    """Postings of one shard, sorted by term, then document, and above them
+    the blocks of every term with their greatest impact."""
     order = np.lexsort((row, term))
     t, r = term[order], row[order]
     new = np.ones(len(t), dtype=bool)
@@ -49,26 +61,50 @@ def build_shard(ids, lengths, row, term) -> bytes:
     lead = np.flatnonzero(new)
     tf = np.diff(np.append(lead, len(t)))
     t, r = t[lead], r[lead]
-    head = np.flatnonzero(np.concatenate((t[:1] == t[:1], t[1:] != t[:-1])))
-    return packed.dump(ids, lengths.astype(np.int32), t[head], np.diff(np.append(head, len(t))).astype(np.int32), r.astype(np.uint32), tf.astype(np.uint32))
+    df = _runs(t)
+    block = r // DOCS_PER_BLOCK
+    first = _starts(t, block)
+    impact = _impact(tf, _norm(lengths, mean_length, k1, b)[r], k1)
+    top = np.maximum.reduceat(impact, first) if len(first) else impact
+    # Rounded up, so that it stays a bound.
+    top = np.nextafter(top.astype(np.float32), np.float32(np.inf))
+    per_block = np.diff(np.append(first, len(t)))
+    return packed.dump(
+        ids, lengths.astype(np.int32), t[_starts(t)], df.astype(np.int32),
+        _runs(t[first]).astype(np.int32), block[first].astype(np.uint32), per_block.astype(np.uint16), top,
+        r.astype(np.uint32), tf.astype(np.uint32),
+    )
+
+
+def _starts(*keys: np.ndarray) -> np.ndarray:
+    """Positions at which some key differs from the one before."""
+    new = np.ones(len(keys[0]), dtype=bool)
+    new[1:] = False
+    for x in keys:
+        new[1:] |= x[1:] != x[:-1]
+    return np.flatnonzero(new)
+
+
+def _runs(key: np.ndarray) -> np.ndarray:
+    return np.diff(np.append(_starts(key), len(key)))
+
+
+def _norm(lengths, mean_length: float, k1: float, b: float):
+    return k1 * (1 - b + b * lengths / max(mean_length, 1e-9))
+
+
+def _impact(tf, norm, k1: float):
+    return tf * (k1 + 1) / (tf + norm)
 
 
 class Shard:
-    def __init__(self, blob: bytes, mean_length: float, k1: float, b: float):
-        self.ids, lengths, self.terms, n, doc, tf = packed.load(blob)
-        self.at = packed.offsets_of(n)
-        norm = k1 * (1 - b + b * lengths / max(mean_length, 1e-9))
-        self.doc = doc.astype(np.int64)
-        self.impact = tf * (k1 + 1) / (tf + norm[self.doc])
-        block = self.doc // DOCS_PER_BLOCK
-        owner = np.repeat(np.arange(len(n)), n)
-        new = np.ones(len(block), dtype=bool)
-        new[1:] = (block[1:] != block[:-1]) | (owner[1:] != owner[:-1])
-        lead = np.flatnonzero(new)
-        self.block_top = np.maximum.reduceat(self.impact, lead) if len(lead) else self.impact
-        self.block = block[lead]
-        self.block_at = np.searchsorted(lead, self.at)
+    def __init__(self, blob: bytes, mean_length: float, k1: float, b: float, digits: int = 6):
+        self.ids, lengths, self.terms, _, blocks, self.block, per_block, self.top, self.doc, self.tf = packed.load(blob)
+        self.block_at, self.at = packed.offsets_of(blocks), packed.offsets_of(per_block)
+        self.norm, self.k1, self.digits = _norm(lengths, mean_length, k1, b), k1, digits
         self.blocks = -(-len(self.ids) // DOCS_PER_BLOCK)
+        self.peak = np.maximum.reduceat(self.top, self.block_at[:-1]) if len(self.top) else self.top
+        self.opened = self.scored = 0  # postings
 
     def find(self, terms: np.ndarray) -> np.ndarray:
         """Index of each term, -1 where the shard lacks it."""
@@ -77,48 +113,87 @@ class Shard:
         at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
         return np.where(self.terms[at] == terms, at, -1)
 
+    def _open(self, entry, wanted, block, blocks):
+        """Postings of the wanted entries that lie in ``blocks``, each with
+        the position of its entry."""
+        mask = np.zeros(self.blocks, dtype=bool)
+        mask[blocks] = True
+        pick = np.flatnonzero(wanted & mask[block])
+        post, which = _ranges(self.at, entry[pick], pick)
+        self.opened += len(post)
+        return post, which
+
     def search(self, found: np.ndarray, weights: np.ndarray, top: list, k: int) -> None:
         """Improves ``top``, a heap of (score, -id) of at most k entries."""
-        idx, w = _ranges(self.block_at, found, weights)
-        bound = np.bincount(self.block[idx], weights=self.block_top[idx] * w, minlength=self.blocks)
-        idx, w = _ranges(self.at, found, weights)
-        doc, gain = self.doc[idx], self.impact[idx] * w
-        block = doc // DOCS_PER_BLOCK
-        # Best bounds first; each round reads twice as many blocks as the last.
+        entry, owner = _ranges(self.block_at, found, np.arange(len(found)))
+        w = weights[owner]
+        block, most = self.block[entry], self.top[entry] * w
+        # What a document can reach with a term and all of lesser maxima.
+        peak = self.peak[found] * weights
+        low = np.argsort(peak, kind="stable")
+        reach = np.empty(len(found))
+        reach[low] = np.cumsum(peak[low])
+        bound = np.bincount(block, weights=most, minlength=self.blocks)
+        slack = 2 * 10.0**-self.digits  # rounded scores and sums
+        # Best bounds first; each round opens twice as many blocks as the last.
         order = np.argsort(-bound, kind="stable")
-        at, size = 0, 4
+        at, size = 0, max(1, FIRST_DOCS // DOCS_PER_BLOCK)
         while at < len(order):
-            bar = top[0][0] if len(top) == k else 0.0
+            bar = top[0][0] - slack if len(top) == k else 0.0
             turn = order[at : at + size]
-            live = turn[bound[turn] * (1 + 1e-12) >= bar] if bar else turn[bound[turn] > 0]
+            live = turn[bound[turn] >= bar] if bar > 0 else turn[bound[turn] > 0]
             if not len(live):
                 return
-            mask = np.zeros(self.blocks, dtype=bool)
-            mask[live] = True
-            pick = mask[block]
-            score = np.bincount(doc[pick], weights=gain[pick], minlength=len(self.ids))
+            rest = (reach < bar)[owner]  # terms that cannot lift a document to the bar
+            left = np.bincount(block[rest], weights=most[rest], minlength=self.blocks)
+            post, which = self._open(entry, ~rest, block, live)
+            doc = self.doc[post]
+            held = np.bincount(doc, weights=most[which], minlength=len(self.ids))
+            pivot = (held > 0) & (held + np.repeat(left, DOCS_PER_BLOCK)[: len(held)] >= bar)
+            more, whose = self._open(entry, rest, block, np.unique(np.flatnonzero(pivot) // DOCS_PER_BLOCK))
+            post, which = np.concatenate((post, more)), np.concatenate((which, whose))
+            held = np.bincount(self.doc[post], weights=most[which], minlength=len(self.ids))
+            on = (pivot & (held >= bar))[self.doc[post]]
+            post, which = post[on], which[on]
+            self.scored += len(post)
+            doc = self.doc[post]
+            gain = _impact(self.tf[post], self.norm[doc], self.k1) * w[which]
+            score = np.round(np.bincount(doc, weights=gain, minlength=len(self.ids)), self.digits)
             hits = np.flatnonzero((score > 0) & (score >= bar))
             if len(hits) > k:
                 cut = np.partition(score[hits], len(hits) - k)[len(hits) - k]
                 hits = hits[score[hits] >= cut]
             for d in hits.tolist():
-                entry = (float(score[d]), -int(self.ids[d]))
+                found_hit = (float(score[d]), -int(self.ids[d]))
                 if len(top) < k:
-                    heapq.heappush(top, entry)
-                elif entry > top[0]:
-                    heapq.heapreplace(top, entry)
+                    heapq.heappush(top, found_hit)
+                elif found_hit > top[0]:
+                    heapq.heapreplace(top, found_hit)
             at, size = at + size, size * 2
 
 
 def _ranges(at: np.ndarray, found: np.ndarray, weights: np.ndarray):
-    """Positions of the found terms' ranges, one after the other, with the
-    weight of each; terms stay in query order, so sums have one order."""
+    """Positions of the found ranges, one after the other, with the weight
+    of each; terms stay in query order, so sums have one order."""
     n = at[found + 1] - at[found]
     start = packed.offsets_of(n)[:-1]
     return np.repeat(at[found] - start, n) + np.arange(n.sum()), np.repeat(weights, n)
 
 
-def shards(texts: DataFrame, shard_bytes: int = 8 << 20) -> DataFrame:
+def corpus_size(texts: DataFrame) -> tuple[int, int]:
+    """Rows and words of all texts."""
+
+    def count(batches):
+        for batch in batches:
+            data, offsets = flat(batch.column(0))
+            n = sum(len(words(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])[0]) for lo, hi in row_chunks(offsets))
+            yield pa.RecordBatch.from_arrays([pa.array([len(offsets) - 1], pa.int64()), pa.array([n], pa.int64())], names=["n", "words"])
+
+    sums = [F.coalesce(F.sum(c), F.lit(0)) for c in ("n", "words")]
+    return tuple(texts.select("_text").mapInArrow(count, "n long, words long").agg(*sums).first())
+
+
+def shards(texts: DataFrame, mean_length: float, k1: float, b: float, shard_bytes: int = 8 << 20) -> DataFrame:
     """``blob``: the index of every run of about ``shard_bytes`` of text."""
 
     def run(batches):
@@ -126,7 +201,7 @@ def shards(texts: DataFrame, shard_bytes: int = 8 << 20) -> DataFrame:
 
         def flush():
             ids, lengths, row, term = (np.concatenate([h[i] for h in held]) for i in range(4))
-            return pa.RecordBatch.from_arrays([pa.array([build_shard(ids, lengths, row, term)], pa.binary())], names=["blob"])
+            return pa.RecordBatch.from_arrays([pa.array([build_shard(ids, lengths, row, term, mean_length, k1, b)], pa.binary())], names=["blob"])
 
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
@@ -151,7 +226,7 @@ def query_terms(index: DataFrame, queries: DataFrame, buckets: int) -> DataFrame
     def frequencies(batches):
         for b in batches:
             for blob in b.column(0).to_pylist():
-                _, _, terms, n, _, _ = packed.load(blob)
+                _, _, terms, n, *_ = packed.load(blob)
                 yield packed.batch([(x, packed.dump(terms[g], n[g])) for x, g in packed.split_by((terms % np.uint64(buckets)).astype(np.int32))])
 
     def spell(batches):
@@ -196,15 +271,18 @@ def query_terms(index: DataFrame, queries: DataFrame, buckets: int) -> DataFrame
 
 def search(
     df: DataFrame, queries: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 10, k1: float = 1.2, b: float = 0.75,
-    max_terms: int | None = 25, min_df: int = 2, block_queries: int = 4096, bucket_bytes: int = 8 << 20, block_terms: int = 1 << 20,
+    max_terms: int | None = None, min_df: int = 2, block_queries: int = 4096, bucket_bytes: int = 8 << 20, block_terms: int = 1 << 20,
+    digits: int = 6,
 ) -> DataFrame:
     """``query_id, rank, id, score``: for every row of ``queries`` (same
     columns as ``df``) the k rows of ``df`` of greatest BM25, ties by smaller id.
 
-    A query is formed from a whole text as is usual for "more like this": of
-    its terms that occur in at least ``min_df`` documents the ``max_terms`` with the
-    greatest tf * idf (ties by term), or all of them if ``max_terms`` is None.
-    The index holds every term of every row; the search is exact.  Terms are runs without white space, ASCII
+    A query has every term of its text that occurs in at least ``min_df``
+    documents (a term of one document finds that document alone: pass 1 to
+    count it too); ``max_terms`` asks with those of greatest tf * idf only (ties
+    by term).  The index holds every term of every row; the search is exact.
+    Scores are rounded to ``digits`` before they are ranked, so the order does not
+    hang on the order of sums.  Terms are runs without white space, ASCII
     lower-cased; idf = ln(1 + (N - df + 0.5) / (df + 0.5)).  Rows that share no
     query term are no results; null and empty texts match nothing; null ids
     read as the largest id; a repeated row is a result per repeat, a repeated
@@ -212,14 +290,9 @@ def search(
     no rows; other columns are ignored."""
     ready(df.sparkSession)
     texts = keyed_texts(df, id_col, text_col)
-    index = shards(texts).checkpoint()
-
-    def sizes(batches):
-        for batch in batches:
-            got = [packed.load(x)[1] for x in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([len(x) for x in got], pa.int64()), pa.array([int(x.sum()) for x in got], pa.int64())], names=["n", "words"])
-
-    n, total = index.mapInArrow(sizes, "n long, words long").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0))).first()
+    n, total = corpus_size(texts)
+    mean = total / n if n else 0.0
+    index = shards(texts, mean, k1, b).checkpoint()
     asked = queries.select(*keyed_texts(queries, id_col, text_col).columns) if "_id" in queries.columns else keyed_texts(queries, id_col, text_col)
     terms = query_terms(index, asked, packed.bucket_count(text_bytes(texts, "_text"), bucket_bytes))
     terms = terms.where(F.col("df") >= min_df).groupBy("q", "term", "hash", "df").agg(F.sum("tf").alias("tf"))
@@ -232,10 +305,9 @@ def search(
     count, held = terms.agg(F.coalesce(F.sum((F.col("r") == 1).cast("long")), F.lit(0)), F.count("*")).first()
     blocks = max(1, math.ceil(count / block_queries), math.ceil(held / block_terms))
     terms = terms.withColumn("block", F.pmod(F.xxhash64("q"), F.lit(blocks)))
-    mean = total / n if n else 0.0
     spark, out = df.sparkSession, None
     for block in range(blocks):
-        part = _one_block(spark, index, terms.where(F.col("block") == block).select("q", "r", "hash", "idf").toArrow(), mean, k, k1, b)
+        part = _one_block(spark, index, terms.where(F.col("block") == block).select("q", "r", "hash", "idf").toArrow(), mean, k, k1, b, digits)
         out = part if out is None else out.unionAll(part)
     merged = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     out = out.withColumn("rank", F.row_number().over(merged)).where(F.col("rank") <= k)
@@ -243,7 +315,7 @@ def search(
     return out.select(clean[0], "rank", clean[1], "score")
 
 
-def _one_block(spark, index: DataFrame, rows: pa.Table, mean: float, k: int, k1: float, b: float) -> DataFrame:
+def _one_block(spark, index: DataFrame, rows: pa.Table, mean: float, k: int, k1: float, b: float, digits: int) -> DataFrame:
     q, r, terms, idf = (rows.column(c).to_numpy() for c in ("q", "r", "hash", "idf"))
     order = np.lexsort((r, q))
     ids, at = np.unique(q[order], return_index=True)
@@ -254,7 +326,7 @@ def _one_block(spark, index: DataFrame, rows: pa.Table, mean: float, k: int, k1:
         tops: list[list] = [[] for _ in ids]
         for batch in batches:
             for blob in batch.column(0).to_pylist():
-                shard = Shard(blob, mean, k1, b)
+                shard = Shard(blob, mean, k1, b, digits)
                 found = shard.find(terms)
                 for i in range(len(ids)):
                     f = found[at[i] : at[i + 1]]
