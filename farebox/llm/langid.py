@@ -154,16 +154,19 @@ def held_out(id_col: str, mod: int, part: int):
     return F.coalesce(F.crc32(F.col(f"`{id_col}`").cast("string").cast("binary")) % mod == part, F.lit(False))
 
 
-def training_windows(df: DataFrame, id_col: str, text_col: str, lang_col: str, documents: int, per_document: int, length: int):
+def training_windows(df: DataFrame, id_col: str, text_col: str, lang_col: str, documents: int, per_document: int, length: int, labels: int = 1000):
     """At most ``documents`` labelled texts, spread evenly over the labels by a
     hash order, with ``per_document`` windows each at hashed places of the
-    whole text: (labels, bytes, used lengths, classes)."""
+    whole text: (labels, bytes, used lengths, classes).  The ``labels`` most
+    frequent labels are learned (ties by name): a dirty column with more values
+    neither reaches the driver nor the network whole."""
     rows = df.select(F.col(f"`{id_col}`").alias("i"), F.col(f"`{text_col}`").alias("t"), F.col(f"`{lang_col}`").cast("string").alias("l"))
     rows = rows.where("l is not null and i is not null").where(F.col("t").rlike(r"\p{L}"))
-    sizes = {r[0]: r[1] for r in rows.groupBy("l").count().collect()}  # languages are few
+    sizes = {r[0]: r[1] for r in rows.groupBy("l").count().orderBy(F.desc("count"), "l").limit(labels).collect()}
     names = sorted(sizes)
     if not names:
         return [], None, None, None
+    rows = rows.where(F.col("l").isin(names)) if len(names) == labels else rows
     scale = F.create_map(*[F.lit(v) for n in names for v in (n, float(sizes[n]))])[F.col("l")]
     unit = F.pmod(F.xxhash64(F.lit("language sample"), "i"), F.lit(1 << 40)) / float(1 << 40)
     room = F.greatest(F.octet_length(F.col("t").cast("binary")) - length, F.lit(0)) + 1
@@ -187,7 +190,7 @@ def training_windows(df: DataFrame, id_col: str, text_col: str, lang_col: str, d
 
 def identify(
     df: DataFrame, train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-    documents: int = 4000, per_document: int = 3, length: int = 256, carry: list[str] | None = None,
+    documents: int = 4000, per_document: int = 3, length: int = 256, carry: list[str] | None = None, labels: int = 1000,
 ) -> DataFrame:
     """``id, lang_pred, score`` for every row of ``df`` (then its ``carry``
     columns, as they are), from a network trained
@@ -198,7 +201,7 @@ def identify(
     everything when there is nothing to learn from.  Repeated rows get the same
     answer each, null ids pass through, other columns are ignored."""
     ready(df.sparkSession)
-    names, x, n, y = training_windows(train, id_col, text_col, lang_col, documents, per_document, length)
+    names, x, n, y = training_windows(train, id_col, text_col, lang_col, documents, per_document, length, labels)
     text = F.col(f"`{text_col}`")
     rows = df.select(F.col(f"`{id_col}`").alias("id"), F.when(text.rlike(r"\p{L}"), text.cast("binary")).alias("t"), *[F.col(f"`{c}`") for c in carry or []])
     if not names:

@@ -88,7 +88,8 @@ def quality(
 ) -> DataFrame:
     """``id, score`` (0 to 1) of every row of ``df``.  ``labelled`` has
     ``id, label``; at most ``sample`` of them (a hash order; repeated ids count
-    once, with the smaller label) are looked up in ``df`` and learned.
+    once, with the smaller label) are looked up in ``df`` and learned, one vector
+    (the least) an id however many rows and texts share it.
 
     Whole texts are read.  Null and empty texts are like nothing and score the
     mean label; so does everything if there are no labels (0.5).  Repeated rows
@@ -108,6 +109,7 @@ def quality(
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), b.column(1).slice(lo, hi - lo), pa.array(cells, pa.binary())], names=["id", "y", "x"])
 
     found = rows.join(F.broadcast(marks), "id").select("id", "y", "t").mapInArrow(learn, f"id {dict(rows.dtypes)['id']}, y int, x binary")
+    found = found.groupBy("id").agg(F.min("y").alias("y"), F.min("x").alias("x"))  # one row an id, however often it repeats
     got = sorted((r.id, bytes(r.x), r.y) for r in found.collect())
     counts = np.zeros((len(got), dims), np.float32)
     for i, (_, x, _) in enumerate(got):

@@ -49,6 +49,21 @@ def test_language_edge_cases(spark):
     assert {r.lang_pred for r in langid.identify(df, df.limit(0)).collect()} == {"und"}
 
 
+def test_only_the_most_frequent_labels_are_learned(spark):
+    rows = [(i, "the cat and the dog" if i % 2 else "der hund und die katze", "en" if i % 2 else "de") for i in range(60)]
+    rows += [(100 + i, "some text", f"dirty{i}") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    names, *_ = langid.training_windows(df, "doc_id", "text", "lang", 100, 3, 64, labels=2)
+    assert names == ["de", "en"]
+
+
+def test_a_repeated_label_id_is_one_neighbour(spark):
+    labels = spark.createDataFrame([(1, 1), (2, 0), (2, 1)], "doc_id long, quality int")
+    docs = spark.createDataFrame([(1, "good words here")] + [(2, f"bad bad bad {i % 3}") for i in range(300)], "doc_id long, text string")
+    by = {r.id: r.score for r in neighbours.quality(docs, labels, k=1).collect()}
+    assert by[1] > 0.9 and by[2] < 0.1
+
+
 def test_quality_accuracy_on_held_out_rows(spark):
     labels = table(spark, SF, "labels")
     got = REGISTRY["op6_quality"][0](spark, SF)
