@@ -146,6 +146,13 @@ class Roller:
         self.table = np.random.default_rng(seed).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.size = 0
 
+    def twin(self, seed: int) -> Roller:
+        """Another hash of the same text, which shares the powers."""
+        other = Roller(seed)
+        if self.size:
+            other.size, other.up, other.down = self.size, self.up, self.down
+        return other
+
     def _grow(self, n: int) -> None:
         if n <= self.size:
             return

@@ -230,8 +230,9 @@ class _Anchors:
     def flush(self):
         if not self.parts:
             return
-        doc, th, pos, count, aoff, h, content, a, b, data = (np.concatenate([p[i] for p in self.parts]) for i in range(10))
-        self.parts, self.size = [], 0
+        columns = list(zip(*self.parts))
+        self.parts, self.size = [], 0  # the pieces are freed column by column
+        doc, th, pos, count, aoff, h, content, a, b, data = [np.concatenate(columns.pop(0)) for _ in range(len(columns))]
         gone = decide_equal(content, doc, th, pos, _confirm(data, a, b))
         pos = pos.astype(np.int32)
         rows = []
@@ -281,9 +282,10 @@ def _fetch(docs, blobs, window: int, k: int, buckets: int):
     each = np.repeat(crowded, count[crowded])
     step = np.arange(len(each)) - np.repeat(packed.offsets_of(count[crowded])[:-1], count[crowded])
     w_pos, w_at = pos[each] + step.astype(np.int32), a[each] + step
-    other = Roller(seed=23)
-    h1 = roller.ranges(prefix, w_at, w_at + window)
-    h2 = other.ranges(other.prefix(text), w_at, w_at + window)
+    h1 = h2 = roller.ranges(prefix, w_at, w_at + window)
+    if len(each):
+        other = roller.twin(seed=23)
+        h2 = other.ranges(other.prefix(text), w_at, w_at + window)
     w_gone = decide_equal(h1, doc[each], th[each], w_pos, _confirm(text, w_at, w_at + window))
     spans = [np.concatenate((x, y[w_gone])) for x, y in zip(spans, (doc[each], th[each], w_pos, np.ones(len(each), count.dtype)))]
     stay = np.flatnonzero(~w_gone)
@@ -413,7 +415,7 @@ def _shard(blobs, window: int, k: int, buckets: int):
 
 
 def suffix_dedup(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 100, k: int | None = None, hot: int = 2000, bucket_bytes: int = 8 << 20, flush_bytes: int = 32 << 20
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 100, k: int | None = None, hot: int = 2000, bucket_bytes: int = 8 << 20, flush_bytes: int = 16 << 20
 ) -> DataFrame:
     """One row per input row: ``id, n_bytes, n_removed, n_spans``, ``kept``
     (binary: the bytes that stay) and ``kept_sha256``.
