@@ -41,6 +41,44 @@ def test_clustered_write_follows_the_size(spark, tmp_dir):
     assert [r.file_count for r in found] == [1] * 5
 
 
+def test_numbers_without_a_group_in_one_task(spark, monkeypatch):
+    """Numbers are gapless in every group, null keys and repeated rows too, and
+    the same in every run."""
+    from farebox.operators import numbering
+
+    monkeypatch.setattr(numbering, "TASK_ROWS", 100)
+    df = spark.range(0, 3000, 1, 7).select(F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("k"), F.floor(F.col("id") / 4).alias("v")).repartition(5)
+    starts = numbering.part_starts(df, ["k"], part_rows=60)
+    assert starts.count() > 40
+    got = numbering.number_rows(df, ["k"], starts, "n")
+    assert got.rdd.getNumPartitions() == 30
+    assert sorted((r.k or 0, r.n) for r in got.collect()) == [(k, n) for k in range(3) for n in range(1000)]
+    assert sorted(map(str, got.collect())) == sorted(map(str, numbering.number_rows(df.repartition(11), ["k"], starts, "n").collect()))
+    first = numbering.number_rows(df, ["k"], starts, "n", below=70)
+    assert sorted(map(str, first.collect())) == sorted(map(str, got.where("n < 70").collect()))
+    empty = df.where("v < 0")
+    assert numbering.number_rows(empty, ["k"], numbering.part_starts(empty, ["k"]), "n").count() == 0
+
+
+def test_file_layout_spreads_a_folder_over_tasks(spark, sf_small, monkeypatch):
+    """Q9: whole files from several tasks, as few as one task would write."""
+    from farebox.operators import numbering
+    from farebox.plans import storage
+
+    written = []
+    monkeypatch.setattr(numbering, "PART_ROWS", 300, raising=False)
+    monkeypatch.setattr(numbering, "TASK_ROWS", 1000, raising=False)
+    monkeypatch.setattr(storage, "LAYOUT_ROWS", 50)
+    listed = storage.inventory.landed_files
+    monkeypatch.setattr(storage.inventory, "landed_files", lambda *a: written.append(listed(*a)) or written[-1])
+    got = {r.folder: r.file_count for r in storage.file_layout(spark, sf_small).collect()}
+    year = F.year(F.coalesce("tpep_pickup_datetime", "lpep_pickup_datetime"))
+    want = {f"year={r.y}": -(-r["count"] // 50) for r in storage.trips.ingested(spark, sf_small).groupBy(year.alias("y")).count().collect()}
+    assert got == want
+    tasks = written[0].select(F.regexp_extract("path", "(year=[^/]*)/part-([0-9]*)", 1).alias("y"), F.regexp_extract("path", "/part-([0-9]*)", 1).alias("task"))
+    assert min(r.n for r in tasks.groupBy("y").agg(F.countDistinct("task").alias("n")).collect()) > 1
+
+
 def test_literal_rows_and_filter(spark):
     lit = files.literal_rows(spark, [(1,), (None,)], "id int")  # S21 / M20
     assert lit.count() == 2 and lit.filter(F.col("id") == 1).count() == 1
