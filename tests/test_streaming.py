@@ -242,6 +242,58 @@ def test_page_stream_restarts_without_a_second_read(spark, tmp_dir):
     assert sorted((r.taxi_type, r.month, r.page, r["count"]) for r in rows) == sorted((t, int(m), int(p), 3) for t, _, m, p in (x.split("/") for x in want))
 
 
+def test_page_tasks_follow_the_batch(monkeypatch):
+    from farebox.sources import rest
+
+    monkeypatch.setattr(rest, "BATCH_TASKS", 4)
+    reader = rest.TripPagesStreamReader({"months": "2025-01", "pages_per_task": "2"})
+
+    def ranges(first, stop):
+        return [(p.first, p.last) for p in reader.partitions({"green/2025/1": first}, {"green/2025/1": stop})]
+
+    assert ranges(1, 4) == [(1, 2), (3, 3)] and ranges(4, 9) == [(4, 4), (5, 6), (7, 8)] and ranges(3, 3) == []
+    assert ranges(3, 42) == [(3, 10), (11, 20), (21, 30), (31, 40), (41, 41)]  # 39 pages, 10 a task
+
+
+def test_landed_runs_of_pages(tmp_dir):
+    """A run folder holds many pages, and may grow between two requests."""
+    from farebox.sources import rest
+
+    folder, url = f"{tmp_dir}/run=0", f"{tmp_dir}/run={{run}}"
+    os.makedirs(folder)
+
+    def land(name, rows):
+        with open(f"{folder}/{name}.json", "w") as f:
+            f.writelines(json.dumps(r) + "\n" for r in rows)
+
+    client = rest.PageClient({"url": url, "fetch": "landed"})
+    month = ("green", 2025, 1)
+    assert client.next_page(month, 1) == 1
+    land("a", [{"page": p, "payment_type": p, "pickup_datetime": '"page":7}'} for p in (1, 2, 2)])
+    assert client.next_page(month, 1) == 3 and not client.exists(month, 7)
+    assert [b.to_pylist() for b in client.rows(rest.PageRange(*month, 2))][0][0]["payment_type"] == 2
+    land("b", [{"page": p} for p in range(3, rest.RUN_PAGES + 1)])
+    assert client.next_page(month, 3) == rest.RUN_PAGES + 1
+    got = [r for b in client.rows(rest.PageRange(*month)) for r in b.to_pylist()]
+    assert [r["page"] for r in got] == [1, 2, 2, *range(3, rest.RUN_PAGES + 1)]
+    assert got[0] == {"taxi_type": "green", "year": 2025, "month": 1, "page": 1, "pickup_datetime": '"page":7}', "dropoff_datetime": None,
+                      "PULocationID": None, "DOLocationID": None, "fare_amount": None, "tip_amount": None, "total_amount": None, "payment_type": 1}
+
+
+def test_rest_pages_keeps_repeated_rows(spark, tmp_dir):
+    """Rows that repeat leave no page empty, so none ends a month early,
+    and the files do not follow the number of pages."""
+    from farebox.plans import intake
+
+    line = spark.range(3).select(
+        F.col("id").alias("l_orderkey"), F.col("id").alias("l_partkey"), F.col("id").alias("l_suppkey"), F.lit(1).alias("l_linenumber"),
+        F.lit(5.0).alias("l_quantity"), F.lit("O").alias("l_linestatus"), F.lit(dt.datetime(2025, 1, 1)).cast("timestamp_ntz").alias("l_shipdate"),
+    )
+    line.crossJoin(spark.range(4000)).drop("id").write.parquet(f"{tmp_dir}/lineitem.parquet")
+    got = intake.rest_pages(spark, tmp_dir).groupBy("PULocationID").count().collect()
+    assert sorted((r.PULocationID, r["count"]) for r in got) == [(0, 4000), (1, 4000), (2, 4000)]
+
+
 def test_interval_replace_timestamp_granularity(spark, tmp_dir):
     t = sinks.PartitionedTable(f"{tmp_dir}/ts", "pickup_datetime", "day")
     at = [T0 - dt.timedelta(hours=1), T0, T0 + dt.timedelta(hours=1), T0 + dt.timedelta(hours=2)]
