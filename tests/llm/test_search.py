@@ -83,6 +83,40 @@ def test_blocks_are_skipped_without_changing_the_result(monkeypatch, spark):
     assert shard.opened < read and shard.scored < 0.9 * shard.opened, (shard.opened / read, shard.scored / read)
 
 
+@pytest.mark.parametrize("share", [0.1, 0.3, 1.0])
+def test_pivot_share_does_not_change_the_result(monkeypatch, share):
+    """Same hits and sums whatever lists are opened first, over several shards
+    and with a bar from the shard before; work is below the plain sum's."""
+    import numpy as np
+
+    monkeypatch.setattr(search, "DOCS_PER_BLOCK", 4)
+    monkeypatch.setattr(search, "FIRST_DOCS", 16)
+    monkeypatch.setattr(search, "PIVOT_SHARE", share)
+    rng = np.random.default_rng(5)
+    shards, docs = [], []
+    for at in (0, 200, 400):
+        row = np.sort(rng.integers(0, 200, 6000))
+        term = np.minimum(rng.zipf(1.4, 6000), 400).astype(np.uint64)
+        blob = search.build_shard(np.arange(at, at + 200), np.bincount(row, minlength=200), row, term, 30.0, 1.2, 0.75)
+        shards.append(search.Shard(blob, 30.0, 1.2, 0.75))
+        docs.append((at, row, term))
+    opened = 0
+    for _ in range(40):
+        terms = rng.choice(np.arange(1, 401), 30, replace=False).astype(np.uint64)
+        w, top, score = 5.0 / np.log1p(401.0 - terms.astype(float)), [], Counter()
+        for shard, (at, row, term) in zip(shards, docs):
+            found = shard.find(terms)
+            shard.search(found[found >= 0], w[found >= 0], top, 5)
+            for t, x in zip(terms, w):
+                tf = np.bincount(row[term == t], minlength=200)
+                opened += np.count_nonzero(tf)
+                for d in np.flatnonzero(tf):
+                    score[at + int(d)] += x * tf[d] * 2.2 / (tf[d] + shard.norm[d])
+        want = sorted(((round(s, 6), -i) for i, s in score.items()), reverse=True)[:5]
+        assert sorted(((round(s, 6), i) for s, i in top), reverse=True) == want
+    assert sum(s.scored for s in shards) < opened
+
+
 def test_very_long_text(spark):
     rows = [(1, "a b " * 60000 + "end"), (2, "end b"), (3, "b")]
     assert run(spark, rows, rows) == slow(rows, rows, 10)
