@@ -117,6 +117,48 @@ def test_pivot_share_does_not_change_the_result(monkeypatch, share):
     assert sum(s.scored for s in shards) < opened
 
 
+@pytest.mark.parametrize("cells", [1 << 20, 900, 0])
+def test_wide_lists_are_opened_once_for_many_queries(monkeypatch, cells):
+    """Same hits with a matrix for all wide lists, for three of them and for none;
+    with it the postings read do not grow with queries times list lengths."""
+    import numpy as np
+
+    monkeypatch.setattr(search, "DOCS_PER_BLOCK", 16)
+    monkeypatch.setattr(search, "DENSE_CELLS", cells)
+    monkeypatch.setattr(search, "GROUP", 7)
+    rng = np.random.default_rng(8)
+    shards, docs = [], []
+    for at in (0, 300):
+        row = np.sort(rng.integers(0, 300, 9000))
+        term = np.minimum(rng.zipf(1.3, 9000), 2000).astype(np.uint64)
+        row, term = np.append(row, [5, 9]), np.append(term, np.array([3000, 3000], np.uint64))
+        order = np.argsort(row, kind="stable")
+        row, term = row[order], term[order]
+        blob = search.build_shard(np.arange(at, at + 300), np.bincount(row, minlength=300), row, term, 30.0, 1.2, 0.75)
+        shards.append(search.Shard(blob, 30.0, 1.2, 0.75))
+        docs.append((at, row, term))
+    asked = [np.unique(t[r == d]) for d in range(0, 300, 4) for _, r, t in docs[:1]]
+    asked += [np.array([1, 2], np.uint64), np.array([3000], np.uint64), np.array([9999], np.uint64)]
+    weights = [8.0 / np.log1p(t.astype(float)) for t in asked]
+    tops = [[] for _ in asked]
+    at = np.cumsum([0] + [len(t) for t in asked])
+    for shard in shards:
+        shard.search_all(np.concatenate(asked), np.concatenate(weights), at, tops, 5)
+    read = 0
+    for terms, w, top in zip(asked, weights, tops):
+        score = Counter()
+        for shard, (first, row, term) in zip(shards, docs):
+            for t, x in zip(terms, w):
+                tf = np.bincount(row[term == t], minlength=300)
+                read += np.count_nonzero(tf)
+                for d in np.flatnonzero(tf):
+                    score[first + int(d)] += x * tf[d] * 2.2 / (tf[d] + shard.norm[d])
+        want = sorted(((round(s, 6), -i) for i, s in score.items()), reverse=True)[:5]
+        assert sorted(((round(s, 6), i) for s, i in top), reverse=True) == want
+    opened = sum(s.opened for s in shards)
+    assert opened < read / 10 if cells == 1 << 20 else opened > read / 10, opened / read
+
+
 def test_very_long_text(spark):
     rows = [(1, "a b " * 60000 + "end"), (2, "end b"), (3, "b")]
     assert run(spark, rows, rows) == slow(rows, rows, 10)
