@@ -177,3 +177,103 @@ def test_empty_tables(spark):
     assert run(spark, [], []) == []
     assert run(spark, [(1, "a b")], []) == []
     assert run(spark, [], [(1, "a b")]) == []
+
+
+def two_tongues(n, seed=4):
+    """Texts of two vocabularies that share one word."""
+    rng = random.Random(seed)
+    vocab = [[f"{c}{int(rng.paretovariate(0.7))}" for _ in range(300)] for c in "ab"]
+    return [(i, " ".join(["und", *(rng.choice(vocab[i % 2]) for _ in range(rng.randint(20, 60)))])) for i in range(n)]
+
+
+def built(rows, labels=None):
+    """Shards of the rows, one for each label."""
+    import numpy as np
+
+    roller, data = search.Roller(), " ".join(t for _, t in rows).encode()
+    offsets = np.cumsum([0] + [len(t.encode()) + 1 for _, t in rows])
+    offsets[-1] -= 1
+    row, term, *_ = search.term_rows(np.frombuffer(data, np.uint8), offsets, roller)
+    labels, ids = np.zeros(len(rows), int) if labels is None else labels, np.array([i for i, _ in rows])
+    lengths, out = np.bincount(row, minlength=len(rows)), []
+    for x in np.unique(labels):
+        own = labels == x
+        pick, place = np.flatnonzero(own[row]), np.cumsum(own) - 1
+        out.append(search.build_shard(ids[own], lengths[own], place[row[pick]], term[pick], float(lengths.mean()), 1.2, 0.75))
+    return row, term, [search.Shard(x, float(lengths.mean()), 1.2, 0.75) for x in out]
+
+
+@pytest.mark.parametrize("cells", [1 << 20, 0])
+def test_bars_of_the_whole_table_spare_work_and_keep_hits(monkeypatch, cells):
+    """With the k-th best scores known, ties at the bar by smaller id included, a
+    shard opens and scores less, and nothing where all lists together miss the bar."""
+    import numpy as np
+
+    monkeypatch.setattr(search, "DENSE_CELLS", cells)
+    rows = two_tongues(400)
+    rows += [(i + 1000, t) for i, t in rows[:40]] + [(i + 2000, t) for i, t in rows[:40]]
+    labels = np.array([i % 2 for i, _ in rows])
+    row, term, shards = built(rows, labels)
+    terms = [np.unique(term[row == d]) for d in range(0, 400, 8)]  # of the first vocabulary
+    at = np.cumsum([0] + [len(t) for t in terms])
+    df = dict(zip(*np.unique(np.concatenate([np.unique(term[row == d]) for d in range(len(rows))]), return_counts=True)))
+    weights = np.array([math.log(1 + (len(rows) - df[t] + 0.5) / (df[t] + 0.5)) for t in np.concatenate(terms)])
+
+    def run(bars):
+        tops = [[] for _ in terms]
+        asked, before = search.Asked(np.concatenate(terms), weights, at), [(s.opened, s.scored) for s in shards]
+        for s in shards[::-1]:
+            s.search_asked(asked, tops, 5, bars)
+        return [sorted(t, reverse=True) for t in tops], [(s.opened - o, s.scored - c) for s, (o, c) in zip(shards, before)]
+
+    free, work = run(None)
+    assert all(len(t) == 5 for t in free) and any(t[0][0] == t[1][0] for t in free)
+    held, less = run(np.array([t[-1][0] for t in free]))
+    assert held == free
+    assert less[1] == (0, 0) < work[1] and less[0] <= work[0], (work, less)
+
+
+def test_like_texts_share_a_label_and_labels_change_no_hit(monkeypatch):
+    import numpy as np
+
+    rows = two_tongues(600)
+    row, term, (whole,) = built(rows)
+    label = search.alike(row, term, len(rows))
+    assert len(np.unique(label)) == 2 and len(np.unique(label[::2])) == len(np.unique(label[1::2])) == 1
+    assert not search.alike(row[row < 300], term[row < 300], 300).any()  # too few to part
+    assert not search.alike(np.zeros(0, int), np.zeros(0, np.uint64), 0).size
+    parts = built(rows, label)[2]
+    asked = search.Asked(term, np.ones(len(term)), np.searchsorted(row, np.arange(len(rows) + 1)))
+    assert len(np.unique(asked.which[asked.at[7] : asked.at[8]])) == asked.at[8] - asked.at[7]  # a query has a term once
+    found = []
+    for shards in ([whole], parts, parts[::-1]):
+        tops = [[] for _ in rows]
+        for s in shards:
+            s.search_asked(asked, tops, 10)
+        found.append([sorted(t) for t in tops])
+    assert found[0] == found[1] == found[2]
+
+
+@pytest.mark.parametrize("parts", [40, 260])
+def test_turns_over_many_parts(spark, parts):
+    """Runs of all turns, with copies whose scores tie across them."""
+    rows = two_tongues(520)
+    rows += [(i + 5000, rows[i % 3][1]) for i in range(60)] + [(None, rows[1][1]), (7, rows[8][1]), (9000, None)]
+    schema = "doc_id long, text string"
+    df = spark.createDataFrame(rows, schema).repartition(parts)
+    queries = [r for r in rows if r[0] is None or r[0] % 50 < 2]
+    key = lambda i: 2**63 - 1 if i is None else i
+    got = sorted((key(r.query_id), r.rank, key(r.id), round(r.score, 6)) for r in search.search(df, spark.createDataFrame(queries, schema)).collect())
+    assert got == slow(rows, queries, 10)
+
+
+def test_index_has_like_texts_in_shards_of_a_turn(spark):
+    from farebox.llm.common import keyed_texts
+
+    rows = two_tongues(600)
+    texts = keyed_texts(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), "doc_id", "text")
+    got = search.shards(texts, 40.0, 1.2, 0.75).collect()
+    shards = [search.Shard(bytes(r.blob), 40.0, 1.2, 0.75) for r in got]
+    assert len(shards) == 2 and {r.turn for r in got} == {0}
+    assert sorted({int(i) % 2 for i in s.ids} for s in shards) == [{0}, {1}]
+    assert sorted(int(i) for s in shards for i in s.ids) == list(range(600))
